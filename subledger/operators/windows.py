@@ -1,0 +1,21 @@
+"""Offset lookups inside an ordered partition.
+
+The reference joins a table to itself on ``rn = rn - k`` for k = 1..5; the same
+values come from ``lag(col, k)`` over one window: one exchange and one sort
+instead of five joins.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+
+def lags(df: DataFrame, col: str, n: int, keys: Sequence[str], order: Sequence[str],
+         prefix: str | None = None) -> DataFrame:
+    """Add ``<prefix>1 .. <prefix>n`` = ``col`` from 1..n rows earlier."""
+    prefix = prefix or f"{col}_lag"
+    w = Window.partitionBy(*keys).orderBy(*order)
+    return df.withColumns({f"{prefix}{k}": F.lag(col, k).over(w) for k in range(1, n + 1)})
