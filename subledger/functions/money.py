@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 
 
 def _col(c) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+    if isinstance(c, str):
+        return F.col(c)
+    return c if isinstance(c, Column) else F.lit(c)
 
 
 def to_major(cents, scale: int = 100) -> Column:

@@ -12,7 +12,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from subledger.plans import revenue, subscribers
+from subledger.plans import projections, revenue, subscribers
 from subledger.sources import bindings
 
 SOURCE_NAMES = ("charge", "balance_transaction", "refund", "invoice", "customer", "plan",
@@ -94,3 +94,7 @@ class Models:
 
     def subscriber_daily(self, as_of=None):
         return subscribers.fct_subscriber_daily(self.int_subscriber_daily, as_of)
+
+    def revenue_projections(self, as_of):
+        return projections.revenue_projections(self.month_accrual, self.charge_accrual,
+                                               self.int_subscriptions, as_of)
