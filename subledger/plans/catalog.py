@@ -3,6 +3,15 @@
 ``Models(sources)`` exposes every model as a cached attribute.  Each attribute is
 a lazy DataFrame, so asking for a mart builds one logical plan spanning the
 layers beneath it; nothing runs until an action.
+
+Marts that read the same intermediate model from several branches (the
+projection mart reads subscriptions five times and the recognised charges
+through three accrual branches) would otherwise re-derive the whole upstream
+pipeline per branch, because each branch prunes different columns and exchange
+reuse no longer applies.  With ``materialize=True`` the intermediate layer is
+written once with a reliable ``checkpoint()`` into the cluster's shared
+``spark.checkpoint.dir``: lineage is cut there, every branch reads the stored
+result, and a lost executor costs a re-read, not a recomputation.
 """
 
 from __future__ import annotations
@@ -48,8 +57,17 @@ class Sources:
 
 
 class Models:
-    def __init__(self, sources: Sources):
+    def __init__(self, sources: Sources, materialize: bool = False):
         self.src = sources
+        self.materialize = materialize
+
+    def _stored(self, df: DataFrame) -> DataFrame:
+        """Write an intermediate model once (reliable checkpoint) when materializing."""
+        if not self.materialize:
+            return df
+        from subledger.session import checkpoint_dir
+        checkpoint_dir(df.sparkSession)
+        return df.checkpoint(eager=True)
 
     # staging
     @cached_property
@@ -72,14 +90,15 @@ class Models:
     # intermediate
     @cached_property
     def int_subscriptions(self):
-        return revenue.int_subscriptions(self.stg_subscriptions, self.stg_customers, self.stg_invoices,
-                                         self.stg_charges, self.stg_subscription_items, self.stg_plans)
+        return self._stored(revenue.int_subscriptions(
+            self.stg_subscriptions, self.stg_customers, self.stg_invoices, self.stg_charges,
+            self.stg_subscription_items, self.stg_plans))
     @cached_property
     def int_charges(self):
-        return revenue.int_charges(self.stg_charges, self.stg_invoices, self.stg_subscribers,
-                                   self.int_subscriptions)
+        return self._stored(revenue.int_charges(self.stg_charges, self.stg_invoices,
+                                                self.stg_subscribers, self.int_subscriptions))
     @cached_property
-    def int_payouts(self): return revenue.int_payouts(self.stg_charges)
+    def int_payouts(self): return self._stored(revenue.int_payouts(self.stg_charges))
     @cached_property
     def int_subscriber_daily(self):
         return subscribers.int_subscriber_daily(self.stg_subscribers, self.int_subscriptions)
@@ -98,3 +117,9 @@ class Models:
     def revenue_projections(self, as_of):
         return projections.revenue_projections(self.month_accrual, self.charge_accrual,
                                                self.int_subscriptions, as_of)
+
+    def subscriber_compat(self, as_of=None):
+        return subscribers.subscriber_compat(self.subscriber_daily(as_of))
+
+    @cached_property
+    def subscriber_history(self): return subscribers.subscriber_history(self.stg_subscribers)

@@ -110,16 +110,35 @@ def subscriber_compat(daily_fact: DataFrame) -> DataFrame:
         F.col("imputed_price_usd").alias("revenue"))
 
 
-def int_subscribers(subscribers: DataFrame) -> DataFrame:
-    """Latest snapshot row per subscription, with the export type label."""
-    mapped = subscribers.select(
+def subscribers_mapped(subscribers: DataFrame) -> DataFrame:
+    """Snapshot rows in the subscriber-list shape (type label, typed NULL sections)."""
+    return subscribers.select(
         "snapshot_date", "snapshot_ts", "source_uri", "email", "name",
         title_or_free("subscription_interval").alias("type"), "stripe_plan", "cancel_date",
         "start_date", "expiration_date", "first_paid_date", "revenue", "country", "paid_source",
         "free_source", "activity", F.lit(None).cast("string").alias("sections"),
         "publication", "subscription_id", "subscription_interval", "is_subscribed", "is_comp",
         "is_gift", "is_free_trial", "total_count")
-    return latest_per_key(mapped, ["subscription_id"], ["snapshot_date"], ["publication"])
+
+
+def int_subscribers(subscribers: DataFrame) -> DataFrame:
+    """Latest snapshot row per subscription, with the export type label."""
+    return latest_per_key(subscribers_mapped(subscribers), ["subscription_id"], ["snapshot_date"],
+                          ["publication"])
+
+
+def subscriber_history(subscribers: DataFrame) -> DataFrame:
+    """SCD2 history of the subscriber list as a daily snapshot run would record it.
+
+    Replaying one run per snapshot day: a subscription opens a version on its
+    first day and a new one whenever a watched column changes (NULL-safe) from
+    its previous day's row; ``dbt_valid_to`` is the next version's start.  Each
+    window partition holds one subscription's days, bounded by the calendar.
+    """
+    from subledger.sinks.history import history_from_snapshots
+    daily = latest_per_key(subscribers_mapped(subscribers), ["subscription_id", "snapshot_date"],
+                           ["publication"])
+    return history_from_snapshots(daily, "subscription_id", ["cancel_date"], "snapshot_date")
 
 
 def last_snapshot_day(subscribers: DataFrame, publication: str) -> DataFrame:
