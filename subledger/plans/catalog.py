@@ -21,7 +21,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from subledger.plans import projections, revenue, subscribers
+from subledger.plans import posts, projections, revenue, subscribers
 from subledger.sources import bindings
 
 SOURCE_NAMES = ("charge", "balance_transaction", "refund", "invoice", "customer", "plan",
@@ -123,3 +123,21 @@ class Models:
 
     @cached_property
     def subscriber_history(self): return subscribers.subscriber_history(self.stg_subscribers)
+
+    # posts
+    @cached_property
+    def stg_post_overview(self): return posts.stg_post_overview(self.src.post_overview)
+    @cached_property
+    def stg_post_traffic(self): return posts.stg_post_traffic(self.src.post_traffic)
+    @cached_property
+    def stg_post_growth(self): return posts.stg_post_growth(self.src.post_growth)
+    @cached_property
+    def stg_post_comments(self): return posts.stg_post_comments(self.src.post_comments)
+    @cached_property
+    def int_post_overview(self): return posts.int_post_overview(self.stg_post_overview)
+    @cached_property
+    def int_post_traffic(self): return posts.latest_snapshot(self.stg_post_traffic, "post_id")
+    @cached_property
+    def int_post_growth(self): return posts.latest_snapshot(self.stg_post_growth, "post_id")
+    @cached_property
+    def int_post_comments(self): return posts.latest_snapshot(self.stg_post_comments, "comment_id")
