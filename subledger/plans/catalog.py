@@ -61,6 +61,13 @@ class Models:
         self.src = sources
         self.materialize = materialize
 
+    @staticmethod
+    def _contract(name: str, df: DataFrame) -> DataFrame:
+        """Schema-only contract check of the contracted models (no data pass)."""
+        from subledger.operators.contract import enforce_contract
+        from subledger.plans.contracts import CONTRACTS
+        return enforce_contract(df, CONTRACTS[name])
+
     def _stored(self, df: DataFrame) -> DataFrame:
         """Write an intermediate model once (reliable checkpoint) when materializing."""
         if not self.materialize:
@@ -85,7 +92,8 @@ class Models:
     @cached_property
     def stg_customers(self): return revenue.stg_customers(self.src.customer)
     @cached_property
-    def stg_subscribers(self): return subscribers.stg_subscribers(self.src.subscribers_snapshot)
+    def stg_subscribers(self):
+        return self._contract("stg_subscribers", subscribers.stg_subscribers(self.src.subscribers_snapshot))
 
     # intermediate
     @cached_property
@@ -126,15 +134,15 @@ class Models:
 
     # posts
     @cached_property
-    def stg_post_overview(self): return posts.stg_post_overview(self.src.post_overview)
+    def stg_post_overview(self): return self._contract("stg_post_overview", posts.stg_post_overview(self.src.post_overview))
     @cached_property
-    def stg_post_traffic(self): return posts.stg_post_traffic(self.src.post_traffic)
+    def stg_post_traffic(self): return self._contract("stg_post_traffic", posts.stg_post_traffic(self.src.post_traffic))
     @cached_property
-    def stg_post_growth(self): return posts.stg_post_growth(self.src.post_growth)
+    def stg_post_growth(self): return self._contract("stg_post_growth", posts.stg_post_growth(self.src.post_growth))
     @cached_property
-    def stg_post_comments(self): return posts.stg_post_comments(self.src.post_comments)
+    def stg_post_comments(self): return self._contract("stg_post_comments", posts.stg_post_comments(self.src.post_comments))
     @cached_property
-    def int_post_overview(self): return posts.int_post_overview(self.stg_post_overview)
+    def int_post_overview(self): return self._contract("int_post_overview", posts.int_post_overview(self.stg_post_overview))
     @cached_property
     def int_post_traffic(self): return posts.latest_snapshot(self.stg_post_traffic, "post_id")
     @cached_property
