@@ -48,7 +48,7 @@ def period_end(month, cut_day: int = CUT_DAY) -> Column:
 
 def month_from_label(label) -> Column:
     """Parse ``"Month YYYY"`` back to its first-of-month date (NULL when unparsable)."""
-    return F.trunc(F.try_to_date(_col(label), F.lit(LABEL_FORMAT)), "MM")
+    return F.trunc(F.try_to_date(_col(label), LABEL_FORMAT), "MM")
 
 
 def with_fiscal_columns(df, ts_col: str, prefix: str = "reporting_month",
