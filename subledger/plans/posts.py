@@ -114,8 +114,10 @@ def _path(root: Column, path: str) -> Column:
 
 def stg_post_overview(landing: DataFrame) -> DataFrame:
     """Flatten the overview payload: 80 strictly typed fields plus the keys."""
-    parsed = landing.select(*KEYS, F.from_json("data", _overview_schema()).alias("j"))
-    post = F.get(F.col("j.posts"), 0)
+    # Fields are read straight off the from_json expression: a parsed struct column
+    # with more than spark.sql.codegen.maxFields nested fields would switch off
+    # whole-stage codegen; common-subexpression elimination parses once per row.
+    post = F.get(F.from_json("data", _overview_schema()).getField("posts"), 0)
     cols = []
     for name, path, kind in OVERVIEW_FIELDS:
         c = _path(post, path)
@@ -124,7 +126,7 @@ def stg_post_overview(landing: DataFrame) -> DataFrame:
         elif kind == "ts":
             c = _strict_text(c).cast("timestamp_ntz")
         cols.append(c.alias(name))
-    return parsed.select(*KEYS, *cols)
+    return landing.select(*KEYS, *cols)
 
 
 def int_post_overview(overview: DataFrame) -> DataFrame:
