@@ -45,8 +45,16 @@ class Sources:
 
     @classmethod
     def from_driver_tables(cls, spark: SparkSession, root: str) -> "Sources":
-        """Bindings over the driver test tables under ``root``."""
-        return cls({n: (lambda n=n: getattr(bindings, n)(spark, root)) for n in SOURCE_NAMES})
+        """Bindings over the driver test tables under ``root`` (one scan per table)."""
+        from subledger.sources.tables import load
+        scans: dict[str, DataFrame] = {}
+
+        def scan(table: str) -> DataFrame:
+            if table not in scans:
+                scans[table] = load(spark, root, table)
+            return scans[table]
+
+        return cls({n: (lambda n=n: getattr(bindings, n)(spark, root, scan)) for n in SOURCE_NAMES})
 
     @classmethod
     def from_tables(cls, spark: SparkSession, root: str, names: dict[str, str] | None = None) -> "Sources":

@@ -60,14 +60,15 @@ class Binding:
     union: list["Binding"] = field(default_factory=list)
     heavy: bool = False   # per-row work worth spreading a single-split scan for
 
-    def to_spark(self, spark: SparkSession, root: str) -> DataFrame:
-        df = self._one(spark, root)
+    def to_spark(self, spark: SparkSession, root: str, scan=None) -> DataFrame:
+        scan = scan or (lambda t: load(spark, root, t))
+        df = self._one(scan)
         for part in self.union:
-            df = df.unionByName(part._one(spark, root))
+            df = df.unionByName(part._one(scan))
         return df
 
-    def _one(self, spark: SparkSession, root: str) -> DataFrame:
-        df = load(spark, root, self.table)
+    def _one(self, scan) -> DataFrame:
+        df = scan(self.table)
         if self.heavy:
             df = spread_small_scan(df)
         if self.where:
@@ -411,28 +412,32 @@ SUBSCRIBER_STRUCT = [
 
 
 # ------------------------------------------------------- Spark entry points
-def charge(spark, root): return CHARGE.to_spark(spark, root)
-def balance_transaction(spark, root): return BALANCE_TRANSACTION.to_spark(spark, root)
-def refund(spark, root): return REFUND.to_spark(spark, root)
-def invoice(spark, root): return INVOICE.to_spark(spark, root)
-def customer(spark, root): return CUSTOMER.to_spark(spark, root)
-def subscription_item(spark, root): return SUBSCRIPTION_ITEM.to_spark(spark, root)
-def post_overview(spark, root): return POST_OVERVIEW.to_spark(spark, root)
-def post_traffic(spark, root): return POST_TRAFFIC.to_spark(spark, root)
-def post_growth(spark, root): return POST_GROWTH.to_spark(spark, root)
-def post_comments(spark, root): return POST_COMMENTS.to_spark(spark, root)
-
-
-def plan(spark: SparkSession, root: str) -> DataFrame:
+# ``scan(table) -> DataFrame`` lets one set of bindings share a single scan per
+# driver table (one file listing and footer read instead of one per binding).
+def charge(spark, root, scan=None): return CHARGE.to_spark(spark, root, scan)
+def balance_transaction(spark, root, scan=None): return BALANCE_TRANSACTION.to_spark(spark, root, scan)
+def refund(spark, root, scan=None): return REFUND.to_spark(spark, root, scan)
+def invoice(spark, root, scan=None): return INVOICE.to_spark(spark, root, scan)
+def customer(spark, root, scan=None): return CUSTOMER.to_spark(spark, root, scan)
+def subscription_item(spark, root, scan=None): return SUBSCRIPTION_ITEM.to_spark(spark, root, scan)
+def post_overview(spark, root, scan=None): return POST_OVERVIEW.to_spark(spark, root, scan)
+def post_traffic(spark, root, scan=None): return POST_TRAFFIC.to_spark(spark, root, scan)
+def post_growth(spark, root, scan=None): return POST_GROWTH.to_spark(spark, root, scan)
+def post_comments(spark, root, scan=None): return POST_COMMENTS.to_spark(spark, root, scan)
+
+
+def plan(spark: SparkSession, root: str, scan=None) -> DataFrame:
     """Plan dimension: one row per market segment that carries a plan."""
-    segments = (load(spark, root, "customer").select("c_mktsegment")
+    scan = scan or (lambda t: load(spark, root, t))
+    segments = (scan("customer").select("c_mktsegment")
                 .where(F.expr(f"c_mktsegment IN {PLAN_SEGMENTS}")).distinct())
     return segments.select([F.expr(e).alias(c) for c, e in PLAN_COLUMNS])
 
 
-def subscribers_snapshot(spark: SparkSession, root: str) -> DataFrame:
+def subscribers_snapshot(spark: SparkSession, root: str, scan=None) -> DataFrame:
     """Landing subscriber snapshot with the nested ``sub`` struct."""
-    ev = load(spark, root, "events")
+    scan = scan or (lambda t: load(spark, root, t))
+    ev = scan("events")
     daily = ev.groupBy(*[F.expr(render(e, "spark")).alias(c) for c, e in SUBSCRIBER_GROUP]).agg(
         *[F.expr(render(e, "spark")).alias(c) for c, e in SUBSCRIBER_AGGS])
     return daily.select(
@@ -441,16 +446,17 @@ def subscribers_snapshot(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def subscription_history(spark: SparkSession, root: str) -> DataFrame:
+def subscription_history(spark: SparkSession, root: str, scan=None) -> DataFrame:
     """Subscription versions (one per customer with orders, a second on cancellation).
 
     Version 1 opens at the first order.  Customers with a negative balance cancel:
     below -800 on the day they started (same-day cancel), otherwise 20 days after
     their last order; the cancellation opens version 2.
     """
-    life = load(spark, root, "orders").groupBy("o_custkey").agg(
+    scan = scan or (lambda t: load(spark, root, t))
+    life = scan("orders").groupBy("o_custkey").agg(
         F.min("o_orderdate").alias("first_ts"), F.max("o_orderdate").alias("last_ts"))
-    cust = load(spark, root, "customer").select("c_custkey", "c_acctbal")
+    cust = scan("customer").select("c_custkey", "c_acctbal")
     base = life.join(cust, life.o_custkey == cust.c_custkey).withColumn(
         "cancel_ts", F.expr(SUBSCRIPTION_CANCEL_TS))
     versions = base.withColumn(
