@@ -6,7 +6,7 @@ the key and AQE splits skewed partitions.  Explicit ``broadcast`` is reserved
 for relations whose size has a bound by construction (see ``bounded_broadcast``).
 
 Rows whose join key is NULL can never match, yet on a shuffle join they all hash
-to one partition; ``left_join_on`` sends them around the join instead.
+to one partition; ``left_join_on`` gives them distinct never-matching keys.
 """
 
 from __future__ import annotations
@@ -26,18 +26,23 @@ def left_join_agg(df: DataFrame, many: DataFrame, key: str, aggs: Sequence[Colum
 
 
 def left_join_on(left: DataFrame, right: DataFrame, left_key: Column, right_key: Column) -> DataFrame:
-    """Left join on computed keys; rows with a NULL left key bypass the shuffle.
-
-    ``right`` must be unique on ``right_key`` for the result to keep the left grain
-    (callers deduplicate first).  Helper key columns are dropped.
+    """Left join on computed keys without funnelling NULL-key rows into one task.
+
+    Both sides join on ``struct(is_null, key)``.  A left row whose key is NULL
+    gets ``(true, hash of the row)``: it still cannot match (every right key is
+    ``(false, key)``), but the hash spreads such rows over all reducers instead
+    of one.  The hash is deterministic, so a retried map task routes rows the
+    same way.  One pass over ``left``; ``right`` should be unique on its key for
+    the left grain to be kept (callers deduplicate first).  Helper columns are
+    dropped.
     """
-    lk = left.withColumn("__lk", left_key)
-    rk = right.withColumn("__rk", right_key).where(F.col("__rk").isNotNull())
-    keyed = lk.where(F.col("__lk").isNotNull()).join(rk, F.col("__lk") == F.col("__rk"), "left")
-    # NULL keys: same columns, right side all NULL.
-    pad = [F.lit(None).cast(f.dataType).alias(f.name) for f in rk.schema.fields]
-    unkeyed = lk.where(F.col("__lk").isNull()).select(*[F.col(c) for c in lk.columns], *pad)
-    return keyed.unionByName(unkeyed).drop("__lk", "__rk")
+    key_type = left.select(left_key.alias("k")).schema["k"].dataType
+    salt = F.xxhash64(*[F.col(c) for c in left.columns]).cast(key_type)
+    lk = left.withColumn("__lk", F.struct(left_key.isNull().alias("n"),
+                                          F.coalesce(left_key.cast(key_type), salt).alias("k")))
+    rk = right.where(right_key.isNotNull()).withColumn(
+        "__rk", F.struct(F.lit(False).alias("n"), right_key.cast(key_type).alias("k")))
+    return lk.join(rk, lk["__lk"] == rk["__rk"], "left").drop("__lk", "__rk")
 
 
 def latest_at_or_before(left: DataFrame, right: DataFrame, key: str, left_time: Column,

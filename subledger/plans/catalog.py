@@ -4,11 +4,11 @@
 a lazy DataFrame, so asking for a mart builds one logical plan spanning the
 layers beneath it; nothing runs until an action.
 
-Marts that read the same intermediate model from several branches (the
-projection mart reads subscriptions five times and the recognised charges
-through three accrual branches) would otherwise re-derive the whole upstream
-pipeline per branch, because each branch prunes different columns and exchange
-reuse no longer applies.  With ``materialize=True`` the intermediate layer is
+Models read by several downstream branches (staged charges feed the current
+subscriptions, the recognised charges and the payouts; the projection mart reads
+subscriptions five times and the recognised charges through three accrual
+branches) would otherwise be re-derived per branch, because each branch prunes
+different columns and exchange reuse no longer applies.  With ``materialize=True`` the intermediate layer is
 written once with a reliable ``checkpoint()`` into the cluster's shared
 ``spark.checkpoint.dir``: lineage is cut there, every branch reads the stored
 result, and a lost executor costs a re-read, not a recomputation.
@@ -65,9 +65,10 @@ class Sources:
 
 
 class Models:
-    def __init__(self, sources: Sources, materialize: bool = False):
+    def __init__(self, sources: Sources, materialize: bool = False, lazy: frozenset = frozenset()):
         self.src = sources
         self.materialize = materialize
+        self.lazy = lazy          # models to keep lazy even when materializing (query targets)
 
     @staticmethod
     def _contract(name: str, df: DataFrame) -> DataFrame:
@@ -76,9 +77,9 @@ class Models:
         from subledger.plans.contracts import CONTRACTS
         return enforce_contract(df, CONTRACTS[name])
 
-    def _stored(self, df: DataFrame) -> DataFrame:
+    def _stored(self, df: DataFrame, name: str = "") -> DataFrame:
         """Write an intermediate model once (reliable checkpoint) when materializing."""
-        if not self.materialize:
+        if not self.materialize or name in self.lazy:
             return df
         from subledger.session import checkpoint_dir
         checkpoint_dir(df.sparkSession)
@@ -88,7 +89,9 @@ class Models:
     @cached_property
     def stg_refunds(self): return revenue.stg_refunds(self.src.refund, self.src.balance_transaction)
     @cached_property
-    def stg_charges(self): return revenue.stg_charges(self.src.charge, self.src.balance_transaction, self.stg_refunds)
+    def stg_charges(self):
+        return self._stored(revenue.stg_charges(self.src.charge, self.src.balance_transaction,
+                                                self.stg_refunds), "stg_charges")
     @cached_property
     def stg_invoices(self): return revenue.stg_invoices(self.src.invoice)
     @cached_property
@@ -108,13 +111,14 @@ class Models:
     def int_subscriptions(self):
         return self._stored(revenue.int_subscriptions(
             self.stg_subscriptions, self.stg_customers, self.stg_invoices, self.stg_charges,
-            self.stg_subscription_items, self.stg_plans))
+            self.stg_subscription_items, self.stg_plans), "int_subscriptions")
     @cached_property
     def int_charges(self):
         return self._stored(revenue.int_charges(self.stg_charges, self.stg_invoices,
-                                                self.stg_subscribers, self.int_subscriptions))
+                                                self.stg_subscribers, self.int_subscriptions),
+                            "int_charges")
     @cached_property
-    def int_payouts(self): return self._stored(revenue.int_payouts(self.stg_charges))
+    def int_payouts(self): return self._stored(revenue.int_payouts(self.stg_charges), "int_payouts")
     @cached_property
     def int_subscriber_daily(self):
         return subscribers.int_subscriber_daily(self.stg_subscribers, self.int_subscriptions)

@@ -36,7 +36,7 @@ def stg_refunds(refund: DataFrame, balance_transaction: DataFrame) -> DataFrame:
         F.col("created").alias("refunded_at"))
     bt = balance_transaction.select(F.col("id").alias("bt_id"),
                                     F.abs("net").alias("refunded_net_cents"))
-    return (r.join(bt, r.balance_transaction_id == bt.bt_id, "left")
+    return (left_join_on(r, bt, F.col("balance_transaction_id"), F.col("bt_id"))
              .select("refund_id", "charge_id", "refunded_at",
                      to_major("refunded_net_cents").alias("refunded_net_usd"), "refunded_net_cents"))
 
@@ -54,7 +54,7 @@ def stg_charges(charge: DataFrame, balance_transaction: DataFrame, refunds: Data
     bt = balance_transaction.select(
         F.col("id").alias("bt_id"), F.col("amount").alias("settled_cents"),
         F.col("fee").alias("fee_cents"), F.col("net").alias("bt_net_cents"), "exchange_rate")
-    joined = c.join(bt, c.balance_transaction_id == bt.bt_id, "left")
+    joined = left_join_on(c, bt, F.col("balance_transaction_id"), F.col("bt_id"))
     joined = left_join_agg(joined, refunds, "charge_id",
                            [F.sum("refunded_net_cents").alias("refunded_cents")])
     net = F.col("bt_net_cents") - F.coalesce(F.col("refunded_cents"), F.lit(0))
@@ -131,7 +131,7 @@ def int_subscriptions(subscriptions: DataFrame, customers: DataFrame, invoices:
     cust = customers.select(F.col("customer_id").alias("c_customer_id"), "email")
     inv = last_invoices(invoices, charges)
     sp = subscription_plans(items, plans)
-    out = (subs.join(cust, subs.customer_id == cust.c_customer_id, "left")
+    out = (left_join_on(subs, cust, F.col("customer_id"), F.col("c_customer_id"))
                .join(inv, "subscription_id", "left")
                .join(sp.withColumnRenamed("billing_interval", "plan_billing_interval"),
                      "subscription_id", "left"))
