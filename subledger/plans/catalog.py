@@ -9,9 +9,10 @@ subscriptions, the recognised charges and the payouts; the projection mart reads
 subscriptions five times and the recognised charges through three accrual
 branches) would otherwise be re-derived per branch, because each branch prunes
 different columns and exchange reuse no longer applies.  With ``materialize=True`` the intermediate layer is
-written once with a reliable ``checkpoint()`` into the cluster's shared
+written once as a Parquet table under the cluster's shared
 ``spark.checkpoint.dir``: lineage is cut there, every branch reads the stored
-result, and a lost executor costs a re-read, not a recomputation.
+result with pruning and pushdown, and a lost executor costs a re-read, not a
+recomputation.
 """
 
 from __future__ import annotations
@@ -78,12 +79,21 @@ class Models:
         return enforce_contract(df, CONTRACTS[name])
 
     def _stored(self, df: DataFrame, name: str = "") -> DataFrame:
-        """Write an intermediate model once (reliable checkpoint) when materializing."""
+        """Write an intermediate model once as a table in the shared checkpoint
+        folder and read it back (when materializing).
+
+        Unlike ``Dataset.checkpoint`` (which computes an unpersisted plan once to
+        count and again to write), the model is computed once; the Parquet copy
+        gives later readers column pruning, filter pushdown and size statistics
+        for join planning, and cuts lineage.
+        """
         if not self.materialize or name in self.lazy:
             return df
-        from subledger.session import checkpoint_dir
-        checkpoint_dir(df.sparkSession)
-        return df.checkpoint(eager=True)
+        import uuid
+        from subledger.session import scratch_path
+        path = scratch_path(df.sparkSession, f"models/{name or 'model'}-{uuid.uuid4().hex}")
+        df.write.mode("overwrite").parquet(path)
+        return df.sparkSession.read.parquet(path)
 
     # staging
     @cached_property
@@ -161,3 +171,17 @@ class Models:
     def int_post_growth(self): return posts.latest_snapshot(self.stg_post_growth, "post_id")
     @cached_property
     def int_post_comments(self): return posts.latest_snapshot(self.stg_post_comments, "comment_id")
+
+    def projection_parts(self, as_of):
+        """Intermediate relations of the projection mart (for inspection and checks)."""
+        win = projections.ReportingWindow.of(as_of)
+        actuals = projections.closed_actuals(self.month_accrual, as_of)
+        return {
+            "window": win,
+            "actuals": actuals,
+            "deltas": projections.with_projection(projections.delta_history(actuals, win)),
+            "starts": projections.historical_starts(self.int_subscriptions),
+            "churn": projections.churn_last_accrual(self.int_subscriptions, self.charge_accrual),
+            "starts_revenue": projections.starts_revenue(self.int_subscriptions, self.charge_accrual),
+            "live": projections.live_counters(self.int_subscriptions, self.charge_accrual, win),
+        }
