@@ -48,10 +48,11 @@ def main(argv=None):
     spark = get_session("local[8]", 8)
     spark.sparkContext.setLogLevel("ERROR")
     spark.conf.set("spark.sql.maxPlanStringLength", str(2 ** 30))
+    spark.conf.set("spark.sql.maxMetadataStringLength", "100000")
     names = a.names or list(QUERIES)
     print(f"# Executed plans of the registered queries ({os.path.basename(a.sf)}, AQE final plans)\n")
     print("Columns count operators in the final physical plan; intermediates checkpointed by the "
-          "query show up as `ckpt_scans`. `columns read` lists, per scanned table, the columns in "
+          "query show up as `stored <model>` scans. `columns read` lists, per scanned table, the columns in "
           "the Parquet ReadSchema out of the table's columns.\n")
     print("| query | " + " | ".join(n for n, _ in NODES) + " | columns read | scans with pushed filters |")
     print("|---|" + "---|" * (len(NODES) + 2))
@@ -60,15 +61,24 @@ def main(argv=None):
     for name in names:
         plan = final_plan(QUERIES[name][0](spark, a.sf))
         counts = [len(re.findall(rx, plan)) for _, rx in NODES]
-        scans = re.findall(r"Location: [^\[]*\[file:([^\]]+)\].*?PushedFilters: \[([^\]]*)\].*?"
-                           r"ReadSchema: struct<([^>]*)>", plan)
         widths, pushed = [], 0
-        for path, filters, schema in scans:
+        for line in plan.splitlines():
+            if "FileScan parquet" not in line:
+                continue
+            loc = re.search(r"Location: [^\[]*\[file:([^\],]+)", line)
+            schema = re.search(r"ReadSchema: struct<(.*)>", line)
+            filters = re.search(r"PushedFilters: \[([^\]]*)\]", line)
+            pushed += bool(filters and filters.group(1).strip())
+            path = loc.group(1) if loc else "?"
+            if "/models/" in path:
+                table = "stored " + path.split("/models/")[1].split("-")[0]
+                widths.append(table)
+                continue
             if path not in width:
                 width[path] = len(pq.read_schema(path).names)
             table = os.path.basename(path).replace(".parquet", "")
-            widths.append(f"{table} {schema.count(':')}/{width[path]}")
-            pushed += bool(filters.strip())
+            n = schema.group(1).count(":") if schema else "?"
+            widths.append(f"{table} {n}/{width[path]}")
         read = ", ".join(sorted(set(widths))) or "-"
         print(f"| {name} | " + " | ".join(str(c) for c in counts) + f" | {read} | {pushed} |",
               flush=True)

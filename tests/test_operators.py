@@ -120,3 +120,21 @@ def test_contract(spark):
         enforce_contract(df, [("a", "string"), ("b", "string")])
     with pytest.raises(ContractError):
         enforce_contract(df, [("a", "integer")])
+
+
+def test_null_keys_are_spread_across_reducers(spark):
+    """A third of the rows with a NULL key must not land in one shuffle partition."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        left = spark.range(3000).select(
+            F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.col("id") % 100).alias("k"),
+            F.col("id").alias("row"))
+        right = spark.range(100).select(F.col("id").alias("rk"), (F.col("id") * 10).alias("v"))
+        out = left_join_on(left, right, F.col("k"), F.col("rk"))
+        sizes = [r["count"] for r in out.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+        assert out.count() == 3000 and out.where(F.col("k").isNull() & F.col("v").isNotNull()).count() == 0
+        assert max(sizes) < 1000, sizes
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
