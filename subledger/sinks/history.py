@@ -97,6 +97,14 @@ def write_versioned(df: DataFrame, base: str, version: int) -> str:
     return target
 
 
+def current_path(spark, base: str) -> str:
+    """Location the ``_CURRENT`` pointer names (one short text row)."""
+    return spark.read.text(os.path.join(base, "_CURRENT")).first()[0]
+
+
+def current_version(spark, base: str) -> int:
+    return int(current_path(spark, base).rstrip("/").rsplit("v=", 1)[1])
+
+
 def read_current(spark, base: str) -> DataFrame:
-    path = spark.read.text(os.path.join(base, "_CURRENT")).first()[0]
-    return spark.read.parquet(path)
+    return spark.read.parquet(current_path(spark, base))
