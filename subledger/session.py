@@ -54,20 +54,26 @@ def apply_conf(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_LOCAL_CHECKPOINT_DIRS: dict[int, str] = {}
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder of the cluster.
 
-    Reads ``spark.checkpoint.dir`` from the session.  Only when it is unset (a
-    local test session) a scratch folder is created and registered.
+    Reads ``spark.checkpoint.dir`` from the session.  Only when it is unset and
+    the session runs in local mode (tests) a scratch folder is created for the
+    session; on a cluster an unset value is an error.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    configured = sc.getConf().get("spark.checkpoint.dir", None) or _LOCAL_CHECKPOINT_DIRS.get(id(sc))
     if not configured:
-        if not spark.sparkContext.master.startswith("local"):
+        if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster "
                                "(a machine-local folder is not visible to other executors)")
         configured = tempfile.mkdtemp(prefix="subledger-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", configured)
-    spark.sparkContext.setCheckpointDir(configured)
+        _LOCAL_CHECKPOINT_DIRS[id(sc)] = configured
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(configured)
     return configured
 
 
