@@ -44,7 +44,8 @@ def main() -> None:
     from subledger.plans.registry import QUERIES
     from subledger.session import checkpoint_dir, get_session
 
-    spark = get_session(f"local[{cpus}]", shuffle_partitions=max(8, cpus * 2), app_name="subledger-bench")
+    parts = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(cpus)))
+    spark = get_session(f"local[{cpus}]", shuffle_partitions=parts, app_name="subledger-bench")
     spark.sparkContext.setLogLevel("ERROR")
     checkpoint_dir(spark)
 

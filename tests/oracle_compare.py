@@ -20,6 +20,8 @@ from collections import Counter
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
+EXACT = os.environ.get("ORACLE_EXACT", "1") == "1"   # compare doubles bit for bit
+
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
           "pages benchmark labels conversations").split()
 
@@ -34,13 +36,32 @@ def duck_connection(sf_dir: str):
     return con
 
 
+SPARK_FAMILY = {"bigint": "int64", "int": "int32", "smallint": "int16", "tinyint": "int8",
+                "string": "text", "double": "float64", "float": "float32", "date": "date",
+                "timestamp_ntz": "timestamp", "timestamp": "timestamp", "boolean": "bool"}
+DUCK_FAMILY = {"BIGINT": "int64", "INTEGER": "int32", "SMALLINT": "int16", "TINYINT": "int8",
+               "VARCHAR": "text", "DOUBLE": "float64", "FLOAT": "float32", "DATE": "date",
+               "TIMESTAMP": "timestamp", "BOOLEAN": "bool", "HUGEINT": "int128"}
+
+
+def type_mismatches(sdf, description) -> list[str]:
+    spark_types = {f.name: SPARK_FAMILY.get(f.dataType.simpleString(), f.dataType.simpleString())
+                   for f in sdf.schema.fields}
+    out = []
+    for d in description:
+        duck = DUCK_FAMILY.get(str(d[1]), str(d[1]))
+        if d[0] in spark_types and spark_types[d[0]] != duck:
+            out.append(f"{d[0]}: spark {spark_types[d[0]]} vs oracle {duck}")
+    return out
+
+
 def norm(v):
     if v is None:
         return None
     if isinstance(v, float):
         if math.isnan(v):
             return None
-        return float(f"{v:.12g}")
+        return v if EXACT else float(f"{v:.12g}")
     if isinstance(v, decimal.Decimal):
         return float(f"{float(v):.12g}")
     if isinstance(v, dt.datetime):
@@ -77,6 +98,9 @@ def compare(spark, con, name: str, sf_dir: str, verbose: bool = True) -> dict:
                          "oracle_only": sorted(set(d_cols) - set(s_cols))}
         return out
     d_rows = [tuple(norm(r[idx[c]]) for c in sorted(s_cols)) for r in d_raw]
+    types = type_mismatches(sdf, res.description)
+    if types:
+        out["types"] = types
     cs, cd = Counter(s_rows), Counter(d_rows)
     if cs == cd:
         out["status"] = "match"
