@@ -29,9 +29,15 @@ def to_minor(amount, scale: int = 100) -> Column:
 
 
 def int_div(num, den) -> Column:
-    """Exact integer quotient of a non-negative ``num`` by a positive ``den``."""
+    """Exact integer quotient of a non-negative ``num`` by a positive ``den``.
+
+    ``num - num % den`` is an exact multiple of ``den``, and dividing it as
+    DECIMAL(38,0) is exact for every 64-bit value (a DOUBLE division would not be
+    beyond 2^53).
+    """
     n, d = _col(num), _col(den)
-    return ((n - n % d) / d).cast("bigint")
+    exact = (n - n % d).cast("decimal(38,0)") / d.cast("decimal(38,0)")
+    return exact.cast("bigint")
 
 
 def round_div(num, den) -> Column:
