@@ -145,9 +145,19 @@ class Models:
         return subscribers.fct_subscriber_daily(self.int_subscriber_daily, as_of)
 
     def revenue_projections(self, as_of):
-        return projections.revenue_projections(self.month_accrual, self.charge_accrual,
+        return projections.revenue_projections(self.subscriber_month_accrual, self.subscriber_accrual,
                                                self.int_subscriptions, as_of)
 
+    @cached_property
+    def subscriber_month_accrual(self):
+        """Month roll-up of the subscriber stream only (all the projections read)."""
+        return revenue.month_accrual(self.int_charges, None)
+
+    @cached_property
+    def subscriber_accrual(self):
+        """Charge accrual rows of the subscriber stream only."""
+        return revenue.charge_accrual(self.int_charges, None)
+
     def subscriber_compat(self, as_of=None):
         return subscribers.subscriber_compat(self.subscriber_daily(as_of))
 
@@ -175,13 +185,13 @@ class Models:
     def projection_parts(self, as_of):
         """Intermediate relations of the projection mart (for inspection and checks)."""
         win = projections.ReportingWindow.of(as_of)
-        actuals = projections.closed_actuals(self.month_accrual, as_of)
+        actuals = projections.closed_actuals(self.subscriber_month_accrual, as_of)
         return {
             "window": win,
             "actuals": actuals,
             "deltas": projections.with_projection(projections.delta_history(actuals, win)),
             "starts": projections.historical_starts(self.int_subscriptions),
-            "churn": projections.churn_last_accrual(self.int_subscriptions, self.charge_accrual),
-            "starts_revenue": projections.starts_revenue(self.int_subscriptions, self.charge_accrual),
-            "live": projections.live_counters(self.int_subscriptions, self.charge_accrual, win),
+            "churn": projections.churn_last_accrual(self.int_subscriptions, self.subscriber_accrual),
+            "starts_revenue": projections.starts_revenue(self.int_subscriptions, self.subscriber_accrual),
+            "live": projections.live_counters(self.int_subscriptions, self.subscriber_accrual, win),
         }

@@ -197,14 +197,17 @@ def int_payouts(charges: DataFrame) -> DataFrame:
 
 
 # -------------------------------------------------------------------- marts
-def charge_accrual(recognised: DataFrame, payouts: DataFrame) -> DataFrame:
-    """Both revenue streams at charge x month grain, with payer channel and period."""
+def charge_accrual(recognised: DataFrame, payouts: DataFrame | None) -> DataFrame:
+    """Both revenue streams at charge x month grain, with payer channel and period
+    (``payouts=None``: the subscriber stream only)."""
     subscriber = recognised.select(
         "charge_id", "subscription_id", "customer_id", "email", "billing_interval",
         "ss_subscription_interval", "charged_at", "charge_currency", "exchange_rate",
         "settled_amount_usd", "net_amount_usd", "reporting_month", "recognized_revenue_usd",
         "month_offset", F.lit(SUBSCRIBER).alias("revenue_type"),
         "net_amount_cents", "recognized_revenue_cents", "reporting_month_date")
+    if payouts is None:
+        return _accrual_columns(subscriber)
     types = dict(recognised.dtypes)
 
     def pad(name):
@@ -218,7 +221,10 @@ def charge_accrual(recognised: DataFrame, payouts: DataFrame) -> DataFrame:
         F.lit(0).cast("bigint").alias("month_offset"), F.lit(APP_STORE).alias("revenue_type"),
         "net_amount_cents", F.col("net_amount_cents").alias("recognized_revenue_cents"),
         "reporting_month_date")
-    both = subscriber.unionByName(app)
+    return _accrual_columns(subscriber.unionByName(app))
+
+
+def _accrual_columns(both: DataFrame) -> DataFrame:
     payer = F.when(F.col("revenue_type") == APP_STORE, "ios").when(
         F.col("revenue_type") == SUBSCRIBER, "stripe")
     return both.withColumns({
@@ -228,13 +234,18 @@ def charge_accrual(recognised: DataFrame, payouts: DataFrame) -> DataFrame:
     })
 
 
-def month_accrual(recognised: DataFrame, payouts: DataFrame) -> DataFrame:
-    """One row per fiscal month x revenue stream x billing interval."""
+def month_accrual(recognised: DataFrame, payouts: DataFrame | None) -> DataFrame:
+    """One row per fiscal month x revenue stream x billing interval.
+
+    ``payouts=None`` gives the subscriber stream only (what the projections read).
+    """
     subscriber = recognised.groupBy("reporting_month", "reporting_month_date", "billing_interval").agg(
         F.sum("recognized_revenue_cents").alias("recognized_revenue_cents"),
         F.count_distinct("customer_id").alias("subscriber_count"),
         F.count_distinct("charge_id").alias("charge_count"),
     ).withColumn("revenue_type", F.lit(SUBSCRIBER))
+    if payouts is None:
+        return _month_accrual_columns(subscriber)
     app = payouts.groupBy("reporting_month", "reporting_month_date").agg(
         F.sum("net_amount_cents").alias("recognized_revenue_cents"),
         F.count_distinct("charge_id").alias("charge_count"),
@@ -242,7 +253,10 @@ def month_accrual(recognised: DataFrame, payouts: DataFrame) -> DataFrame:
              F.lit(None).cast("string").alias("billing_interval"), "recognized_revenue_cents",
              F.lit(None).cast("bigint").alias("subscriber_count"), "charge_count",
              F.lit(APP_STORE).alias("revenue_type"))
-    both = subscriber.unionByName(app)
+    return _month_accrual_columns(subscriber.unionByName(app))
+
+
+def _month_accrual_columns(both: DataFrame) -> DataFrame:
     return both.select(
         "reporting_month",
         fiscal.period_start("reporting_month_date").alias("reporting_month_start"),
