@@ -8,11 +8,11 @@ Models read by several downstream branches (staged charges feed the current
 subscriptions, the recognised charges and the payouts; the projection mart reads
 subscriptions five times and the recognised charges through three accrual
 branches) would otherwise be re-derived per branch, because each branch prunes
-different columns and exchange reuse no longer applies.  With ``materialize=True`` the intermediate layer is
-written once as a Parquet table under the cluster's shared
-``spark.checkpoint.dir``: lineage is cut there, every branch reads the stored
-result with pruning and pushdown, and a lost executor costs a re-read, not a
-recomputation.
+different columns and exchange reuse no longer applies.  With
+``materialize=True`` the intermediate layer is written once as a Parquet table
+under the cluster's shared ``spark.checkpoint.dir``: lineage is cut there, every
+branch reads the stored result with pruning and pushdown, and a lost executor
+costs a re-read, not a recomputation.
 """
 
 from __future__ import annotations
