@@ -46,10 +46,11 @@ def check_accepted_values(df: DataFrame, model: str, col: str, values: Sequence)
     return bad.select(*_row("accepted_values", model, col, F.col("n")))
 
 
-def check_equal(df: DataFrame, model: str, a: str, b: str) -> DataFrame:
-    """Rows where ``a`` and ``b`` differ (NULL-aware)."""
+def check_equal(df: DataFrame, model: str, a: str, b: str, severity: str = "fail") -> DataFrame:
+    """Rows where ``a`` and ``b`` differ (NULL-aware); ``severity`` is the status on failure."""
     bad = df.agg(F.count_if(~F.col(a).eqNullSafe(F.col(b))).alias("n"))
-    return bad.select(*_row("equal", model, f"{a}={b}", F.col("n")))
+    status = F.when(F.col("n") == 0, "pass").otherwise(severity)
+    return bad.select(*_row("equal", model, f"{a}={b}", F.col("n"), status))
 
 
 def check_freshness(df: DataFrame, model: str, col: str, as_of: dt.date,
