@@ -66,10 +66,12 @@ class Sources:
 
 
 class Models:
-    def __init__(self, sources: Sources, materialize: bool = False, lazy: frozenset = frozenset()):
+    def __init__(self, sources: Sources, materialize: bool = False, lazy: frozenset = frozenset(),
+                 store: frozenset | None = None):
         self.src = sources
         self.materialize = materialize
         self.lazy = lazy          # models to keep lazy even when materializing (query targets)
+        self.store = store        # models to store when materializing (None: every storable one)
 
     @staticmethod
     def _contract(name: str, df: DataFrame) -> DataFrame:
@@ -87,7 +89,8 @@ class Models:
         gives later readers column pruning, filter pushdown and size statistics
         for join planning, and cuts lineage.
         """
-        if not self.materialize or name in self.lazy:
+        if (not self.materialize or name in self.lazy
+                or (self.store is not None and name not in self.store)):
             return df
         import uuid
         from subledger.session import scratch_path
