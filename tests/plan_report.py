@@ -33,8 +33,10 @@ NODES = [
 
 
 def final_plan(df) -> str:
-    df.write.format("noop").mode("overwrite").save()
-    text = df._jdf.queryExecution().executedPlan().toString()
+    qe = df._jdf.queryExecution()
+    qe.toRdd().count()          # execute this very plan (no rows to the driver) so AQE finalises it
+    text = qe.executedPlan().toString()
+    assert "AdaptiveSparkPlan" not in text or "isFinalPlan=true" in text
     return text.split("== Initial Plan ==")[0]
 
 
