@@ -169,7 +169,9 @@ class Models:
 
     # posts
     @cached_property
-    def stg_post_overview(self): return self._contract("stg_post_overview", posts.stg_post_overview(self.src.post_overview))
+    def stg_post_overview(self):
+        return self._stored(self._contract("stg_post_overview", posts.stg_post_overview(self.src.post_overview)),
+                            "stg_post_overview")
     @cached_property
     def stg_post_traffic(self): return self._contract("stg_post_traffic", posts.stg_post_traffic(self.src.post_traffic))
     @cached_property
