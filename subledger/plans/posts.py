@@ -6,10 +6,10 @@
   first element of ``posts``.
 * Traffic: three arrays of ``{category, measure}`` objects turned into 33 wide
   sums.  Instead of exploding each array, grouping and inner-joining three
-  aggregates, each row's sums are folded with higher-order functions
-  (``aggregate(filter(...))``) and one aggregation by key adds them up and keeps
-  the keys that produced elements in all three arrays: one shuffle instead of
-  three aggregations and two joins.
+  aggregates, each array is folded once per row with a higher-order
+  ``aggregate`` into a struct of its sums, and one aggregation by key adds them
+  up and keeps the keys that produced elements in all three arrays: one shuffle
+  instead of three aggregations and two joins.
 * Growth: lenient text reads (numbers as text accepted) via string leaves and
   ``try_cast``.
 * Latest per post with last-known metrics is a single ``max_by`` aggregation
@@ -172,13 +172,22 @@ TRAFFIC_SCHEMA = (
 TRAFFIC_ARRAYS = ("referrers", "devices", "categories")
 
 
-def _row_sum(arr: Column, cat_field: str, label: str, value_field: str) -> Column:
-    """Sum of ``value_field`` (lenient integer) over elements whose category is ``label``;
-    NULL when no such element has a value (SQL SUM semantics)."""
+def _array_sums(arr: Column, measures: list[tuple[str, str, str, str]]) -> Column:
+    """One fold over ``arr`` giving, per ``(name, category field, label, measure field)``,
+    the sum of the lenient-integer measure over elements of that category; a sum
+    stays NULL when no such element has a value (SQL SUM semantics)."""
+    init = F.struct(*[F.lit(None).cast("bigint").alias(n) for n, *_ in measures])
+
     def step(acc, x):
-        v = x[value_field].try_cast("bigint")
-        return F.when(v.isNull(), acc).otherwise(F.coalesce(acc, F.lit(0).cast("bigint")) + v)
-    return F.aggregate(F.filter(arr, lambda x: x[cat_field] == label), F.lit(None).cast("bigint"), step)
+        fields = []
+        for name, cat, label, val in measures:
+            v = x[val].try_cast("bigint")
+            fields.append(F.when((x[cat] == label) & v.isNotNull(),
+                                 F.coalesce(acc[name], F.lit(0).cast("bigint")) + v)
+                          .otherwise(acc[name]).alias(name))
+        return F.struct(*fields)
+
+    return F.aggregate(arr, init, step)
 
 
 def stg_post_traffic(landing: DataFrame) -> DataFrame:
@@ -186,11 +195,14 @@ def stg_post_traffic(landing: DataFrame) -> DataFrame:
     parsed = landing.where(F.col("post_id").isNotNull() & F.col("publication").isNotNull()
                            & F.col("snapshot_date").isNotNull()).select(
         *KEYS, F.from_json("data", TRAFFIC_SCHEMA).alias("j"))
-    per_row = parsed.select(
+    folded = parsed.select(
         *KEYS,
         *[F.coalesce(F.size(F.col(f"j.{a}")), F.lit(0)).alias(f"__n_{a}") for a in TRAFFIC_ARRAYS],
-        *[_row_sum(F.col(f"j.{arr}"), cat, lbl, val).alias(name)
-          for name, arr, cat, lbl, val in TRAFFIC_MEASURES])
+        *[_array_sums(F.col(f"j.{a}"), [(n, c, l, v) for n, arr, c, l, v in TRAFFIC_MEASURES if arr == a])
+          .alias(f"__s_{a}") for a in TRAFFIC_ARRAYS])
+    per_row = folded.select(
+        *KEYS, *[f"__n_{a}" for a in TRAFFIC_ARRAYS],
+        *[F.col(f"__s_{arr}.{name}").alias(name) for name, arr, *_ in TRAFFIC_MEASURES])
     per_row = per_row.withColumns({f"__n_{a}": F.greatest(F.col(f"__n_{a}"), F.lit(0))
                                    for a in TRAFFIC_ARRAYS})
     agg = per_row.groupBy(*KEYS).agg(
