@@ -47,12 +47,12 @@ class Sources:
     @classmethod
     def from_driver_tables(cls, spark: SparkSession, root: str) -> "Sources":
         """Bindings over the driver test tables under ``root`` (one scan per table)."""
-        from subledger.sources.tables import load
+        from subledger.sources.tables import DRIVER_SCHEMAS, load
         scans: dict[str, DataFrame] = {}
 
         def scan(table: str) -> DataFrame:
             if table not in scans:
-                scans[table] = load(spark, root, table)
+                scans[table] = load(spark, root, table, DRIVER_SCHEMAS.get(table))
             return scans[table]
 
         return cls({n: (lambda n=n: getattr(bindings, n)(spark, root, scan)) for n in SOURCE_NAMES})
