@@ -13,8 +13,8 @@ def _any(rules) -> str:
 _RULES = rf"""
 WITH texts AS (
   SELECT row_number() OVER () AS row_no, doc_id, coalesce(text, '') AS t,
-         list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '') AS w,
-         list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS l
+         list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l
   FROM documents),
 windows AS (
   SELECT row_no, i, array_to_string(w[i:i + 7], ' ') AS words
@@ -32,7 +32,7 @@ measured AS (
          CAST(coalesce(covered.n, 0) AS BIGINT) AS n_repeat_words, len(list_distinct(w)) AS n_distinct_words,
          length(regexp_replace(t, '[^A-Z]', '', 'g')) AS n_capitals,
          length(regexp_replace(t, '[^A-Za-z]', '', 'g')) AS n_latin,
-         len(list_filter(range(2, len(w) + 1), j -> w[j] = w[j - 1])) AS n_stutter
+         len(list_filter(range(2, len(w) + 1), lambda j: w[j] = w[j - 1])) AS n_stutter
   FROM texts LEFT JOIN covered USING (row_no))
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        ({_any(BASE)}) AS base_failed, NOT ({_any(dict.fromkeys(BASE + POLICIES[PRODUCTION]))}) AS kept,
