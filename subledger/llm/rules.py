@@ -60,16 +60,20 @@ def _paired(level: str, distance: int) -> Column:
 
 
 def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document with all measurements of the rules.
+    """One row per document with all measurements of the rules."""
+    return _measure(id_and_text(docs, id_col, text_col), ("doc_id",))
+
+
+def _measure(base: DataFrame, carried: tuple[str, ...]) -> DataFrame:
+    """The ``carried`` columns and the measurements of ``text``.
 
     The repeated-window measure works on arrays inside the row: no shuffle, whatever the size of the corpus.
     """
     k = WINDOW_WORDS
-    base = id_and_text(docs, id_col, text_col)
-    split = base.select("doc_id", "text", _words(F.col("text")).alias("words"),
+    split = base.select(*carried, "text", _words(F.col("text")).alias("words"),
                         F.filter(F.split("text", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")).alias("lines"))
     counted = split.select(
-        "doc_id",
+        *carried,
         F.size("words").cast("long").alias("n_words"),
         F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
         F.regexp_count("text", F.lit(r"[#*$%&|<>]")).cast("long").alias("n_symbols"),
@@ -101,16 +105,27 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
             F.lit(k), F.coalesce(F.get(F.col("starts"), j + 1) - s, F.lit(k)))),
         F.lit(0).cast("long"), lambda a, x: a + x)
     return starts.select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines",
+        *carried, "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines",
         F.coalesce(covered, F.lit(0)).cast("long").alias("n_repeat_words"),
         "n_distinct_words", "n_capitals", "n_latin", "n_stutter")
 
 
-def rule_ledger(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Measurements plus ``failed_bits``: bit i is set when rule i of :data:`RULES` fails."""
+def _with_bits(measured: DataFrame) -> DataFrame:
     bits = reduce(lambda a, b: a.bitwiseOR(b), (
         F.when(F.expr(sql), F.lit(BIT[name])).otherwise(F.lit(0)).cast("long") for name, (_, sql) in RULES.items()))
-    return measure(docs, id_col, text_col).withColumn("failed_bits", bits)
+    return measured.withColumn("failed_bits", bits)
+
+
+def rule_ledger(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Measurements plus ``failed_bits``: bit i is set when rule i of :data:`RULES` fails."""
+    return _with_bits(measure(docs, id_col, text_col))
+
+
+def filter_documents(docs: DataFrame, policy: str = PRODUCTION, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, that pass a policy; the row travels beside its measurements, so nothing is joined."""
+    base = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), F.coalesce(docs[text_col], F.lit("")).alias("text"))
+    judged = apply_policy(_with_bits(_measure(base, ("row",))), policy)
+    return judged.where("kept").select("row.*")
 
 
 def apply_policy(ledger: DataFrame, policy: str = PRODUCTION) -> DataFrame:

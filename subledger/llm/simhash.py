@@ -258,3 +258,21 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, radius: int = RADIUS,
     return prints.join(named, "fp", "left").select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
         F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
+
+
+def keep_one(spark: SparkSession, docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE, id_col: str = "doc_id",
+             text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, that stand for their component: those with its smallest id.  Rows that repeat such an id
+    are decided by least fingerprint, then one of equal rows; rows with a null id are kept."""
+    found = near_duplicates(spark, docs, radius, shingle, id_col, text_col)
+    kept = stored(spark, found.where("doc_id = component_id").select(F.col("doc_id").alias("__kept")).distinct(), "kept")
+    names = docs.columns
+    key = docs[id_col].cast("long")
+    rows = docs.select(F.struct(*(docs[c] for c in names)).alias("row"), key.alias("__key"))
+    mine = rows.join(kept, F.col("__key") == F.col("__kept"), "left_semi")
+    repeated = rows.groupBy("__key").agg(F.count("*").alias("__n")).where("__n > 1 AND __key IS NOT NULL")
+    if repeated.take(1):   # one row of each repeated id
+        several = mine.join(repeated.select("__key"), "__key", "left_semi").groupBy("__key").agg(
+            F.min_by("row", F.xxhash64(F.to_json("row"))).alias("row")).select("row")
+        mine = mine.join(repeated.select("__key"), "__key", "left_anti").select("row").unionByName(several)
+    return mine.select("row").unionByName(rows.where("__key IS NULL").select("row")).select("row.*")
