@@ -14,7 +14,7 @@ from __future__ import annotations
 import numpy as np
 import zstandard
 
-BLOCK_BYTES = 6 << 20
+BLOCK_BYTES = 4 << 20
 BUCKET_KEYS = 1_500_000
 
 

@@ -146,6 +146,10 @@ def ask(order: int, buckets: int):
             else:
                 keys, place, _ = b.pairs()
             counts = np.bincount(place[b.token_trained], minlength=len(keys)).astype(np.uint32)
+            if order == 1:   # only what a document outside training holds can need an alpha
+                outside = np.zeros(len(keys), dtype=bool)
+                outside[place[~b.token_trained]] = True
+                counts |= outside.astype(np.uint32) << np.uint32(31)
             out = [{"bucket": bucket, "block": b.block, "keys": ex.pack_sorted(keys[lo:hi]),
                     "counts": ex.pack_array(counts[lo:hi])} for bucket, lo, hi in ex.cuts(keys, buckets)]
             yield pa.RecordBatch.from_pylist(out, schema=pa.schema(
@@ -154,8 +158,8 @@ def ask(order: int, buckets: int):
 
 
 def combine(order: int):
-    """A bucket's table (block -1: sorted keys and counts) and its answers: per block the corpus counts of its keys; for
-    pairs the top bit marks the one block that owns the pair."""
+    """A bucket's table (block -1: sorted keys and counts) and its answers: per block the corpus counts of its keys.  The top
+    bit marks the one block that owns the key, the next one a token of documents outside training."""
     def run(parts: pd.DataFrame) -> pd.DataFrame:
         parts = parts.sort_values("block", kind="stable")
         keys = [ex.unpack_sorted(k) for k in parts["keys"]]
@@ -163,9 +167,11 @@ def combine(order: int):
         lengths = [len(k) for k in keys]
         every = np.concatenate(keys)
         own = np.concatenate(counts)
+        outside, own = own >> np.uint32(31), own & np.uint32(0x7FFFFFFF)
         distinct, place = np.unique(every, return_inverse=True)
         total = np.bincount(place, weights=own, minlength=len(distinct)).astype(np.int64)
-        answer = total[place].astype(np.uint64)
+        anywhere = np.bincount(place, weights=outside, minlength=len(distinct)) > 0
+        answer = (total.astype(np.uint64) | (anywhere.astype(np.uint64) << np.uint64(62)))[place]
         held = np.flatnonzero(own > 0)
         _, first = np.unique(place[held], return_index=True)
         answer[held[first]] |= np.uint64(1 << 63)
@@ -247,11 +253,14 @@ def score_block(total: int, vocabulary: int, starts: int, d1: np.ndarray, d2: np
     sums; 2 how often a document (by its place) needs log10 alpha of a history."""
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         b = Block(next(left.itertuples(index=False)))
-        top = np.uint64(1 << 63)
-        c1 = (_answers(right[right["order"] == 1]) & ~top).astype(np.int64)
+        top, plain = np.uint64(1 << 63), np.uint64((1 << 62) - 1)
+        answer1 = _answers(right[right["order"] == 1])
+        c1 = (answer1 & plain).astype(np.int64)
+        wanted = (answer1 >> np.uint64(62) & np.uint64(1)) != 0
         answer2 = _answers(right[right["order"] == 2])
         owned = (answer2 & top) != 0
-        c2 = (answer2 & ~top).astype(np.int64)
+        c2 = (answer2 & plain).astype(np.int64)
+        del answer1, answer2
         _, place, shown = b.pairs()
         # per distinct word
         p1 = _discount(c1, d1) / mass
@@ -274,6 +283,7 @@ def score_block(total: int, vocabulary: int, starts: int, d1: np.ndarray, d2: np
                              "base_score": add(base[b.tokens]), "score": add(per_token)})
         docs["history"] = b.block * (1 << 24) + np.arange(len(docs))      # names the row: ids may repeat
         hist = b.histories().view(np.int64)
+        owned &= (first | wanted[before])[shown]
         mine = pd.DataFrame({"history": hist[shown][owned], "amount": p2[owned], "amount2": pair_p1[owned]})
         mine = mine.groupby("history", as_index=False).sum()
         mine["kind"] = 1
