@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import time
 import uuid
 import zlib
 
@@ -48,9 +49,14 @@ def stored(spark: SparkSession, df: DataFrame, name: str, partition_by: str | No
 
 
 def release(spark: SparkSession) -> None:
-    """Let Spark's cleaner drop the shuffle files of finished steps whose results are stored."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    """Let Spark's cleaner drop the shuffle files of finished steps whose results are stored.
+
+    Two rounds: Python's references to a finished plan go first, and the plan's own references with the next one.
+    """
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.3)
 
 
 def texts_of(batch: pa.RecordBatch, name: str = "text") -> list[bytes]:
