@@ -15,14 +15,16 @@ Conversations may be of any length: "the latest earlier row" is taken per stretc
 between stretches, so that no task holds a whole conversation.
 
 Defined results: null and empty texts are messages without own text; a null conv_id or turn is kept, replies to nothing and is its own
-branch; rows that repeat (conv_id, turn) are each kept, ordered by role and text; an empty table gives no rows; extra columns are ignored.
+branch; rows that repeat (conv_id, turn) are each kept, in a fixed order; an empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from subledger.llm.common import stored
+
 STRETCH = 1024
 SIMILARITY = 0.8
 QUOTE = r"^((?:[ \t]*>)+)[ \t]?"
@@ -87,35 +89,41 @@ def link_passages(messages: DataFrame) -> DataFrame:
         "row_no", "passage", "level", F.col("best.origin").alias("origin"))
 
 
-def link_quotations(conversations: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role",
-                    text_col: str = "text") -> DataFrame:
-    """One row per message: ``conv_id, turn, role, text`` (no quotations), ``parent_turn, n_quotes, n_linked, branch_turn, position``."""
+def link_quotations(spark: SparkSession, conversations: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn",
+                    role_col: str = "role", text_col: str = "text") -> DataFrame:
+    """One row per message: ``conv_id, turn, role, text`` (no quotations), ``parent_turn, n_quotes, n_linked, branch_turn, position``.
+
+    Texts are read for the quotations and once more for the output; the reply order is worked out on ids alone, and each of its
+    steps is stored.
+    """
     source = conversations
     messages = source.select(source[conv_col].cast("long").alias("conv"), source[turn_col].cast("long").alias("turn"),
                              source[role_col].cast("string").alias("role"), F.coalesce(source[text_col], F.lit("")).alias("text"))
     # equal rows share a number and so one fate
     messages = messages.withColumn("row_no", F.xxhash64("conv", "turn", "role", "text"))
-    links = link_passages(messages.dropDuplicates(["row_no"])).groupBy("row_no").agg(
+    links = stored(spark, link_passages(messages.dropDuplicates(["row_no"])).groupBy("row_no").agg(
         F.count("*").alias("n_quotes"), F.count("origin").alias("n_linked"),
-        F.max(F.when(F.col("origin").isNotNull(), F.struct((-F.col("level")).alias("l"), "origin")))["origin"].alias("quoted_turn"))
-    linked = messages.join(links, "row_no", "left")
-    before = last_before(linked.withColumn("own_turn", F.col("turn")), ["conv"], "turn", "own_turn", "previous")
-    placed = before.withColumn("opens", F.when(
-        F.col("previous").isNull() | (F.col("quoted_turn") < F.col("previous")), F.col("turn")))
+        F.max(F.when(F.col("origin").isNotNull(), F.struct((-F.col("level")).alias("l"), "origin")))["origin"].alias("quoted_turn")),
+        "quotations")
+    linked = messages.where("conv IS NOT NULL AND turn IS NOT NULL").select(
+        "conv", "turn", "row_no", F.col("turn").alias("own_turn")).join(links, "row_no", "left")
+    before = last_before(linked, ["conv"], "turn", "own_turn", "previous")
+    placed = stored(spark, before.withColumn("opens", F.when(
+        F.col("previous").isNull() | (F.col("quoted_turn") < F.col("previous")), F.col("turn"))), "replies")
     # the branch is opened at the latest opening turn up to the message's own
-    branched = last_before(placed, ["conv"], "turn", "opens", "earlier").withColumn("branch_turn", F.coalesce("opens", "earlier"))
-    counted = _positions(branched.withColumn("turn_group", F.floor(F.col("turn") / STRETCH)))
-    lone = F.col("conv").isNull() | F.col("turn").isNull()
-    text = F.trim(F.regexp_replace(F.array_join(F.filter(F.split("text", "\r?\n"), lambda x: ~_is_quote(x)), "\n"), r"\n{3,}", "\n\n"))
-    outer = messages.where(lone).select(
-        F.col("conv").alias("conv_id"), "turn", "role", text.alias("text"), F.lit(None).cast("long").alias("parent_turn"),
-        F.lit(0).cast("long").alias("n_quotes"), F.lit(0).cast("long").alias("n_linked"), F.col("turn").alias("branch_turn"),
-        F.lit(0).cast("long").alias("position"))
-    return counted.where(~lone).select(
-        F.col("conv").alias("conv_id"), "turn", "role", text.alias("text"),
+    branched = stored(spark, last_before(placed, ["conv"], "turn", "opens", "earlier").select(
+        "conv", "turn", "row_no", F.coalesce("opens", "earlier").alias("branch_turn"), F.floor(F.col("turn") / STRETCH).alias("turn_group"),
         F.when(F.col("opens").isNotNull(), F.col("quoted_turn")).otherwise(F.col("previous")).alias("parent_turn"),
-        F.coalesce("n_quotes", F.lit(0)).cast("long").alias("n_quotes"), F.coalesce("n_linked", F.lit(0)).cast("long").alias("n_linked"),
-        "branch_turn", "position").unionByName(outer)
+        F.coalesce("n_quotes", F.lit(0)).cast("long").alias("n_quotes"), F.coalesce("n_linked", F.lit(0)).cast("long").alias("n_linked")),
+        "branches")
+    lone = messages.where("conv IS NULL OR turn IS NULL").select(
+        "conv", "turn", "row_no", F.col("turn").alias("branch_turn"), F.lit(None).cast("long").alias("parent_turn"),
+        F.lit(0).cast("long").alias("n_quotes"), F.lit(0).cast("long").alias("n_linked"), F.lit(0).cast("long").alias("position"))
+    rows = _positions(branched).select(*lone.columns).unionByName(lone)
+    text = F.trim(F.regexp_replace(F.array_join(F.filter(F.split("text", "\r?\n"), lambda x: ~_is_quote(x)), "\n"), r"\n{3,}", "\n\n"))
+    texts = messages.dropDuplicates(["row_no"]).select("row_no", "role", text.alias("text"))
+    return rows.join(texts, "row_no").select(
+        F.col("conv").alias("conv_id"), "turn", "role", "text", "parent_turn", "n_quotes", "n_linked", "branch_turn", "position")
 
 
 def _positions(rows: DataFrame) -> DataFrame:
@@ -123,6 +131,6 @@ def _positions(rows: DataFrame) -> DataFrame:
     counts = rows.groupBy("conv", "branch_turn", "turn_group").agg(F.count("*").alias("n"))
     earlier = Window.partitionBy("conv", "branch_turn").orderBy("turn_group").rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.withColumn("skipped", F.coalesce(F.sum("n").over(earlier), F.lit(0))).drop("n")
-    inside = Window.partitionBy("conv", "branch_turn", "turn_group").orderBy("turn", "role", "text")
+    inside = Window.partitionBy("conv", "branch_turn", "turn_group").orderBy("turn", "row_no")
     return rows.withColumn("place", F.row_number().over(inside)).join(counts, ["conv", "branch_turn", "turn_group"]).withColumn(
         "position", (F.col("skipped") + F.col("place") - 1).cast("long"))

@@ -26,6 +26,7 @@ import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from subledger.llm.common import id_and_text, release, stored, texts_of
 
@@ -243,15 +244,18 @@ def sanitise(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_
 
     if not spans.take(1):
         return docs.mapInArrow(patterns, schema)
-    keyed = docs.mapInArrow(_with_hash(names, place), schema.add("__hash", "long"))
+    # columns travel under numbers, so that no name of theirs can clash
+    numbered = StructType([StructField(f"c{i}", f.dataType) for i, f in enumerate(schema.fields)] + [StructField("__hash", LongType())])
+    keyed = docs.mapInArrow(_with_hash(place), numbered)
     return keyed.join(spans, "__hash", "left").drop("__hash").mapInArrow(both, schema)
 
 
-def _with_hash(names, place):
+def _with_hash(place):
     def run(batches):
         for batch in batches:
             hashes = [xxhash.xxh64_intdigest(t or b"") - (1 << 63) for t in batch.column(place).cast(pa.binary()).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(hashes, pa.int64())], [*names, "__hash"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(hashes, pa.int64())],
+                                              [*(f"c{i}" for i in range(batch.num_columns)), "__hash"])
     return run
 
 

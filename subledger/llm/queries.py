@@ -39,7 +39,7 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     from subledger.llm.chat import link_quotations
-    return link_quotations(table(spark, sf_dir, "conversations"))
+    return link_quotations(spark, table(spark, sf_dir, "conversations"))
 
 
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
