@@ -269,7 +269,8 @@ def keep_one(spark: SparkSession, docs: DataFrame, radius: int = RADIUS, shingle
     names = docs.columns
     key = docs[id_col].cast("long")
     rows = docs.select(F.struct(*(docs[c] for c in names)).alias("row"), key.alias("__key"))
-    mine = rows.join(kept, F.col("__key") == F.col("__kept"), "left_semi")
+    # the kept ids grow with the input: one plan at every size, never a broadcast
+    mine = rows.join(kept.hint("merge"), F.col("__key") == F.col("__kept"), "left_semi")
     repeated = rows.groupBy("__key").agg(F.count("*").alias("__n")).where("__n > 1 AND __key IS NOT NULL")
     if repeated.take(1):   # one row of each repeated id
         several = mine.join(repeated.select("__key"), "__key", "left_semi").groupBy("__key").agg(
