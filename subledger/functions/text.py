@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 # The plan-text price pattern and the bulk-payout description format.
 PRICE_PATTERN = r"\$(\d+(?:\.\d+)?)"
+EDGE_SPACE = r"^[\s\p{Z}\x{85}]+|[\s\p{Z}\x{85}]+$"
 PAYOUT_PREFIX = "Earnings from App Store subscriptions for"
 PAYOUT_LABEL_PATTERN = r"for (.+)$"
 
@@ -16,8 +17,8 @@ def _col(c) -> Column:
 
 
 def normalise_email(c) -> Column:
-    """Join key for e-mails: lower-cased, surrounding blanks removed."""
-    return F.lower(F.trim(_col(c)))
+    """Join key for e-mails: lower-cased, surrounding white space of any kind removed."""
+    return F.lower(F.regexp_replace(_col(c), EDGE_SPACE, ""))
 
 
 def imputed_price(c) -> Column:

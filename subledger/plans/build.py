@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from subledger.plans import projections, revenue, subscribers
 from subledger.plans.catalog import Models, Sources
-from subledger.sinks.history import (current_version, initial_history, read_current, scd2_check,
+from subledger.sinks.history import (complete_versions, current_version, initial_history, read_current, scd2_check,
                                      write_versioned)
 from subledger.sinks.tables import publish_view, refresh_partitions, table_exists, write_full
 
@@ -82,7 +82,7 @@ def build_all(spark: SparkSession, sources: Sources, out_root: str, as_of: dt.da
     # snapshot history: apply today's latest subscriber list to the stored history
     hist_root = os.path.join(out_root, "snapshots", "subscriber_history")
     incoming = m.int_subscribers
-    if table_exists(spark, os.path.join(hist_root, "_CURRENT")):
+    if complete_versions(spark, hist_root):
         version = current_version(spark, hist_root) + 1
         history = scd2_check(read_current(spark, hist_root), incoming, "subscription_id",
                              ["cancel_date"], "snapshot_date")

@@ -124,7 +124,7 @@ def stg_post_overview(landing: DataFrame) -> DataFrame:
         if kind == "str":
             c = _strict_text(c)
         elif kind == "ts":
-            c = _strict_text(c).cast("timestamp_ntz")
+            c = _strict_text(c).cast("timestamp").cast("timestamp_ntz")   # an offset names an instant; the session is UTC
         cols.append(c.alias(name))
     return landing.select(*KEYS, *cols)
 
@@ -134,7 +134,7 @@ def int_post_overview(overview: DataFrame) -> DataFrame:
     src = overview.withColumn(
         "stats_updated_at",
         F.timestamp_millis("stats_updated_at").cast("timestamp_ntz"))
-    latest = latest_with_last_known(src, ["post_id"], ["snapshot_date"], LAST_KNOWN)
+    latest = latest_with_last_known(src, ["post_id"], ["snapshot_date", "publication"], LAST_KNOWN)
     front = ["post_id", "snapshot_date", "publication"]
     rest = [n for n, _, _ in OVERVIEW_FIELDS]
     return latest.select(*front, *rest)

@@ -5,8 +5,7 @@
 * AQE with partition coalescing and skew-join splitting: the N:1 joins of the
   models (charge -> invoice -> subscription, e-mail enrichment) are hash joins
   whose many side can carry a hot key; AQE splits such partitions at run time.
-* Dynamic partition overwrite so a refresh replaces only the day partitions it
-  produced.
+* A skewed join is split even where a window follows and another shuffle is the price.
 * Checkpoints go to the shared folder named by ``spark.checkpoint.dir``; a value
   is only supplied when the session has none (local tests).
 """
@@ -23,7 +22,7 @@ SESSION_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 

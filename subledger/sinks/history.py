@@ -60,9 +60,11 @@ def scd2_check(history: DataFrame, incoming: DataFrame, key: str, check_cols: Se
     data_cols = [c for c in incoming.columns]
     closed = history.where(F.col(VALID_TO).isNotNull())
     open_ = history.where(F.col(VALID_TO).isNull())
-    inc = incoming.select(*[F.col(c).alias(f"__in_{c}") for c in data_cols])
-    j = open_.join(inc, open_[key] == inc[f"__in_{key}"], "full_outer")
-    has_open, has_in = F.col(key).isNotNull(), F.col(f"__in_{key}").isNotNull()
+    # markers tell the sides apart, so a NULL key is a key like any other
+    open_ = open_.withColumn("__open", F.lit(True))
+    inc = incoming.select(*[F.col(c).alias(f"__in_{c}") for c in data_cols], F.lit(True).alias("__in"))
+    j = open_.join(inc, open_[key].eqNullSafe(inc[f"__in_{key}"]), "full_outer")
+    has_open, has_in = F.col("__open").isNotNull(), F.col("__in").isNotNull()
     same = _unchanged([F.col(c) for c in check_cols], [F.col(f"__in_{c}") for c in check_cols])
     changed = has_open & has_in & ~same
 
@@ -85,21 +87,32 @@ def initial_history(incoming: DataFrame, updated_at: str, valid_to_type: str = "
 
 
 def write_versioned(df: DataFrame, base: str, version: int) -> str:
-    """Write ``df`` as ``base/v=<version>`` and point ``base/_CURRENT`` at it.
+    """Write ``df`` as ``base/v=<version>``.
 
-    Readers resolve ``_CURRENT`` first, so a half-written version is never read.
+    The newest folder with a commit marker is the table: a half-written version is never read, and no pointer can get lost.
     """
     target = os.path.join(base, f"v={version}")
     df.write.mode("overwrite").parquet(target)
-    spark = df.sparkSession
-    spark.createDataFrame([(target,)], "path string").coalesce(1).write.mode("overwrite").text(
-        os.path.join(base, "_CURRENT"))
     return target
 
 
+def complete_versions(spark, base: str) -> list[int]:
+    """Numbers of the versions whose write was committed, rising."""
+    path_of = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = path_of(base).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path_of(base)):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(path_of(base))]
+    numbers = sorted(int(n[2:]) for n in names if n.startswith("v=") and n[2:].isdigit())
+    return [n for n in numbers if fs.exists(path_of(f"{base}/v={n}/_SUCCESS"))]
+
+
 def current_path(spark, base: str) -> str:
-    """Location the ``_CURRENT`` pointer names (one short text row)."""
-    return spark.read.text(os.path.join(base, "_CURRENT")).first()[0]
+    """Location of the newest complete version."""
+    versions = complete_versions(spark, base)
+    if not versions:
+        raise FileNotFoundError(f"no complete version under {base}")
+    return os.path.join(base, f"v={versions[-1]}")
 
 
 def current_version(spark, base: str) -> int:

@@ -12,17 +12,33 @@ from __future__ import annotations
 
 import datetime as dt
 import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
 def write_full(df: DataFrame, path: str, partition_by: str | None = None) -> str:
-    """Full rebuild of a table stored as Parquet at ``path``."""
-    writer = df.write.mode("overwrite")
+    """Full rebuild of a table stored as Parquet at ``path``.
+
+    The new rows are written beside the table first and take its place only when complete, so a failed run leaves the old
+    table as it was, and a rebuild keeps no partition of the old one.
+    """
+    spark = df.sparkSession
+    fresh, previous = (f"{path.rstrip('/')}__{kind}_{uuid.uuid4().hex}" for kind in ("new", "old"))
+    writer = df.write.mode("errorifexists")
     if partition_by:
         writer = writer.partitionBy(partition_by)
-    writer.parquet(path)
+    writer.parquet(fresh)
+    path_of = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = path_of(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    replaced = fs.exists(path_of(path)) and fs.rename(path_of(path), path_of(previous))
+    if not fs.rename(path_of(fresh), path_of(path)):
+        if replaced:
+            fs.rename(path_of(previous), path_of(path))
+        raise OSError(f"cannot put {fresh} in the place of {path}")
+    if replaced:
+        fs.delete(path_of(previous), True)
     return path
 
 
@@ -59,7 +75,8 @@ def refresh_partitions(daily: DataFrame, path: str, as_of: dt.date,
     src = daily if first_run else daily.where(
         F.col(part_col) >= F.lit(as_of - dt.timedelta(days=lookback_days)))
     out = build(src) if build else src
-    (out.write.mode("overwrite")
+    # one day's rows meet in as many tasks as their size asks for, instead of a file per task and day
+    (out.hint("rebalance", F.col(part_col)).write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(part_col)
         .parquet(path))

@@ -24,7 +24,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from subledger.sources.tables import load, spread_small_scan
+from subledger.sources.tables import load
 
 DIALECTS = {
     "spark": {
@@ -58,7 +58,6 @@ class Binding:
     columns: list[tuple[str, str]]
     where: str | None = None
     union: list["Binding"] = field(default_factory=list)
-    heavy: bool = False   # per-row work worth spreading a single-split scan for
 
     def to_spark(self, spark: SparkSession, root: str, scan=None) -> DataFrame:
         scan = scan or (lambda t: load(spark, root, t))
@@ -69,8 +68,6 @@ class Binding:
 
     def _one(self, scan) -> DataFrame:
         df = scan(self.table)
-        if self.heavy:
-            df = spread_small_scan(df)
         if self.where:
             df = df.where(F.expr(render(self.where, "spark")))
         return df.select([F.expr(render(e, "spark")).alias(c) for c, e in self.columns])
@@ -299,7 +296,7 @@ POST_OVERVIEW = Binding("events", [
     ("snapshot_date", "ts"),
     ("data", "(CASE WHEN event_id % 41 = 0 THEN '{\"posts\":[]}' ELSE "
              "'{\"posts\":' || " + j_arr([OVERVIEW_POST]) + " || '}' END)"),
-], heavy=True)
+])
 
 TRAFFIC_DATA = j_obj([
     ("referrers", j_arr([
@@ -325,7 +322,7 @@ POST_TRAFFIC = Binding("events", [
     ("publication", PUBLICATION),
     ("snapshot_date", "ts"),
     ("data", TRAFFIC_DATA),
-], heavy=True)
+])
 
 GROWTH_DATA = j_obj([
     ("subscribes", j_obj([("totals", j_obj([
@@ -345,7 +342,7 @@ POST_GROWTH = Binding("events", [
     ("publication", PUBLICATION),
     ("snapshot_date", "ts"),
     ("data", GROWTH_DATA),
-], heavy=True)
+])
 
 _COMMENT_COLUMNS = [
     ("comment_id", "conv_id * 1000 + turn"),

@@ -51,21 +51,6 @@ def load(spark: SparkSession, root: str, name: str, schema: StructType | str | N
     return reader.parquet(table_path(root, name))
 
 
-def spread_small_scan(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that yields fewer splits than the cluster has cores.
-
-    A table stored as one small file with one row group scans as a single task,
-    which then also runs every per-row expression (JSON parsing, payload
-    building) on one core.  Large tables have far more splits than cores and are
-    returned untouched, so at scale this adds no exchange.  Catalyst still pushes
-    filters and column pruning below the exchange into the Parquet reader.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
-
-
 def load_catalog(spark: SparkSession, name: str) -> DataFrame:
     """Scan a table registered in the session catalog (metastore or temp view)."""
     return spark.table(name)

@@ -1,5 +1,8 @@
 """Partition refresh, SCD2 history and the streaming refresh, on scratch folders."""
 
+import pytest
+
+
 import datetime as dt
 import os
 import uuid
@@ -106,3 +109,35 @@ def test_build_all_twice(spark, scratch):
     build_all(spark, Sources.from_driver_tables(spark, root), scratch, as_of)
     base = os.path.join(scratch, "snapshots", "subscriber_history")
     assert current_version(spark, base) == 2 and read_current(spark, base).count() == h1
+
+
+def test_failed_rebuild_keeps_the_old_table(spark, scratch):
+    from pyspark.sql import functions as F
+
+    from subledger.sinks.tables import write_full
+    path = os.path.join(scratch, "full")
+    days = spark.createDataFrame([(1, "2024-01-01"), (2, "2024-01-02")], "id long, day string")
+    write_full(days, path, "day")
+    with pytest.raises(Exception):
+        write_full(days.withColumn("id", F.raise_error(F.lit("broken")).cast("long")), path, "day")
+    assert spark.read.parquet(path).count() == 2
+    write_full(days.where("id = 2"), path, "day")      # a rebuild keeps no old day
+    assert [r.id for r in spark.read.parquet(path).collect()] == [2]
+
+
+def test_merge_keeps_versions_with_a_null_key(spark):
+    from subledger.sinks.history import initial_history, scd2_check
+    schema = "k string, v string, d date"
+    first = spark.createDataFrame([(None, "a", dt.date(2024, 1, 1)), ("x", "a", dt.date(2024, 1, 1))], schema)
+    history = initial_history(first, "d")
+    after = scd2_check(history, spark.createDataFrame([("x", "b", dt.date(2024, 1, 2))], schema), "k", ["v"], "d")
+    assert sorted((r.k or "", r.v) for r in after.collect()) == [("", "a"), ("x", "a"), ("x", "b")]
+
+
+def test_unfinished_version_is_not_read(spark, scratch):
+    from subledger.sinks.history import complete_versions, read_current, write_versioned
+    rows = spark.createDataFrame([(1,)], "id long")
+    assert complete_versions(spark, scratch) == []
+    write_versioned(rows, scratch, 1)
+    os.makedirs(os.path.join(scratch, "v=2"))
+    assert complete_versions(spark, scratch) == [1] and read_current(spark, scratch).count() == 1
