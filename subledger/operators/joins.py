@@ -25,19 +25,21 @@ def left_join_agg(df: DataFrame, many: DataFrame, key: str, aggs: Sequence[Colum
     return df.join(agg, df[key] == agg["__k"], "left").drop("__k")
 
 
-def left_join_on(left: DataFrame, right: DataFrame, left_key: Column, right_key: Column) -> DataFrame:
+def left_join_on(left: DataFrame, right: DataFrame, left_key: Column, right_key: Column,
+                 spread_by: Sequence[str] | None = None) -> DataFrame:
     """Left join on computed keys without funnelling NULL-key rows into one task.
 
     Both sides join on ``struct(is_null, key)``.  A left row whose key is NULL
-    gets ``(true, hash of the row)``: it still cannot match (every right key is
+    gets ``(true, hash of spread_by)``: it still cannot match (every right key is
     ``(false, key)``), but the hash spreads such rows over all reducers instead
     of one.  The hash is deterministic, so a retried map task routes rows the
     same way.  One pass over ``left``; ``right`` should be unique on its key for
-    the left grain to be kept (callers deduplicate first).  Helper columns are
-    dropped.
+    the left grain to be kept (callers deduplicate first).  ``spread_by`` names the
+    row's id; without it the whole row is hashed, which keeps every left column in
+    the plan.  Helper columns are dropped.
     """
     key_type = left.select(left_key.alias("k")).schema["k"].dataType
-    salt = F.xxhash64(*[F.col(c) for c in left.columns]).cast(key_type)
+    salt = F.xxhash64(*[F.col(c) for c in spread_by or left.columns]).cast(key_type)
     lk = left.withColumn("__lk", F.struct(left_key.isNull().alias("n"),
                                           F.coalesce(left_key.cast(key_type), salt).alias("k")))
     rk = right.where(right_key.isNotNull()).withColumn(

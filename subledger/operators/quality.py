@@ -2,7 +2,7 @@
 
 Every check returns a one-row-per-check DataFrame with the columns of
 ``REPORT_SCHEMA``: ``check``, ``model``, ``column``, ``failures``, ``status``.
-``not_null`` checks of one model share a single aggregate pass; ``unique`` is a
+``check_model`` takes all checks of one model in a single pass; ``unique`` is a
 ``groupBy(col).count() > 1`` (partial aggregation before the shuffle, so a hot
 value costs one row per map task).  Nothing is collected to the driver; a report
 is the union of the per-check rows.
@@ -61,5 +61,43 @@ def check_freshness(df: DataFrame, model: str, col: str, as_of: dt.date,
     return age.select(*_row("freshness", model, col, F.col("age"), status))
 
 
+def check_model(df: DataFrame, model: str, not_null: Sequence[str] = (), unique: str | None = None,
+                accepted: dict[str, Sequence] | None = None, equal: Sequence[tuple[str, str]] = (),
+                freshness: tuple[str, dt.date, int] | None = None) -> DataFrame:
+    """All checks of one model in one pass, a row per check.
+
+    The counts are summed per value of ``unique`` first (partially on the map side), so that the same pass also
+    finds repeated values.  ``equal`` is a warning; ``freshness`` is ``(column, as_of, warn_after_days)``.
+    An empty model has no failures, and no age.
+    """
+    bad = {("not_null", c): F.col(c).isNull() for c in not_null}
+    bad |= {("accepted_values", c): ~F.col(c).isin(*values) for c, values in (accepted or {}).items()}
+    bad |= {("equal", f"{a}={b}"): ~F.col(a).eqNullSafe(F.col(b)) for a, b in equal}
+    first = [F.count_if(cond).alias(f"m{i}") for i, cond in enumerate(bad.values())]
+    if freshness:
+        first.append(F.max(freshness[0]).alias("newest"))
+    if unique:
+        df = df.groupBy(F.col(unique).alias("__key")).agg(F.count("*").alias("__n"), *first)
+        last = [F.coalesce(F.sum(f"m{i}"), F.lit(0)).alias(f"m{i}") for i in range(len(bad))]
+        last.append(F.count_if(F.col("__key").isNotNull() & (F.col("__n") > 1)).alias("repeated"))
+        if freshness:
+            last.append(F.max("newest").alias("newest"))
+        df = df.agg(*last)
+    else:
+        df = df.agg(*first)
+    rows = []
+    for i, (check, column) in enumerate(bad):
+        failed = F.lit("warn" if check == "equal" else "fail")
+        rows.append(_row(check, model, column, F.col(f"m{i}"), F.when(F.col(f"m{i}") == 0, "pass").otherwise(failed)))
+    if unique:
+        rows.append(_row("unique", model, unique, F.col("repeated")))
+    if freshness:
+        column, as_of, days = freshness
+        age = F.datediff(F.lit(as_of), F.to_date("newest"))
+        rows.append(_row("freshness", model, column, age,
+                         F.when(age.isNull() | (age > days), "warn").otherwise("pass")))
+    return df.select(F.inline(F.array(*(F.struct(*r) for r in rows)))).select(*REPORT_COLUMNS)
+
+
 def report(checks: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, checks)

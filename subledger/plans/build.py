@@ -26,7 +26,7 @@ LAYERS = {
     "staging": ["stg_refunds", "stg_charges", "stg_invoices", "stg_plans", "stg_subscriptions",
                 "stg_subscription_items", "stg_customers", "stg_subscribers", "stg_post_overview",
                 "stg_post_traffic", "stg_post_growth", "stg_post_comments"],
-    "intermediate": ["int_subscriptions", "int_charges", "int_payouts", "int_subscriber_daily",
+    "intermediate": ["current_subscriptions", "recognised_charges", "int_subscriptions", "int_charges", "int_payouts", "int_subscriber_daily",
                      "int_subscribers", "int_post_overview", "int_post_traffic", "int_post_growth",
                      "int_post_comments"],
 }
@@ -58,7 +58,7 @@ def build_all(spark: SparkSession, sources: Sources, out_root: str, as_of: dt.da
 
     marts = {
         "charge_accrual": revenue.charge_accrual(m.int_charges, m.int_payouts),
-        "month_accrual": revenue.month_accrual(m.int_charges, m.int_payouts),
+        "month_accrual": revenue.month_accrual(m.recognised_charges, m.int_payouts),
         "post_overview": m.int_post_overview,
         "post_traffic": m.int_post_traffic,
         "post_growth": m.int_post_growth,

@@ -4,9 +4,8 @@
 a lazy DataFrame, so asking for a mart builds one logical plan spanning the
 layers beneath it; nothing runs until an action.
 
-Models read by several downstream branches (staged charges feed the current
-subscriptions, the recognised charges and the payouts; the projection mart reads
-subscriptions five times and the recognised charges through three accrual
+Models read by several downstream branches (the projection mart reads
+subscriptions five times and the recognised charges through four
 branches) would otherwise be re-derived per branch, because each branch prunes
 different columns and exchange reuse no longer applies.  With
 ``materialize=True`` the intermediate layer is written once as a Parquet table
@@ -21,6 +20,7 @@ from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from subledger.plans import posts, projections, revenue, subscribers
 from subledger.sources import bindings
@@ -123,13 +123,20 @@ class Models:
     @cached_property
     def int_subscriptions(self):
         return self._stored(revenue.int_subscriptions(
-            self.stg_subscriptions, self.stg_customers, self.stg_invoices, self.stg_charges,
-            self.stg_subscription_items, self.stg_plans), "int_subscriptions")
+            self.current_subscriptions, self.stg_customers, self.stg_invoices, self.stg_charges),
+            "int_subscriptions")
+    @cached_property
+    def current_subscriptions(self):
+        return self._stored(revenue.current_subscriptions(
+            self.stg_subscriptions, self.stg_subscription_items, self.stg_plans), "current_subscriptions")
+    @cached_property
+    def recognised_charges(self):
+        return self._stored(revenue.recognised_charges(
+            self.stg_charges, self.stg_invoices, self.current_subscriptions), "recognised_charges")
     @cached_property
     def int_charges(self):
-        return self._stored(revenue.int_charges(self.stg_charges, self.stg_invoices,
-                                                self.stg_subscribers, self.int_subscriptions),
-                            "int_charges")
+        return self._stored(revenue.int_charges(self.recognised_charges, self.stg_customers,
+                                                self.stg_subscribers), "int_charges")
     @cached_property
     def int_payouts(self): return self._stored(revenue.int_payouts(self.stg_charges), "int_payouts")
     @cached_property
@@ -142,24 +149,32 @@ class Models:
     @cached_property
     def charge_accrual(self): return revenue.charge_accrual(self.int_charges, self.int_payouts)
     @cached_property
-    def month_accrual(self): return revenue.month_accrual(self.int_charges, self.int_payouts)
+    def month_accrual(self): return revenue.month_accrual(self.recognised_charges, self.int_payouts)
+
+    def month_accrual_of(self, label: str):
+        """``month_accrual`` of one reporting month: only the charges that can reach it are read."""
+        first, end = revenue.charge_dates_of(label)
+        reach = (F.col("charged_at") >= F.lit(first)) & (F.col("charged_at") < F.lit(end))
+        charges = self.stg_charges.where(reach)
+        base = revenue.recognised_charges(charges, self.stg_invoices, self.current_subscriptions)
+        return revenue.month_accrual(base, revenue.int_payouts(charges))
 
     def subscriber_daily(self, as_of=None):
         return subscribers.fct_subscriber_daily(self.int_subscriber_daily, as_of)
 
     def revenue_projections(self, as_of):
         return projections.revenue_projections(self.subscriber_month_accrual, self.subscriber_accrual,
-                                               self.int_subscriptions, as_of)
+                                               self.current_subscriptions, as_of)
 
     @cached_property
     def subscriber_month_accrual(self):
         """Month roll-up of the subscriber stream only (all the projections read)."""
-        return revenue.month_accrual(self.int_charges, None)
+        return revenue.month_accrual(self.recognised_charges, None)
 
     @cached_property
     def subscriber_accrual(self):
         """Charge accrual rows of the subscriber stream only."""
-        return revenue.charge_accrual(self.int_charges, None)
+        return revenue.subscriber_accrual(self.recognised_charges)
 
     def subscriber_compat(self, as_of=None):
         return subscribers.subscriber_compat(self.subscriber_daily(as_of))
@@ -187,16 +202,17 @@ class Models:
     @cached_property
     def int_post_comments(self): return posts.latest_snapshot(self.stg_post_comments, "comment_id")
 
-    def projection_parts(self, as_of):
-        """Intermediate relations of the projection mart (for inspection and checks)."""
+    def projection_part(self, name: str, as_of):
+        """One intermediate relation of the projection mart (for inspection and checks)."""
         win = projections.ReportingWindow.of(as_of)
+        subs = self.current_subscriptions
+        if name == "starts":
+            return projections.historical_starts(subs)
+        if name == "churn":
+            return projections.churn_last_accrual(subs, self.subscriber_accrual)
+        if name == "starts_revenue":
+            return projections.starts_revenue(subs, self.subscriber_accrual)
+        if name == "live":
+            return projections.live_counters(subs, self.subscriber_accrual, win)
         actuals = projections.closed_actuals(self.subscriber_month_accrual, as_of)
-        return {
-            "window": win,
-            "actuals": actuals,
-            "deltas": projections.with_projection(projections.delta_history(actuals, win)),
-            "starts": projections.historical_starts(self.int_subscriptions),
-            "churn": projections.churn_last_accrual(self.int_subscriptions, self.subscriber_accrual),
-            "starts_revenue": projections.starts_revenue(self.int_subscriptions, self.subscriber_accrual),
-            "live": projections.live_counters(self.int_subscriptions, self.subscriber_accrual, win),
-        }
+        return actuals if name == "actuals" else projections.with_projection(projections.delta_history(actuals, win))

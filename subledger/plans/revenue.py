@@ -13,16 +13,18 @@ month x interval x stream.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from subledger.functions import fiscal
-from subledger.functions.classify import plan_interval
-from subledger.functions.money import to_major
+from subledger.functions.classify import ANNUAL, plan_interval
+from subledger.functions.money import round_div, to_major
 from subledger.functions.text import PAYOUT_PREFIX, payout_label
 from subledger.operators.dedup import latest_per_key
 from subledger.operators.joins import left_join_agg, left_join_on
-from subledger.operators.spread import spread_revenue
+from subledger.operators.spread import SPREAD_MONTHS, spread_revenue
 
 SUCCEEDED = "succeeded"
 SUBSCRIBER, APP_STORE = "subscriber", "app_store"
@@ -36,7 +38,7 @@ def stg_refunds(refund: DataFrame, balance_transaction: DataFrame) -> DataFrame:
         F.col("created").alias("refunded_at"))
     bt = balance_transaction.select(F.col("id").alias("bt_id"),
                                     F.abs("net").alias("refunded_net_cents"))
-    return (left_join_on(r, bt, F.col("balance_transaction_id"), F.col("bt_id"))
+    return (left_join_on(r, bt, F.col("balance_transaction_id"), F.col("bt_id"), ["refund_id"])
              .select("refund_id", "charge_id", "refunded_at",
                      to_major("refunded_net_cents").alias("refunded_net_usd"), "refunded_net_cents"))
 
@@ -54,7 +56,7 @@ def stg_charges(charge: DataFrame, balance_transaction: DataFrame, refunds: Data
     bt = balance_transaction.select(
         F.col("id").alias("bt_id"), F.col("amount").alias("settled_cents"),
         F.col("fee").alias("fee_cents"), F.col("net").alias("bt_net_cents"), "exchange_rate")
-    joined = left_join_on(c, bt, F.col("balance_transaction_id"), F.col("bt_id"))
+    joined = left_join_on(c, bt, F.col("balance_transaction_id"), F.col("bt_id"), ["charge_id"])
     joined = left_join_agg(joined, refunds, "charge_id",
                            [F.sum("refunded_net_cents").alias("refunded_cents")])
     net = F.col("bt_net_cents") - F.coalesce(F.col("refunded_cents"), F.lit(0))
@@ -111,37 +113,47 @@ def subscription_plans(items: DataFrame, plans: DataFrame) -> DataFrame:
 
 
 def last_invoices(invoices: DataFrame, charges: DataFrame) -> DataFrame:
-    """Latest invoice per subscription with the settled amount of its charge."""
-    inv = invoices.where(F.col("subscription_id").isNotNull())
-    ch = charges.select(F.col("invoice_id").alias("ch_invoice_id"), "charge_id",
-                        "settled_amount_usd", "net_amount_usd")
+    """Latest invoice per subscription with the settled amount of its charge: the invoice is picked first, so
+    only those rows meet the charges."""
+    inv = latest_per_key(invoices.where(F.col("subscription_id").isNotNull()), ["subscription_id"],
+                         ["invoice_created_at"], ["invoice_id"])
+    ch = latest_per_key(
+        charges.where(F.col("invoice_id").isNotNull()).select(
+            F.col("invoice_id").alias("ch_invoice_id"), "charge_id", "settled_amount_usd", "net_amount_usd"),
+        ["ch_invoice_id"], ["charge_id"])
     joined = inv.join(ch, inv.invoice_id == ch.ch_invoice_id, "left")
-    latest = latest_per_key(joined, ["subscription_id"], ["invoice_created_at"],
-                            ["invoice_id", "charge_id"])
-    return latest.select(
+    return joined.select(
         "subscription_id", "period_start", "period_end",
         F.datediff(F.to_date("period_end"), F.to_date("period_start")).alias("period_days"),
         F.col("settled_amount_usd").alias("amount_paid_usd"), "net_amount_usd")
 
 
-def int_subscriptions(subscriptions: DataFrame, customers: DataFrame, invoices: DataFrame,
-                      charges: DataFrame, items: DataFrame, plans: DataFrame) -> DataFrame:
-    """Current subscription: latest version, customer e-mail, last invoice, plan interval."""
+def current_subscriptions(subscriptions: DataFrame, items: DataFrame, plans: DataFrame) -> DataFrame:
+    """Latest version of each subscription with the interval of its plan: what recognition and projections read.
+
+    Customer and invoice columns are joined by ``int_subscriptions`` only, as a left join stays in a plan even
+    when none of its columns is read."""
     subs = latest_per_key(subscriptions, ["subscription_id"], ["_fivetran_start"], ["_fivetran_end"])
+    sp = subscription_plans(items, plans).withColumnRenamed("billing_interval", "plan_billing_interval")
+    return subs.join(sp, "subscription_id", "left").select(
+        "subscription_id", "customer_id", "status", "cancel_at_period_end", "canceled_at", "ended_at",
+        "subscription_created_at",
+        F.coalesce("plan_billing_interval", F.lit("monthly")).alias("billing_interval"))
+
+
+def int_subscriptions(current: DataFrame, customers: DataFrame, invoices: DataFrame,
+                      charges: DataFrame) -> DataFrame:
+    """Current subscription with its customer's e-mail and its last invoice."""
     cust = customers.select(F.col("customer_id").alias("c_customer_id"), "email")
     inv = last_invoices(invoices, charges)
-    sp = subscription_plans(items, plans)
-    out = (left_join_on(subs, cust, F.col("customer_id"), F.col("c_customer_id"))
-               .join(inv, "subscription_id", "left")
-               .join(sp.withColumnRenamed("billing_interval", "plan_billing_interval"),
-                     "subscription_id", "left"))
+    out = (left_join_on(current, cust, F.col("customer_id"), F.col("c_customer_id"), ["subscription_id"])
+               .join(inv, "subscription_id", "left"))
     return out.select(
         "subscription_id", "customer_id", "email", "status",
         F.col("period_start").alias("current_period_start"),
         F.col("period_end").alias("current_period_end"),
         "cancel_at_period_end", "canceled_at", "ended_at", "subscription_created_at",
-        F.coalesce("plan_billing_interval", F.lit("monthly")).alias("billing_interval"),
-        F.col("amount_paid_usd").alias("last_invoice_amount_usd"))
+        "billing_interval", F.col("amount_paid_usd").alias("last_invoice_amount_usd"))
 
 
 def latest_export_interval(subscribers: DataFrame) -> DataFrame:
@@ -156,31 +168,39 @@ def latest_export_interval(subscribers: DataFrame) -> DataFrame:
                          F.col("subscription_interval").alias("ss_subscription_interval"))
 
 
-def int_charges(charges: DataFrame, invoices: DataFrame, subscribers: DataFrame,
-                subscriptions: DataFrame) -> DataFrame:
-    """Invoice-linked charges of subscriptions, one row per recognition month."""
+def recognised_charges(charges: DataFrame, invoices: DataFrame, current: DataFrame) -> DataFrame:
+    """Invoice-linked charges of subscriptions with their fiscal month, one row per charge."""
     ch = charges.where(F.col("invoice_id").isNotNull()).select(
         "charge_id", "invoice_id", "charged_at", "charge_currency", "exchange_rate",
         "settled_amount_usd", "net_amount_usd", "net_amount_cents")
     inv = invoices.where(F.col("subscription_id").isNotNull()).select(
         F.col("invoice_id").alias("inv_invoice_id"), "subscription_id")
-    subs = subscriptions.select("subscription_id", "customer_id", "email", "status",
-                                "billing_interval")
+    subs = current.select("subscription_id", "customer_id", "billing_interval")
     base = (ch.join(inv, ch.invoice_id == inv.inv_invoice_id, "inner")
               .join(subs, "subscription_id", "inner"))
-    base = left_join_on(base, latest_export_interval(subscribers), F.col("email"), F.col("ss_email"))
-    base = base.withColumn("finance_month_date", fiscal.fiscal_month("charged_at"))
+    return base.withColumn("finance_month_date", fiscal.fiscal_month("charged_at"))
+
+
+def recognition_months(base: DataFrame) -> DataFrame:
+    """One row per charge and recognition month: what the projections read of the accrual."""
     spread = spread_revenue(base, "billing_interval", "net_amount_cents")
     month = F.add_months("finance_month_date", F.col("month_offset"))
-    return spread.select(
+    return spread.withColumns({
+        "reporting_month": fiscal.month_label(month), "reporting_month_date": month,
+        "recognized_revenue_usd": to_major("recognized_revenue_cents"),
+        "month_offset": F.col("month_offset").cast("bigint")})
+
+
+def int_charges(base: DataFrame, customers: DataFrame, subscribers: DataFrame) -> DataFrame:
+    """``recognised_charges`` with e-mail and the export's interval, one row per recognition month."""
+    cust = customers.select(F.col("customer_id").alias("c_customer_id"), "email")
+    base = left_join_on(base, cust, F.col("customer_id"), F.col("c_customer_id"), ["charge_id"])
+    base = left_join_on(base, latest_export_interval(subscribers), F.col("email"), F.col("ss_email"), ["charge_id"])
+    return recognition_months(base).select(
         "charge_id", "subscription_id", "customer_id", "email", "billing_interval",
         "ss_subscription_interval", "charged_at", "charge_currency", "exchange_rate",
-        "settled_amount_usd", "net_amount_usd",
-        fiscal.month_label(month).alias("reporting_month"),
-        to_major("recognized_revenue_cents").alias("recognized_revenue_usd"),
-        F.col("month_offset").cast("bigint").alias("month_offset"),
-        "net_amount_cents", "recognized_revenue_cents",
-        month.alias("reporting_month_date"))
+        "settled_amount_usd", "net_amount_usd", "reporting_month", "recognized_revenue_usd",
+        "month_offset", "net_amount_cents", "recognized_revenue_cents", "reporting_month_date")
 
 
 def int_payouts(charges: DataFrame) -> DataFrame:
@@ -197,17 +217,30 @@ def int_payouts(charges: DataFrame) -> DataFrame:
 
 
 # -------------------------------------------------------------------- marts
-def charge_accrual(recognised: DataFrame, payouts: DataFrame | None) -> DataFrame:
-    """Both revenue streams at charge x month grain, with payer channel and period
-    (``payouts=None``: the subscriber stream only)."""
+def charge_dates_of(label: str) -> tuple[dt.date, dt.date]:
+    """From (included) and to (not included) when a charge must have come to be recognised in the month ``label``:
+    its fiscal period and those of the months before that an annual charge is spread over."""
+    month = dt.datetime.strptime(label, "%B %Y").date()
+    back = month.year * 12 + month.month - SPREAD_MONTHS
+    first = dt.date(back // 12, back % 12 + 1, fiscal.CUT_DAY)
+    return first, (month + dt.timedelta(days=32)).replace(day=fiscal.CUT_DAY)
+
+
+def subscriber_accrual(base: DataFrame) -> DataFrame:
+    """Charge x month rows of the subscriber stream, without the columns of other joins."""
+    return _accrual_columns(recognition_months(base).select(
+        "charge_id", "subscription_id", "billing_interval", "reporting_month", "month_offset",
+        F.lit(SUBSCRIBER).alias("revenue_type"), "recognized_revenue_cents", "reporting_month_date"))
+
+
+def charge_accrual(recognised: DataFrame, payouts: DataFrame) -> DataFrame:
+    """Both revenue streams at charge x month grain, with payer channel and period."""
     subscriber = recognised.select(
         "charge_id", "subscription_id", "customer_id", "email", "billing_interval",
         "ss_subscription_interval", "charged_at", "charge_currency", "exchange_rate",
         "settled_amount_usd", "net_amount_usd", "reporting_month", "recognized_revenue_usd",
         "month_offset", F.lit(SUBSCRIBER).alias("revenue_type"),
         "net_amount_cents", "recognized_revenue_cents", "reporting_month_date")
-    if payouts is None:
-        return _accrual_columns(subscriber)
     types = dict(recognised.dtypes)
 
     def pad(name):
@@ -234,16 +267,28 @@ def _accrual_columns(both: DataFrame) -> DataFrame:
     })
 
 
-def month_accrual(recognised: DataFrame, payouts: DataFrame | None) -> DataFrame:
-    """One row per fiscal month x revenue stream x billing interval.
+def month_accrual(base: DataFrame, payouts: DataFrame | None) -> DataFrame:
+    """One row per fiscal month x revenue stream x billing interval, from ``recognised_charges``.
 
-    ``payouts=None`` gives the subscriber stream only (what the projections read).
+    Charges are summed per customer and fiscal month before the spread; the slice is rounded per charge first,
+    so the sums are those of the spread charges.  A charge has one fiscal month, so the charge counts of the
+    months that reach into a reporting month add up.  ``payouts=None`` gives the subscriber stream only.
     """
-    subscriber = recognised.groupBy("reporting_month", "reporting_month_date", "billing_interval").agg(
-        F.sum("recognized_revenue_cents").alias("recognized_revenue_cents"),
+    annual = F.col("billing_interval") == ANNUAL
+    slice_cents = F.when(annual, round_div(F.col("net_amount_cents"), F.lit(SPREAD_MONTHS))) \
+        .otherwise(F.col("net_amount_cents"))
+    per_customer = base.groupBy("finance_month_date", "billing_interval", "customer_id").agg(
+        F.sum(slice_cents).alias("cents"), F.count_distinct("charge_id").alias("charges"))
+    spread = per_customer.withColumn("month_offset", F.explode(
+        F.sequence(F.lit(0), F.when(annual, SPREAD_MONTHS - 1).otherwise(0))))
+    subscriber = spread.groupBy(
+        F.add_months("finance_month_date", F.col("month_offset")).alias("reporting_month_date"),
+        "billing_interval").agg(
+        F.sum("cents").alias("recognized_revenue_cents"),
         F.count_distinct("customer_id").alias("subscriber_count"),
-        F.count_distinct("charge_id").alias("charge_count"),
-    ).withColumn("revenue_type", F.lit(SUBSCRIBER))
+        F.sum("charges").alias("charge_count"),
+    ).withColumns({"revenue_type": F.lit(SUBSCRIBER),
+                   "reporting_month": fiscal.month_label("reporting_month_date")})
     if payouts is None:
         return _month_accrual_columns(subscriber)
     app = payouts.groupBy("reporting_month", "reporting_month_date").agg(

@@ -66,7 +66,8 @@ def latest_subscription_per_email(subscriptions: DataFrame) -> DataFrame:
 def int_subscriber_daily(subscribers: DataFrame, subscriptions: DataFrame) -> DataFrame:
     """Snapshot rows enriched with the payment subscription of the same e-mail."""
     stripe = latest_subscription_per_email(subscriptions)
-    j = left_join_on(subscribers, stripe, normalise_email("email"), normalise_email("stripe_email"))
+    j = left_join_on(subscribers, stripe, normalise_email("email"), normalise_email("stripe_email"),
+                     ["subscription_id", "snapshot_date"])
     return j.select(
         "snapshot_date", "snapshot_ts", "source_uri", "publication", "subscription_id", "user_id",
         "email", "name", "type", "subscription_interval", "stripe_plan", "country", "paid_source",
