@@ -8,7 +8,7 @@
    whole block of nodes at once: per plane one XOR, added into carry-save counters; a block is left as soon as all
    its nodes exceed the radius.  Keys with many nodes are cut into chunks, and every pair of chunks is one bounded
    unit of work: no group is collected whole, and no link is lost.
-4. A unit reports a spanning forest of its links, never all pairs.
+4. Units report which nodes they link as stars around the smallest node, never all pairs.
 5. Components: alternating star contraction of the links, each round stored under the checkpoint folder.
 
 Defined results: a text without words has fingerprint zero and links like any other; a text of fewer words than a shingle is
@@ -129,11 +129,10 @@ class BitPlanes:
 
 
 class Forest:
-    """Union-find over node ids; remembers only the links that joined two trees."""
+    """Union-find over node ids; the root of a tree is its smallest node."""
 
     def __init__(self):
         self.parent: dict[int, int] = {}
-        self.links: list[tuple[int, int]] = []
 
     def root(self, x: int) -> int:
         parent = self.parent
@@ -146,7 +145,10 @@ class Forest:
         a, b = self.root(x), self.root(y)
         if a != b:
             self.parent[max(a, b)] = min(a, b)
-            self.links.append((x, y))
+
+    def stars(self) -> list[tuple[int, int]]:
+        """Every other node of a tree with its root: no large node is a hub of links to smaller ones."""
+        return [(x, top) for x in list(self.parent) if (top := self.root(x)) != x]
 
 
 def _members(bits: int):
@@ -191,7 +193,7 @@ def compare_rows(unit: np.ndarray, fps: np.ndarray, nodes: np.ndarray, side: np.
 
 
 def linked(units: DataFrame, radius: int) -> DataFrame:
-    """``u, v``: a spanning forest of the links of every unit."""
+    """``u, v``: what the units link, as stars around the smallest node."""
     def run(batches):
         held: list[pa.Table] = []
         rows = 0
@@ -200,8 +202,8 @@ def linked(units: DataFrame, radius: int) -> DataFrame:
             forest = Forest()
             compare_rows(*(table.column(c).to_numpy() if c != "fp" else table.column(c).to_numpy().view(np.uint64)
                            for c in ("unit", "fp", "node", "side")), radius, forest)
-            if forest.links:
-                u, v = zip(*forest.links)
+            if stars := forest.stars():
+                u, v = zip(*stars)
                 yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
 
         for batch in batches:
@@ -232,7 +234,9 @@ def components(spark: SparkSession, links: DataFrame, name: str = "star") -> Dat
     state = None
     for i in range(1, 64):
         both = edges.union(edges.select("v", "u"))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        # stored, so that the join below has exchanges of its own, which a hub's rows can be split in
+        low = stored(spark, both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")),
+                     f"{name}low{i}")
         # large star: larger neighbours of u move to u's minimum
         large = edges.select(F.col("v").alias("u"), F.col("u").alias("w")).join(low, "u").select("w", "m")
         # small star: u and its smaller neighbours move to u's minimum
