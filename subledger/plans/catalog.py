@@ -194,7 +194,10 @@ class Models:
     @cached_property
     def stg_post_comments(self): return self._contract("stg_post_comments", posts.stg_post_comments(self.src.post_comments))
     @cached_property
-    def int_post_overview(self): return self._contract("int_post_overview", posts.int_post_overview(self.stg_post_overview))
+    def int_post_overview(self):
+        # the latest payloads are picked first: only those are parsed in full
+        latest = posts.stg_post_overview(posts.latest_snapshot(self.src.post_overview, "post_id"))
+        return self._contract("int_post_overview", posts.int_post_overview(self.stg_post_overview, latest))
     @cached_property
     def int_post_traffic(self): return posts.latest_snapshot(self.stg_post_traffic, "post_id")
     @cached_property

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from subledger.operators.dedup import latest_per_key, latest_with_last_known
+from subledger.operators.dedup import latest_per_key
 
 # Output column -> (JSON path under posts[0], type) of the overview
 # payload, in output order.  "ts" = timestamp text, "str" = strict text.
@@ -129,15 +129,19 @@ def stg_post_overview(landing: DataFrame) -> DataFrame:
     return landing.select(*KEYS, *cols)
 
 
-def int_post_overview(overview: DataFrame) -> DataFrame:
-    """Latest snapshot per post; volatile metrics carry their last non-NULL value."""
-    src = overview.withColumn(
-        "stats_updated_at",
-        F.timestamp_millis("stats_updated_at").cast("timestamp_ntz"))
-    latest = latest_with_last_known(src, ["post_id"], ["snapshot_date", "publication"], LAST_KNOWN)
-    front = ["post_id", "snapshot_date", "publication"]
-    rest = [n for n, _, _ in OVERVIEW_FIELDS]
-    return latest.select(*front, *rest)
+def int_post_overview(overview: DataFrame, latest: DataFrame | None = None) -> DataFrame:
+    """Latest snapshot per post; volatile metrics carry their last non-NULL value.
+
+    ``overview`` holds all staged rows, ``latest`` those of the latest snapshots (None: picked from ``overview``).  Only the volatile metrics are aggregated, so a reader of other columns prunes them from both sides.
+    """
+    latest = latest_snapshot(overview, "post_id") if latest is None else latest
+    order = F.struct("snapshot_date", "publication")
+    known = overview.groupBy(F.col("post_id").alias("__post")).agg(
+        *[F.max_by(c, F.when(F.col(c).isNotNull(), order)).alias(c) for c in LAST_KNOWN])
+    joined = latest.drop(*LAST_KNOWN).join(known, F.col("post_id").eqNullSafe(F.col("__post")), "left")
+    stamp = F.timestamp_millis("stats_updated_at").cast("timestamp_ntz").alias("stats_updated_at")
+    return joined.select("post_id", "snapshot_date", "publication",
+                         *[stamp if n == "stats_updated_at" else n for n, _, _ in OVERVIEW_FIELDS])
 
 
 # ---------------------------------------------------------------- traffic
