@@ -1,12 +1,14 @@
 """Personal data: patterns, and terms that give a protected value away.
 
 1. Patterns: e-mail addresses, IP addresses, card numbers (Luhn), phone numbers; each match is a protected value.
-2. Corpus co-occurrence: the terms within ``CONTEXT`` words of a value are its context.  Over all documents
+2. Corpus co-occurrence: every term of a document that holds a value stands beside that value.  Over all documents
        disclosure(t, e) = log2(P(e | t) / P(e)) / -log2 P(e),      P(e | t) = n(t, e) / n(t),    P(e) = n(e) / N
-   is the share of a value's information that a term reveals: 1 if the term implies the value.  n(t) counts all documents with
-   the term, n(t, e) those with the term in e's context.
-3. A term above ``DISCLOSURE`` with ``SUPPORT`` different texts as evidence is masked wherever it stands in a context of that
-   value: "removed" replaces it, "generalised" keeps its first letter.
+   is the share of a value's information that a term reveals: 1 if the term implies the value.  n(t) counts the documents with
+   the term, n(e) those with the value, n(t, e) those with both.
+3. A term above ``DISCLOSURE`` for any value, with ``SUPPORT`` different texts as evidence, is masked wherever it stands, in
+   every document: "removed" replaces it, "generalised" keeps its first letter.
+
+A term is a run of letters and digits of any length; in scripts written without spaces, each two neighbouring characters.
 
 Only hashes of values and terms are shuffled, never the values.  Every step is an aggregate with partial sums or a join with
 one row per key on one side; a document's spans meet at the document only.
@@ -21,6 +23,7 @@ import hashlib
 import re
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
@@ -28,14 +31,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from subledger.llm.common import id_and_text, release, stored, texts_of
+from subledger.llm.common import BoundedCache, id_and_text, release, stored, texts_of
 
 KINDS = ("email", "ip", "card", "phone")
-CONTEXT = 8            # words on either side of a value
 SUPPORT = 3            # different texts that must show a term beside a value
 DISCLOSURE = 0.9
-MIN_TERM = 4           # letters of a term
 COUNTER_ENTRIES = 200_000
+FILTER_BITS = 26       # the filter of revealing terms has 2^26 bits, however many they are
+CACHE_ENTRIES = 200_000
+MARKS = 50_000         # rows of a batch of marks
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -45,6 +49,8 @@ _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
 _TERM = re.compile(r"[^\W_]+")
+# Kana and Han characters
+_UNSPACED = re.compile("([\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]+)")
 MASKS = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]", "term": "[TERM]"}
 
 
@@ -103,40 +109,52 @@ def _value(kind: str, text: str) -> int:
     return _hash(kind + ":" + (text.lower() if kind in ("email", "ip") else re.sub(r"[^0-9]", "", text)))
 
 
-def contexts(text: str, spans) -> list[tuple[int, int, int, int]]:
-    """(value, term, start, end) of the terms within CONTEXT words of each value, outside all values."""
-    if not spans:
-        return []
-    taken = sorted((a, b) for _, a, b in spans)
+def _pieces(run: str) -> list[tuple[int, int]]:
+    """(start, end) of the terms of a run of letters and digits."""
+    out, at = [], 0
+    for i, part in enumerate(_UNSPACED.split(run)):
+        end = at + len(part)
+        if i % 2 and len(part) > 1:
+            out += [(x, x + 2) for x in range(at, end - 1)]
+        elif part:
+            out.append((at, end))
+        at = end
+    return out
+
+
+def runs_of(text: str) -> set[str]:
+    """The different terms of a text, as written."""
+    runs = set(_TERM.findall(text))
+    if not text.isascii() and _UNSPACED.search(text):
+        runs = {run[a:b] for run in runs for a, b in _pieces(run)}
+    return runs
+
+
+def places(text: str, terms, spans) -> list[tuple[str, int, int]]:
+    """(term, start, end) of ``terms``, given as written, where they stand outside all ``spans``."""
     merged: list[list[int]] = []
-    for a, b in taken:
+    for a, b in sorted((a, b) for _, a, b in spans):
         if merged and a <= merged[-1][1]:
             merged[-1][1] = max(merged[-1][1], b)
         else:
             merged.append([a, b])
-    terms, i = [], 0
+    out, i = [], 0
+    cut = not text.isascii() and _UNSPACED.search(text)
     for m in _TERM.finditer(text):
-        while i < len(merged) and merged[i][1] <= m.start():
-            i += 1
-        if i == len(merged) or m.end() <= merged[i][0]:
-            terms.append((m.start(), m.end()))
-    starts = [a for a, _ in terms]
-    from bisect import bisect_left
-    out = set()
-    for kind, a, b in spans:
-        value, here = _value(kind, text[a:b]), bisect_left(starts, a)
-        for x, y in terms[max(0, here - CONTEXT):here + CONTEXT]:
-            if y - x >= MIN_TERM:
-                out.add((value, _hash(text[x:y].lower()), x, y))
-    return sorted(out, key=lambda t: t[2])
+        at = m.start()
+        for x, y in (_pieces(m.group()) if cut else ((0, m.end() - at),)):
+            while i < len(merged) and merged[i][1] <= at + x:
+                i += 1
+            if (i == len(merged) or at + y <= merged[i][0]) and text[at + x:at + y] in terms:
+                out.append((text[at + x:at + y], at + x, at + y))
+    return out
 
 
 FOUND = ("row long, doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, base string, "
-         "text_hash long, context array<struct<value:long,term:long,a:int,b:int>>, protected array<long>")
+         "text_hash long, terms array<long>, protected array<long>")
 _FOUND = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), *((f"n_{k}", pa.int64()) for k in KINDS), ("base_sha256", pa.string()),
                     ("base", pa.string()), ("text_hash", pa.int64()),
-                    ("context", pa.list_(pa.struct([("value", pa.int64()), ("term", pa.int64()), ("a", pa.int32()), ("b", pa.int32())]))),
-                    ("protected", pa.list_(pa.int64()))])
+                    ("terms", pa.list_(pa.int64())), ("protected", pa.list_(pa.int64()))])
 
 
 def find(batches):
@@ -151,7 +169,7 @@ def find(batches):
             rows.append({"row": task + n, "doc_id": doc, **{f"n_{k}": count[k] for k in KINDS},
                          "base_sha256": hashlib.sha256(base.encode()).hexdigest(), "base": base,
                          "text_hash": xxhash.xxh64_intdigest(raw) - (1 << 63),
-                         "context": [dict(zip(("value", "term", "a", "b"), c)) for c in contexts(text, spans)],
+                         "terms": sorted({_hash(t.lower()) for t in runs_of(text)}) if spans else [],
                          "protected": sorted({_value(k, text[a:b]) for k, a, b in spans})})
             n += 1
         yield pa.RecordBatch.from_pylist(rows, schema=_FOUND)
@@ -166,7 +184,7 @@ def term_documents(batches):
                                           ["term", "n"])
     for batch in batches:
         for raw in texts_of(batch):
-            seen.update(t for t in set(_TERM.findall(raw.decode("utf-8", "replace").lower())) if len(t) >= MIN_TERM)
+            seen.update({t.lower() for t in runs_of(raw.decode("utf-8", "replace"))})
             if len(seen) > COUNTER_ENTRIES:
                 yield out()
                 seen.clear()
@@ -175,36 +193,94 @@ def term_documents(batches):
 
 
 def disclosing_terms(found: DataFrame, texts: DataFrame, support: int = SUPPORT, disclosure: float = DISCLOSURE) -> DataFrame:
-    """``value, term, disclosure``: terms that reveal a value beyond the threshold."""
-    documents = found.count()
-    beside = found.select("row", "text_hash", F.inline(F.array_distinct(F.transform(
-        "context", lambda c: F.struct(c["value"].alias("value"), c["term"].alias("term"))))))
-    pairs = beside.groupBy("value", "term", "text_hash").agg(F.count("*").alias("n")) \
-        .groupBy("value", "term").agg(F.sum("n").alias("n_both"), F.count("*").alias("n_texts")).where(F.col("n_texts") >= support)
-    values = found.select(F.explode("protected").alias("value")).groupBy("value").agg(F.count("*").alias("n_value"))
+    """``term, disclosure``: terms that reveal a value beyond the threshold, with the most that they reveal of one.
+
+    Values of the same documents have the same counts with every term and are measured once: a document with any number of
+    values of its own has one such group.
+    """
+    documents = max(found.count(), 1)
+    held = found.select("row", F.explode("protected").alias("value"))
+    share = F.col("n_value") / F.lit(documents)
+    values = held.groupBy("value").agg(F.count("*").alias("n_value"), F.bit_xor(F.xxhash64("row")).alias("rows")).where(share < 1)
+    # n(t, e) is at most n(e), so that a term with more documents than this can reveal nothing
+    values = values.withColumn("most", F.col("n_value") / F.pow(share, F.lit(1 - disclosure)) + 1e-6)
+    most = values.agg(F.max("most")).first()[0] or 0.0
+    groups = held.join(values, "value").select("row", F.xxhash64("rows", "n_value").alias("group"), "n_value", "most").distinct()
     terms = texts.select("text").mapInArrow(term_documents, "term long, n long").groupBy("term").agg(F.sum("n").alias("n_term"))
-    share = F.col("n_value") / F.lit(max(documents, 1))
-    measured = pairs.join(values, "value").join(terms, "term").withColumn("disclosure", F.when(
-        share < 1, (F.log2(F.col("n_both") / F.col("n_term")) - F.log2(share)) / -F.log2(share)).otherwise(0.0))
-    return measured.where(F.col("disclosure") >= disclosure).select("value", "term", "disclosure")
+    rare = found.where(F.size("protected") > 0).select("row", "text_hash", F.explode("terms").alias("term")) \
+        .join(terms.where(F.col("n_term") <= most), "term")
+    pairs = rare.join(groups, "row").where(F.col("n_term") <= F.col("most")).groupBy("group", "term").agg(
+        F.count("*").alias("n_both"), F.first("n_term").alias("n_term"), F.first("n_value").alias("n_value"),
+        F.count_distinct("text_hash").alias("n_texts")).where(F.col("n_texts") >= support)
+    measured = pairs.withColumn("disclosure", (F.log2(F.col("n_both") / F.col("n_term")) - F.log2(share)) / -F.log2(share))
+    return measured.where(F.col("disclosure") >= disclosure).groupBy("term").agg(F.max("disclosure").alias("disclosure"))
+
+
+def term_filter(revealing: DataFrame) -> bytes:
+    """One bit per hash prefix of the terms: of a fixed size, and of no effect on the result, as the marks are joined to the terms."""
+    bit = F.shiftrightunsigned("term", 64 - FILTER_BITS)
+    slots = revealing.select(F.shiftrightunsigned(bit, 6).alias("slot"), F.expr(
+        f"shiftleft(1L, cast(shiftrightunsigned(term, {64 - FILTER_BITS}) & 63 as int))").alias("bits")) \
+        .groupBy("slot").agg(F.bit_or("bits").alias("bits")).toArrow()
+    words = np.zeros(1 << (FILTER_BITS - 6), "<i8")
+    words[slots.column("slot").to_numpy()] = slots.column("bits").to_numpy()
+    return words.tobytes()
+
+
+def _marks(filter_):
+    """The places of the terms that pass the filter, of every text."""
+    def run(batches):
+        bits = filter_.value
+
+        def passes(run_: str) -> bool:
+            bit = (_hash(run_.lower()) & ((1 << 64) - 1)) >> (64 - FILTER_BITS)
+            return bool(bits[bit >> 3] >> (bit & 7) & 1)
+        maybe, rows = BoundedCache(passes, CACHE_ENTRIES), []
+        for batch in batches:
+            for raw in texts_of(batch):
+                text = raw.decode("utf-8", "replace")
+                terms = {t for t in runs_of(text) if maybe[t]}
+                if not terms:
+                    continue
+                text_hash, hashes = xxhash.xxh64_intdigest(raw) - (1 << 63), {t: _hash(t.lower()) for t in terms}
+                for t, a, b in places(text, terms, base_spans(text)):
+                    rows.append((text_hash, hashes[t], a, b))
+                    if len(rows) >= MARKS:
+                        yield _mark_batch(rows)
+                        rows = []
+        if rows:
+            yield _mark_batch(rows)
+    return run
+
+
+def _mark_batch(rows) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.int32(), pa.int32()))],
+                                      ["text_hash", "term", "a", "b"])
 
 
-def all_spans(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The stored findings of every row with ``terms``: the sorted (start, end) of its disclosing terms."""
+def all_spans(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+    """The stored findings of every row; and by ``text_hash`` the sorted (start, end) ``terms`` of the disclosing terms of every
+    text that holds one, beside a value or not."""
     texts = id_and_text(docs, id_col, text_col)
     found = stored(spark, texts.mapInArrow(find, FOUND), "personal-data")
     revealing = stored(spark, disclosing_terms(found, texts), "disclosing-terms")
     release(spark)
-    marked = (found.where(F.size("context") > 0).select("row", F.inline("context")).join(revealing, ["value", "term"])
-              .groupBy("row").agg(F.sort_array(F.collect_set(F.struct("a", "b"))).alias("terms")))
-    return found.join(marked, "row", "left")
+    if not revealing.take(1):
+        return found, spark.createDataFrame([], "text_hash long, terms array<struct<a:int,b:int>>")
+    filter_ = spark.sparkContext.broadcast(term_filter(revealing))
+    marks = texts.select("text").mapInArrow(_marks(filter_), "text_hash long, term long, a int, b int")
+    marked = stored(spark, marks.join(revealing.select("term"), "term", "left_semi").groupBy("text_hash").agg(
+        F.sort_array(F.collect_set(F.struct("a", "b"))).alias("terms")), "term-spans")
+    filter_.unpersist()
+    return found, marked
 
 
 def personal_data(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """The contract columns of the query."""
-    terms = F.transform(F.coalesce("terms", F.array().cast("array<struct<a:int,b:int>>")),
+    found, marked = all_spans(spark, docs)
+    terms = F.transform(F.coalesce(marked["terms"], F.array().cast("array<struct<a:int,b:int>>")),
                         lambda s: F.concat_ws(":", F.lit("term"), s["a"], s["b"]))
-    return all_spans(spark, docs).select(
+    return found.join(marked, "text_hash", "left").select(
         "doc_id", *(f"n_{k}" for k in KINDS), "base_sha256",
         F.array_join(F.concat(F.when(F.col("base") == "", F.array().cast("array<string>")).otherwise(F.array("base")), terms), ",")
         .alias("spans"))
@@ -226,8 +302,7 @@ def sanitise(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_
     Patterns are masked where they are found, in one pass over the rows.  Disclosing terms come by a hash of the text:
     equal texts hold equal spans, and only texts that hold one take part in that join.
     """
-    found = all_spans(spark, docs, id_col, text_col).where(F.size("terms") > 0)
-    spans = stored(spark, found.groupBy(F.col("text_hash").alias("__hash")).agg(F.first("terms").alias("__terms")), "term-spans")
+    spans = all_spans(spark, docs, id_col, text_col)[1].toDF("__hash", "__terms")
     names, schema = docs.columns, docs.schema
     place = [c.lower() for c in names].index(text_col.lower())
     sizes = [i for i, c in enumerate(names) if c.lower() == "n_chars"]

@@ -49,6 +49,20 @@ def test_disclosing_terms_are_found_and_masked(spark):
     assert pii.personal_data(spark, docs.limit(0)).count() == 0
 
 
+def test_terms_are_masked_in_every_document(spark):
+    """Far from the value, in documents without it, and however short."""
+    far = " ".join(["and"] * 30)
+    rows = [(i, f"Kim 林檎 {far} write to kim@example.org" + " and" * i) for i in range(9)] + [(9, "we met Kim today, 林檎"), (10, "Kim " + far)]
+    rows += [(20 + i, f"and we met today {far}, write to") for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.spans.split(",") for r in pii.personal_data(spark, docs).collect()}
+    assert got[0][1:] == ["term:0:3", "term:4:6"] and got[9] == ["term:7:10", "term:18:20"] and got[10] == ["term:0:3"]
+    assert got[20] == [""]
+    clean = {r.doc_id: r.text for r in pii.sanitise(spark, docs).collect()}
+    assert clean[9] == "we met [TERM] today, [TERM]" and clean[20] == rows[-200][1]
+    assert "Kim" not in clean[0] and "write to [EMAIL]" in clean[0]
+
+
 def test_quotations(spark, monkeypatch):
     rows = [(1, 0, "user", "Hello there\n\nHow do I sort a list in Python?"),
             (1, 1, "assistant", "Use sorted().\nIt returns a new list."),
