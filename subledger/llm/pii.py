@@ -2,11 +2,13 @@
 
 1. Patterns: e-mail addresses, IP addresses, card numbers (Luhn), phone numbers; each match is a protected value.
 2. Corpus co-occurrence: every term of a document that holds a value stands beside that value.  Over all documents
-       disclosure(t, e) = log2(P(e | t) / P(e)) / -log2 P(e),      P(e | t) = n(t, e) / n(t),    P(e) = n(e) / N
+       disclosure(t, e) = log2(P(e | t) / P(e)) / -log2 P(e),      P(e) = n(e) / N,
+       P(e | t) = (n(t, e) + PRIOR P(e)) / (n(t) + PRIOR)
    is the share of a value's information that a term reveals: 1 if the term implies the value.  n(t) counts the documents with
-   the term, n(e) those with the value, n(t, e) those with both.
-3. A term above ``DISCLOSURE`` for any value, with ``SUPPORT`` different texts as evidence, is masked wherever it stands, in
-   every document: "removed" replaces it, "generalised" keeps its first letter.
+   the term, n(e) those with the value, n(t, e) those with both.  ``PRIOR`` documents in which the term says nothing of the
+   value are added, so that values and terms of a single text are measured too, and by how little is known of them.
+3. A term above ``DISCLOSURE`` for any value is masked wherever it stands, in every document: "removed" replaces it,
+   "generalised" keeps its first letter.
 
 A term is a run of letters and digits of any length; in scripts written without spaces, each two neighbouring characters.
 
@@ -34,7 +36,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 from subledger.llm.common import BoundedCache, id_and_text, release, stored, texts_of
 
 KINDS = ("email", "ip", "card", "phone")
-SUPPORT = 3            # different texts that must show a term beside a value
+PRIOR = 0.5            # documents of no evidence added to those with a term
 DISCLOSURE = 0.9
 COUNTER_ENTRIES = 200_000
 FILTER_BITS = 26       # the filter of revealing terms has 2^26 bits, however many they are
@@ -192,7 +194,7 @@ def term_documents(batches):
         yield out()
 
 
-def disclosing_terms(found: DataFrame, texts: DataFrame, support: int = SUPPORT, disclosure: float = DISCLOSURE) -> DataFrame:
+def disclosing_terms(found: DataFrame, texts: DataFrame, disclosure: float = DISCLOSURE) -> DataFrame:
     """``term, disclosure``: terms that reveal a value beyond the threshold, with the most that they reveal of one.
 
     Values of the same documents have the same counts with every term and are measured once: a document with any number of
@@ -203,16 +205,16 @@ def disclosing_terms(found: DataFrame, texts: DataFrame, support: int = SUPPORT,
     share = F.col("n_value") / F.lit(documents)
     values = held.groupBy("value").agg(F.count("*").alias("n_value"), F.bit_xor(F.xxhash64("row")).alias("rows")).where(share < 1)
     # n(t, e) is at most n(e), so that a term with more documents than this can reveal nothing
-    values = values.withColumn("most", F.col("n_value") / F.pow(share, F.lit(1 - disclosure)) + 1e-6)
+    values = values.withColumn("most", (F.col("n_value") + PRIOR * share) / F.pow(share, F.lit(1 - disclosure)) - PRIOR + 1e-6)
     most = values.agg(F.max("most")).first()[0] or 0.0
     groups = held.join(values, "value").select("row", F.xxhash64("rows", "n_value").alias("group"), "n_value", "most").distinct()
     terms = texts.select("text").mapInArrow(term_documents, "term long, n long").groupBy("term").agg(F.sum("n").alias("n_term"))
-    rare = found.where(F.size("protected") > 0).select("row", "text_hash", F.explode("terms").alias("term")) \
+    rare = found.where(F.size("protected") > 0).select("row", F.explode("terms").alias("term")) \
         .join(terms.where(F.col("n_term") <= most), "term")
     pairs = rare.join(groups, "row").where(F.col("n_term") <= F.col("most")).groupBy("group", "term").agg(
-        F.count("*").alias("n_both"), F.first("n_term").alias("n_term"), F.first("n_value").alias("n_value"),
-        F.count_distinct("text_hash").alias("n_texts")).where(F.col("n_texts") >= support)
-    measured = pairs.withColumn("disclosure", (F.log2(F.col("n_both") / F.col("n_term")) - F.log2(share)) / -F.log2(share))
+        F.count("*").alias("n_both"), F.first("n_term").alias("n_term"), F.first("n_value").alias("n_value"))
+    known = (F.col("n_both") + PRIOR * share) / (F.col("n_term") + PRIOR)
+    measured = pairs.withColumn("disclosure", (F.log2(known) - F.log2(share)) / -F.log2(share))
     return measured.where(F.col("disclosure") >= disclosure).groupBy("term").agg(F.max("disclosure").alias("disclosure"))
 
 

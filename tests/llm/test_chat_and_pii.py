@@ -1,5 +1,6 @@
 """Quotation linking and personal data on hand-made rows."""
 
+import math
 import random
 import re
 
@@ -63,6 +64,31 @@ def test_terms_are_masked_in_every_document(spark):
     assert "Kim" not in clean[0] and "write to [EMAIL]" in clean[0]
 
 
+def test_values_of_one_text_are_measured(spark):
+    """Against the formula, for values that stand in one text and in two."""
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(40)] + [f"rare{i}" for i in range(120)]
+    rows = [(i, " ".join(rng.choices(words, [50] * 40 + [1] * 120, k=25))
+             + (f" a{i // 2 if i < 10 else i}@example.org +49 30 {1000000 + i}" if i < 30 else "")) for i in range(300)]
+    values = {i: {_v for k, a, b in pii.base_spans(t) for _v in [pii._value(k, t[a:b])]} for i, t in rows}
+    terms = {i: set(re.findall(r"[a-z0-9]+", t)) for i, t in rows}
+    want = set()
+    for e in set().union(*values.values()):
+        with_e = {i for i, v in values.items() if e in v}
+        p = len(with_e) / len(rows)
+        for t in set().union(*(terms[i] for i in with_e)):
+            n = [i for i in terms if t in terms[i]]
+            known = (len(with_e & set(n)) + pii.PRIOR * p) / (len(n) + pii.PRIOR)
+            if (math.log2(known) - math.log2(p)) / -math.log2(p) >= pii.DISCLOSURE:
+                want.add(t)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    clean = {r.doc_id: r.text for r in pii.sanitise(spark, docs).collect()}
+    for i, t in rows:
+        shown = [x for x in t.split() if x.startswith(("w", "rare"))]
+        assert [x for x in clean[i].split() if x.startswith(("w", "rare"))] == [x for x in shown if x not in want], i
+    assert any(t.startswith("rare") for t in want) and not any(t.startswith("w") for t in want)
+
+
 def test_quotations(spark, monkeypatch):
     rows = [(1, 0, "user", "Hello there\n\nHow do I sort a list in Python?"),
             (1, 1, "assistant", "Use sorted().\nIt returns a new list."),
