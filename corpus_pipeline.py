@@ -15,7 +15,7 @@ from subledger.llm.queries import ship
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the production policy of the rule ledger.  The ledger's bits are computed beside each row, without a join."""
+    """Documents that pass the pipeline's policy (``rules.PIPELINE``).  The ledger's bits are computed beside each row, without a join."""
     ship(spark)
     return rules.filter_documents(docs)
 

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from subledger.llm.common import SPACE_CLASS, id_and_text
 
 WINDOW_WORDS = 8
+RUN_WORDS = 1000
 
 #: Rules in bit order: name -> (description, SQL condition that is true when the rule FAILS).  Ratios are compared as
 #: products of integers, so that every engine decides alike.
@@ -36,19 +37,30 @@ RULES: dict[str, tuple[str, str]] = {
     "stutter": ("over 30 % of the words equal the word before", "100 * n_stutter > 30 * n_words"),
 }
 BIT = {name: 1 << i for i, name in enumerate(RULES)}
+#: Rules that came after the contract of ``quality_digest``, whose bits stay as they are.  The share of distinct words falls with
+#: the length of any prose, so that it is taken per run of ``RUN_WORDS`` words, over all runs of the text.
+LATER_RULES: dict[str, tuple[str, str]] = {
+    "run_on_stretches": ("under 20 % of the words are distinct in their run of 1000 words, in a text of 50 words or more",
+                         "n_words >= 50 AND 100 * n_run_distinct_words < 20 * n_words"),
+}
+EVERY_RULE = {**RULES, **LATER_RULES}
+EVERY_BIT = {name: 1 << i for i, name in enumerate(EVERY_RULE)}
 BASE = ("short_text", "repeated_words")
 
-#: Policies by version.  ``base`` is fixed by contract; ``production`` is what the pipeline applies.
+#: Policies by version.  ``base`` is fixed by contract, ``production/1`` is what ``quality_digest`` reports, and ``production/2``
+#: what the pipeline applies.
 POLICIES: dict[str, tuple[str, ...]] = {
     "base/1": BASE,
     "production/1": tuple(RULES),
+    "production/2": tuple("run_on_stretches" if r == "run_on_words" else r for r in RULES),
     "lenient/1": BASE + ("symbols", "duplicate_lines"),
 }
 PRODUCTION = "production/1"
+PIPELINE = "production/2"
 
 
 def policy_mask(policy: str) -> int:
-    return reduce(lambda m, r: m | BIT[r], POLICIES[policy], 0)
+    return reduce(lambda m, r: m | EVERY_BIT[r], POLICIES[policy], 0)
 
 
 def _words(text: Column) -> Column:
@@ -64,8 +76,16 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return _measure(id_and_text(docs, id_col, text_col), ("doc_id",))
 
 
-def _measure(base: DataFrame, carried: tuple[str, ...]) -> DataFrame:
-    """The ``carried`` columns and the measurements of ``text``.
+def _run_distinct() -> Column:
+    """The distinct words of each run of ``RUN_WORDS`` words, summed over the runs."""
+    runs = F.sequence(F.lit(0), F.floor((F.col("n_words") - 1) / RUN_WORDS).cast("int"))
+    each = F.transform(runs, lambda i: F.size(F.array_distinct(F.slice("h1", i * RUN_WORDS + 1, RUN_WORDS))).cast("long"))
+    return F.when(F.col("n_words") <= RUN_WORDS, F.col("n_distinct_words").cast("long")).otherwise(
+        F.aggregate(each, F.lit(0).cast("long"), lambda a, x: a + x))
+
+
+def _measure(base: DataFrame, carried: tuple[str, ...], later: bool = False) -> DataFrame:
+    """The ``carried`` columns and the measurements of ``text``, with those of the later rules if asked for.
 
     The repeated-window measure works on arrays inside the row: no shuffle, whatever the size of the corpus.
     """
@@ -108,15 +128,16 @@ def _measure(base: DataFrame, carried: tuple[str, ...]) -> DataFrame:
         *carried, F.struct(
             "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines",
             F.coalesce(covered, F.lit(0)).cast("long").alias("n_repeat_words"),
-            "n_distinct_words", "n_capitals", "n_latin", "n_stutter").alias("m"))
+            "n_distinct_words", "n_capitals", "n_latin", "n_stutter",
+            *([_run_distinct().alias("n_run_distinct_words")] if later else [])).alias("m"))
     # a generator of one row: a later filter on a measure stays above it, instead of being pushed down with the whole
     # expression copied into every place that uses it
     return measures.select(*carried, F.inline(F.array("m")))
 
 
-def _with_bits(measured: DataFrame) -> DataFrame:
+def _with_bits(measured: DataFrame, rules: dict[str, tuple[str, str]] = RULES) -> DataFrame:
     bits = reduce(lambda a, b: a.bitwiseOR(b), (
-        F.when(F.expr(sql), F.lit(BIT[name])).otherwise(F.lit(0)).cast("long") for name, (_, sql) in RULES.items()))
+        F.when(F.expr(sql), F.lit(EVERY_BIT[name])).otherwise(F.lit(0)).cast("long") for name, (_, sql) in rules.items()))
     return measured.withColumn("failed_bits", bits)
 
 
@@ -125,10 +146,10 @@ def rule_ledger(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return _with_bits(measure(docs, id_col, text_col))
 
 
-def filter_documents(docs: DataFrame, policy: str = PRODUCTION, text_col: str = "text") -> DataFrame:
+def filter_documents(docs: DataFrame, policy: str = PIPELINE, text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns, that pass a policy; the row travels beside its measurements, so nothing is joined."""
     base = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), F.coalesce(docs[text_col], F.lit("")).alias("text"))
-    judged = apply_policy(_with_bits(_measure(base, ("row",))), policy)
+    judged = apply_policy(_with_bits(_measure(base, ("row",), later=True), EVERY_RULE), policy)
     return judged.where("kept").select("row.*")
 
 

@@ -175,6 +175,17 @@ def test_quality_rules(spark, docs, rows, none):
     assert "Python" not in plan and "Exchange" not in plan.replace("Exchange RoundRobin", "")
 
 
+def test_long_clean_texts_are_kept(spark):
+    """A large vocabulary falls under 20 % distinct words by length alone; a small one does in every run."""
+    rng = random.Random(3)
+    clean = " ".join(f"word{rng.randrange(80_000)}" for _ in range(500_000))
+    junk = " ".join(f"word{rng.randrange(100)}" for _ in range(20_000))
+    short = " ".join(f"word{rng.randrange(100)}" for _ in range(900))
+    made = spark.createDataFrame([(1, clean), (2, junk), (3, short)], "doc_id long, text string")
+    assert [r.doc_id for r in rules.filter_documents(made).select("doc_id").collect()] == [1]
+    assert {r.doc_id: r.failed_bits for r in rules.quality_digest(made).collect()} == dict.fromkeys((1, 2, 3), rules.BIT["run_on_words"])
+
+
 def test_quality_classifier(spark):
     base = "/root/testdata/sf0.01"
     labels = table(spark, base, "labels")
