@@ -2,8 +2,10 @@
 
 1. Lines that begin with ``>`` marks are quotations; the number of marks is the nesting level.  A passage is a run of lines of one
    level.  Quoted passages and lines are normalised (white space, letter case) and hashed.
-2. Hashes are joined to the conversation's earlier messages' own (unquoted) text, paragraphs and lines.  The latest earlier message
-   that holds the whole passage is its origin; else the one that holds at least ``SIMILARITY`` of its words line by line.
+2. Hashes are joined to the conversation's earlier messages' own (unquoted) text, paragraphs, lines, sentences and stretches of
+   ``SHINGLE`` words across lines.  The latest earlier message that holds the whole passage as one of these is its origin; else the
+   earlier message that holds the most of its words, ``SIMILARITY`` of them at least, in equal lines or stretches (the latest, if several).
+   A quotation of fewer than ``SHINGLE`` words is linked only as a whole text, paragraph, line or sentence.
 3. A message replies to the origin of its shallowest linked quotation (the latest, if several), or else to the message before it.  A reply to
    an older message opens a branch; the branch's messages follow it in order.
 4. The output is each message without its quotations, with its place in the reply order: ``branch_turn`` (first turn of its branch)
@@ -27,6 +29,7 @@ from subledger.llm.common import stored
 
 STRETCH = 1024
 SIMILARITY = 0.8
+SHINGLE = 4
 QUOTE = r"^((?:[ \t]*>)+)[ \t]?"
 
 
@@ -59,34 +62,70 @@ def quoted_passages(messages: DataFrame) -> DataFrame:
     begun = marked.withColumn("new", (F.col("level") != F.lag("level", 1, -1).over(order)).cast("int"))
     numbered = begun.withColumn("passage", F.sum("new").over(order)).where("level > 0")
     body = numbered.withColumn("body", normalised(F.regexp_replace("line", QUOTE, ""))).where("body <> ''")
+    earlier = Window.partitionBy("row_no", "passage").orderBy("i").rowsBetween(Window.unboundedPreceding, -1)
+    body = body.withColumn("n", F.size(F.split("body", " "))).withColumn("at", F.coalesce(F.sum("n").over(earlier), F.lit(0)).cast("int"))
     return body.groupBy("conv", "turn", "row_no", "passage", "level").agg(
-        F.transform(F.sort_array(F.collect_list(F.struct("i", "body"))), lambda x: x["body"]).alias("lines"))
+        F.sort_array(F.collect_list(F.struct("i", "body", "at", "n"))).alias("lines"))
+
+
+def _shingles(words: str) -> Column:
+    """Every ``SHINGLE`` neighbouring words."""
+    starts = F.when(F.size(words) >= SHINGLE, F.sequence(F.lit(1), F.size(words) - (SHINGLE - 1))).otherwise(F.array().cast("array<int>"))
+    return F.transform(starts, lambda i: F.array_join(F.slice(words, i, SHINGLE), " "))
 
 
 def link_passages(messages: DataFrame) -> DataFrame:
     """``row_no, passage, level, origin``: the turn of the message that each quoted passage comes from (null: unknown)."""
-    passages = quoted_passages(messages)
-    words = lambda x: F.size(F.split(x, " "))
-    whole = F.struct(F.lit(True).alias("whole"), F.concat_ws(" ", "lines").alias("part"))
-    parts = passages.select("conv", "turn", "row_no", "passage", "level", words(F.concat_ws(" ", "lines")).alias("size"), F.inline(
-        F.array_append(F.transform("lines", lambda x: F.struct(F.lit(False).alias("whole"), x.alias("part"))), whole)))
-    asked = parts.withColumn("hash", F.xxhash64("part")).withColumn("weight", words(F.col("part"))).drop("part")
-    own = messages.select("conv", "turn", F.array_join(F.filter(F.split("text", "\r?\n"), lambda x: ~_is_quote(x)), "\n").alias("body"))
-    pieces = F.concat(F.array("body"), F.split("body", r"\n\s*\n"), F.split("body", "\n"))
-    held = own.select("conv", "turn", F.explode(F.array_distinct(F.transform(pieces, normalised))).alias("part")).where("part <> ''") \
+    spark, key = messages.sparkSession, ["row_no", "passage"]
+    passages = quoted_passages(messages).withColumn("text", F.array_join(F.transform("lines", lambda x: x["body"]), " ")) \
+        .withColumn("words", F.split("text", " ")).withColumn("size", F.size("words"))
+    part = lambda whole, at, n, text: F.struct(
+        F.lit(whole).alias("whole"), at.alias("at"), n.alias("n"), F.xxhash64(text).alias("hash"))
+    parts = F.concat(F.array(part(True, F.lit(0), F.col("size"), F.col("text"))),
+                     F.transform("lines", lambda x: part(False, x["at"], x["n"], x["body"])),
+                     F.transform(_shingles("words"), lambda x, i: part(False, i, F.lit(SHINGLE), x)))
+    asked = stored(spark, passages.select("conv", "turn", *key, "level", "size", F.inline(parts)), "quoted-parts")
+    own = messages.join(asked.select("conv").distinct(), "conv", "left_semi").select("conv", "turn", F.array_join(F.filter(
+        F.split("text", "\r?\n"), lambda x: ~_is_quote(x)), "\n").alias("body")).withColumn("flat", normalised(F.col("body")))
+    own = own.withColumn("words", F.split("flat", " "))
+    pieces = F.transform(F.concat(F.array("body"), F.split("body", r"\n\s*\n"), F.split("body", "\n")), normalised)
+    pieces = F.concat(pieces, F.split("flat", r"(?<=[.!?])\s+"), _shingles("words"))
+    held = own.select("conv", "turn", F.explode(F.array_distinct(pieces)).alias("part")).where("part <> ''") \
         .select("conv", "turn", F.xxhash64("part").alias("hash"))
-    held = held.join(asked.select("conv", "hash").distinct(), ["conv", "hash"], "left_semi").distinct()
-    nothing = F.lit(None)
-    timeline = asked.select("conv", "hash", "turn", "row_no", "passage", "level", "whole", "weight", "size", nothing.cast("long").alias("held")) \
-        .unionByName(held.select("conv", "hash", "turn", *(nothing.alias(c) for c in ("row_no", "passage", "level", "whole", "weight", "size")),
-                                 F.col("turn").alias("held")))
-    found = last_before(timeline, ["conv", "hash"], "turn", "held", "origin").where("row_no IS NOT NULL")
-    per_origin = found.groupBy("row_no", "passage", "level", "size", "origin").agg(
-        F.max("whole").alias("whole"), F.sum(F.when(~F.col("whole"), F.col("weight")).otherwise(0)).alias("weight"))
-    good = F.when(F.col("origin").isNotNull() & (F.col("whole") | (F.col("weight") >= SIMILARITY * F.col("size"))),
-                  F.struct("whole", "weight", "origin"))
-    return per_origin.groupBy("row_no", "passage", "level").agg(F.max(good).alias("best")).select(
-        "row_no", "passage", "level", F.col("best.origin").alias("origin"))
+    held = stored(spark, held.join(asked.select("conv", "hash").distinct(), ["conv", "hash"], "left_semi")
+                  .select("conv", "turn", "hash").distinct(), "held-parts")
+    nothing, whole = F.lit(None), asked.where("whole")
+    timeline = whole.select("conv", "hash", "turn", *key, "level", nothing.cast("long").alias("held")) \
+        .unionByName(held.join(whole.select("conv", "hash").distinct(), ["conv", "hash"], "left_semi").select(
+            "conv", "hash", "turn", *(nothing.alias(c) for c in (*key, "level")), F.col("turn").alias("held")))
+    found = stored(spark, last_before(timeline, ["conv", "hash"], "turn", "held", "origin").where("row_no IS NOT NULL").select(
+        *key, "level", "origin"), "whole-quotations")
+    best = _most_similar(asked.where("NOT whole").join(found.where("origin IS NULL").select(*key), key, "left_semi"), held)
+    return found.join(best, key, "left").select(*key, "level", F.coalesce("origin", "similar").alias("origin"))
+
+
+def _most_similar(asked: DataFrame, held: DataFrame) -> DataFrame:
+    """``row_no, passage, similar``: the earlier message that holds the most words of a passage, ``SIMILARITY`` of them at least.
+
+    A word costs as many messages as hold the most frequent part around it.  A message without any part of the cheapest words,
+    one word more than may be missing, can't be similar enough: so only the holders of those parts are compared, and lines that
+    every message holds pair no messages as long as other words of the passage are rarer.
+    """
+    key = ["row_no", "passage"]
+    counted = asked.join(held.groupBy("conv", "hash").agg(F.count("*").alias("holders")), ["conv", "hash"])
+    cost = counted.select(*key, "size", "holders", F.explode(F.sequence("at", F.col("at") + F.col("n") - 1)).alias("word")) \
+        .groupBy(*key, "size", "word").agg(F.max("holders").alias("cost"))
+    missing = F.floor((1 - SIMILARITY) * F.col("size") + 1e-9).cast("int")
+    limits = cost.groupBy(*key, "size").agg(F.sort_array(F.collect_list("cost")).alias("costs")).select(
+        *key, F.get("costs", missing - (F.col("size") - F.size("costs"))).alias("limit")).where("limit IS NOT NULL")
+    origins = held.select("conv", "hash", F.col("turn").alias("similar"))
+    candidates = counted.join(limits, key).where("holders <= limit").join(origins, ["conv", "hash"]).where("similar < turn") \
+        .select(*key, "similar").distinct()
+    covered = asked.join(candidates, key).join(origins, ["conv", "hash", "similar"]).select(
+        *key, "size", "similar", F.explode(F.sequence("at", F.col("at") + F.col("n") - 1)).alias("word")).distinct() \
+        .groupBy(*key, "size", "similar").agg(F.count("*").alias("weight"))
+    return covered.where(F.col("weight") >= SIMILARITY * F.col("size") - 1e-9).groupBy(*key).agg(
+        F.max(F.struct("weight", "similar"))["similar"].alias("similar"))
 
 
 def link_quotations(spark: SparkSession, conversations: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn",

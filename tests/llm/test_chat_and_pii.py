@@ -114,6 +114,57 @@ def test_quotations(spark, monkeypatch):
     assert chat.link_quotations(spark, empty).count() == 0
 
 
+def test_partial_quotations(spark):
+    """Repeated lines, a sentence out of a line, a re-wrapped part of a paragraph; and random ones against brute force."""
+    rows = [(1, 0, "Dear all\nthe build fails on the second node\nsince the update of last night\nBest regards, Ann"),
+            (1, 1, "Dear all\nI will look at it. Which version is it now? Tell me more\nabout the node and its disks please.\nBest regards, Ann"),
+            (1, 2, "> Dear all\n> the build fails on the second node\n> Best regards, Ann\nsame here"),
+            (1, 3, "> Which version is it now?\nthree"), (1, 4, "> tell me more about\n> the node and its disks\nnothing to tell"),
+            (1, 5, "> tell me more about the weather in spring\nno")]
+    rng = random.Random(2)
+    for turn in range(60):
+        own = "\n".join(" ".join(rng.choices("abcdefgh", k=rng.randrange(3, 9))) for _ in range(4))
+        past = [x for c, t, x in rows if c == 2]
+        quote = rng.choice(past).split("\n") if past and turn % 2 else []
+        quote = [x for x in quote if not x.startswith(">")][1:]
+        if quote and turn % 3:
+            quote[0] = "z " + quote[0]
+        rows.append((2, turn, "\n".join(["> " + x for x in quote] + [own])))
+    talk = spark.createDataFrame([(c, t, "user", x) for c, t, x in rows], "conv_id long, turn long, role string, text string")
+    messages = talk.select(F.col("conv_id").alias("conv"), "turn", "role", "text", (F.col("conv_id") * 1000 + F.col("turn")).alias("row_no"))
+    got = {r.row_no: r.origin for r in chat.link_passages(messages).collect()}
+
+    def parts(lines):
+        words, at, out = " ".join(lines).split(), 0, []
+        for x in lines:
+            out.append((at, x.split()))
+            at += len(x.split())
+        return words, out + [(i, words[i:i + chat.SHINGLE]) for i in range(len(words) - chat.SHINGLE + 1)]
+
+    def plain(conv, turn, lines):
+        words, asked = parts(lines)
+        whole, good = [], []
+        for c, t, x in rows:
+            if c == conv and t < turn:
+                own = [y.lower() for y in x.split("\n") if not y.startswith(">")]
+                flat, held = parts(own)
+                held = {" ".join(w) for _, w in held} | {" ".join(flat)} | set(re.split(r"(?<=[.!?])\s+", " ".join(flat)))
+                weight = len({at + i for at, w in asked if " ".join(w) in held for i in range(len(w))})
+                whole += [t] * (" ".join(words) in held)
+                good += [(weight, t)] * (10 * weight >= 8 * len(words))
+        return max(whole) if whole else max(good)[1] if good else None
+
+    want = {}
+    for c, t, x in rows:
+        lines = [y[2:].lower() for y in x.split("\n") if y.startswith(">")]
+        if lines:
+            want[1000 * c + t] = plain(c, t, lines)
+    assert got == want and [got[1000 + i] for i in (2, 3, 4, 5)] == [0, 1, 1, None]
+    assert sum(v is not None for k, v in got.items() if k >= 2000) > 10
+    linked = {r.turn: r.parent_turn for r in chat.link_quotations(spark, talk.where("conv_id = 1")).collect()}
+    assert linked[2] == 0 and linked[3] == 1 and linked[4] == 1 and linked[5] == 4
+
+
 @pytest.mark.parametrize("text", ["a" * 50_000, "1" * 50_000, "+" * 5_000 + "1"])
 def test_long_runs_take_linear_time(text):
     assert pii.base_spans(text) == []
