@@ -82,6 +82,21 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return katz_scores(spark, table(spark, sf_dir, "documents"))
 
 
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from subledger.llm.ranked import ranked_search
+    return ranked_search(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from subledger.llm.bytetree import token_digest
+    return token_digest(spark, table(spark, sf_dir, "documents"))
+
+
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from subledger.llm.alignment import alignment_digest
+    return alignment_digest(spark, table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importlib.import_module("corpus_pipeline").run(spark, sf_dir)
 
@@ -97,6 +112,7 @@ _ALL = {
     "op1_best_fit_packing": op1, "op2_chat_quotation_linking": op2, "op3_benchmark_decontamination": op3,
     "op4_simhash_near_dedup": op4, "op5_quality_rules": op5, "op6_quality_classifier": op6,
     "op7_substring_dedup": op7, "op8_pii_sanitisation": op8, "op9_token_counts": op9,
-    "op10_katz_scoring": op10, "pipeline": pipeline,
+    "op10_katz_scoring": op10, "op11_ranked_search": op11, "op12_byte_bpe_tree": op12,
+    "op13_tokenizer_alignment": op13, "pipeline": pipeline,
 }
 QUERIES = {name: (_shipped(query), ORACLES.get(name)) for name, query in _ALL.items()}

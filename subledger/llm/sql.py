@@ -39,4 +39,31 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        CAST({_FAILED} AS BIGINT) AS failed_bits, '{PRODUCTION}' AS policy
 FROM measured"""
 
-ORACLES = {"op5_quality_rules": _RULES}
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_TERMS = (r"regexp_extract_all(translate(coalesce({0}, ''), '" + _UPPER + "', '" + _LOWER +
+          r"'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')")
+
+_RANKED = f"""
+WITH doc_terms AS (
+  SELECT row_number() OVER () AS row_no, doc_id, {_TERMS.format("text")} AS terms FROM documents),
+totals AS (SELECT count(*) AS n_docs, sum(len(terms))::BIGINT AS n_terms FROM doc_terms WHERE len(terms) > 0),
+counts AS (
+  SELECT row_no, any_value(doc_id) AS doc_id, any_value(len(terms)) AS n, term, count(*) AS tf
+  FROM doc_terms, unnest(terms) AS u(term) GROUP BY row_no, term),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * any_value(n_docs) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+  FROM counts, totals GROUP BY term),
+impacts AS (
+  SELECT row_no, doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + ((90 * n * n_docs) // n_terms)))) AS impact
+  FROM counts JOIN weights USING (term), totals),
+items AS (
+  SELECT DISTINCT item_no, item_id, term FROM (
+    SELECT row_number() OVER () AS item_no, item_id, unnest({_TERMS.format("text")}) AS term FROM benchmark)),
+scores AS (
+  SELECT item_no, item_id, row_no, doc_id, sum(impact)::BIGINT AS score
+  FROM items JOIN impacts USING (term) GROUP BY ALL)
+SELECT item_id, row_number() OVER (PARTITION BY item_no ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+FROM scores WHERE score > 0
+QUALIFY rank <= 10"""
+
+ORACLES = {"op11_ranked_search": _RANKED, "op5_quality_rules": _RULES}
