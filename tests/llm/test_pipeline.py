@@ -33,5 +33,5 @@ def test_stages_and_run(spark):
 
 def test_one_query_per_operator():
     names = [n for n in entry.queries() if n.startswith("op") or n == "pipeline"]
-    assert [n.split("_")[0] for n in names] == [f"op{i}" for i in range(1, 11)] + ["pipeline"]
+    assert [n.split("_")[0] for n in names] == [f"op{i}" for i in range(1, 14)] + ["pipeline"]
     assert os.path.exists(corpus_pipeline.__file__)
