@@ -47,22 +47,6 @@ def left_join_on(left: DataFrame, right: DataFrame, left_key: Column, right_key:
     return lk.join(rk, lk["__lk"] == rk["__rk"], "left").drop("__lk", "__rk")
 
 
-def latest_at_or_before(left: DataFrame, right: DataFrame, key: str, left_time: Column,
-                        right_time: str, order: Sequence[str], right_key: str | None = None) -> DataFrame:
-    """For each left row, the right row with the greatest ``order`` among those
-    with ``right_time <= left_time`` on the same key (inner semantics).
-
-    Equi-join on the key with the range as a residual predicate, then latest per
-    left key (a pre-shuffle ``WindowGroupLimit``).
-    """
-    from subledger.operators.dedup import latest_per_key
-
-    right_key = right_key or key
-    r = right.withColumnRenamed(right_key, "__rkey")
-    joined = left.join(r, (left[key] == r["__rkey"]) & (r[right_time] <= left_time), "inner")
-    return latest_per_key(joined.drop("__rkey"), [key], order)
-
-
 def bounded_broadcast(df: DataFrame, bound: str) -> DataFrame:
     """Broadcast a relation whose row count has a stated bound by construction.
 

@@ -16,7 +16,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from subledger.plans import projections, revenue, subscribers
+from subledger.plans import projections, subscribers
 from subledger.plans.catalog import Models, Sources
 from subledger.sinks.history import (complete_versions, current_version, initial_history, read_current, scd2_check,
                                      write_versioned)
@@ -26,7 +26,7 @@ LAYERS = {
     "staging": ["stg_refunds", "stg_charges", "stg_invoices", "stg_plans", "stg_subscriptions",
                 "stg_subscription_items", "stg_customers", "stg_subscribers", "stg_post_overview",
                 "stg_post_traffic", "stg_post_growth", "stg_post_comments"],
-    "intermediate": ["current_subscriptions", "recognised_charges", "int_subscriptions", "int_charges", "int_payouts", "int_subscriber_daily",
+    "intermediate": ["current_subscriptions", "subscription_contacts", "recognised_charges", "int_subscriptions", "int_charges", "int_payouts", "int_subscriber_daily",
                      "int_subscribers", "int_post_overview", "int_post_traffic", "int_post_growth",
                      "int_post_comments"],
 }
@@ -57,8 +57,8 @@ def build_all(spark: SparkSession, sources: Sources, out_root: str, as_of: dt.da
             out[name] = os.path.join(out_root, layer, name)
 
     marts = {
-        "charge_accrual": revenue.charge_accrual(m.int_charges, m.int_payouts),
-        "month_accrual": revenue.month_accrual(m.recognised_charges, m.int_payouts),
+        "charge_accrual": m.charge_accrual,
+        "month_accrual": m.month_accrual,
         "post_overview": m.int_post_overview,
         "post_traffic": m.int_post_traffic,
         "post_growth": m.int_post_growth,

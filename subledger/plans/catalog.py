@@ -135,8 +135,11 @@ class Models:
             self.stg_charges, self.stg_invoices, self.current_subscriptions), "recognised_charges")
     @cached_property
     def int_charges(self):
-        return self._stored(revenue.int_charges(self.recognised_charges, self.stg_customers,
-                                                self.stg_subscribers), "int_charges")
+        return self._stored(revenue.int_charges(revenue.recognised_charges(
+            self.stg_charges, self.stg_invoices, self.subscription_contacts)), "int_charges")
+    @cached_property
+    def subscription_contacts(self):
+        return revenue.subscription_contacts(self.current_subscriptions, self.stg_customers, self.stg_subscribers)
     @cached_property
     def int_payouts(self): return self._stored(revenue.int_payouts(self.stg_charges), "int_payouts")
     @cached_property
@@ -147,17 +150,20 @@ class Models:
 
     # marts
     @cached_property
-    def charge_accrual(self): return revenue.charge_accrual(self.int_charges, self.int_payouts)
+    def charge_accrual(self):
+        return revenue.charge_accrual(revenue.revenue_streams(self.stg_charges, self.stg_invoices, self.subscription_contacts))
+    @cached_property
+    def revenue_streams(self):
+        return revenue.revenue_streams(self.stg_charges, self.stg_invoices, self.current_subscriptions)
     @cached_property
-    def month_accrual(self): return revenue.month_accrual(self.recognised_charges, self.int_payouts)
+    def month_accrual(self): return revenue.month_accrual(self.revenue_streams)
 
     def month_accrual_of(self, label: str):
         """``month_accrual`` of one reporting month: only the charges that can reach it are read."""
         first, end = revenue.charge_dates_of(label)
         reach = (F.col("charged_at") >= F.lit(first)) & (F.col("charged_at") < F.lit(end))
-        charges = self.stg_charges.where(reach)
-        base = revenue.recognised_charges(charges, self.stg_invoices, self.current_subscriptions)
-        return revenue.month_accrual(base, revenue.int_payouts(charges))
+        return revenue.month_accrual(revenue.revenue_streams(
+            self.stg_charges.where(reach), self.stg_invoices, self.current_subscriptions))
 
     def subscriber_daily(self, as_of=None):
         return subscribers.fct_subscriber_daily(self.int_subscriber_daily, as_of)
@@ -169,7 +175,7 @@ class Models:
     @cached_property
     def subscriber_month_accrual(self):
         """Month roll-up of the subscriber stream only (all the projections read)."""
-        return revenue.month_accrual(self.recognised_charges, None)
+        return revenue.month_accrual(self.recognised_charges.withColumn("revenue_type", F.lit(revenue.SUBSCRIBER)))
 
     @cached_property
     def subscriber_accrual(self):

@@ -4,8 +4,8 @@ Scale: the inputs (subscriptions, charge accrual) are large, but every branch
 aggregates to at most one row per billing interval and fiscal month before any
 window or join.  Those aggregates have a size bound by construction (intervals x
 calendar months), so they are broadcast explicitly; the only large shuffles are
-the aggregations themselves and the subscription -> accrual join of the churn
-branch, which is computed once and feeds both churn counts and churn revenue.
+the aggregations themselves and the as-of lookup of the churn branch, which is computed once and feeds both churn counts
+and churn revenue.
 
 "Today" is the explicit ``as_of`` date; the reporting window is derived from it
 on the driver as literals (no one-row cross join).
@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from subledger.functions import fiscal
 from subledger.functions.money import round_div, to_major
 from subledger.functions.projection import WEIGHTS, ewma_cents, projected_cents
-from subledger.operators.dedup import latest_per_key
+from subledger.operators.asof import latest_at_or_before
 from subledger.operators.joins import bounded_broadcast
 from subledger.plans.revenue import SUBSCRIBER
 
@@ -112,19 +112,15 @@ def historical_starts(subs: DataFrame) -> DataFrame:
 
 
 def churn_last_accrual(subs: DataFrame, accrual: DataFrame) -> DataFrame:
-    """Per cancelled subscription, its last subscriber accrual row starting on or
-    before the cancellation day (computed once for counts and revenue)."""
+    """Per cancelled subscription, its last subscriber accrual row starting on or before the cancellation day: carried forward along
+    the subscription's months, without a range join (computed once for counts and revenue)."""
     s = subs.where(F.col("canceled_at").isNotNull()
                    & (F.to_date("canceled_at") != F.to_date("subscription_created_at"))).select(
         "subscription_id", "billing_interval", F.to_date("canceled_at").alias("cancel_day"))
     ca = accrual.where(F.col("revenue_type") == SUBSCRIBER).select(
-        F.col("subscription_id").alias("ca_subscription_id"), "reporting_month",
-        "reporting_month_start", "reporting_month_end", "recognized_revenue_cents", "charge_id",
-        "month_offset")
-    joined = s.join(ca, (s.subscription_id == ca.ca_subscription_id)
-                    & (ca.reporting_month_start <= s.cancel_day), "inner")
-    return latest_per_key(joined, ["subscription_id"], ["reporting_month_end"],
-                          ["charge_id", "month_offset"])
+        "subscription_id", "reporting_month", "reporting_month_start", "recognized_revenue_cents", "charge_id", "month_offset")
+    return latest_at_or_before(s, ca, "subscription_id", "cancel_day", "reporting_month_start", ["charge_id", "month_offset"],
+                               one_per_key=True)
 
 
 def starts_revenue(subs: DataFrame, accrual: DataFrame) -> DataFrame:

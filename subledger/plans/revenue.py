@@ -23,6 +23,7 @@ from subledger.functions.classify import ANNUAL, plan_interval
 from subledger.functions.money import round_div, to_major
 from subledger.functions.text import PAYOUT_PREFIX, payout_label
 from subledger.operators.dedup import latest_per_key
+from subledger.operators.distinct import bitmaps, counted, merged, with_dense_number
 from subledger.operators.joins import left_join_agg, left_join_on
 from subledger.operators.spread import SPREAD_MONTHS, spread_revenue
 
@@ -168,19 +169,42 @@ def latest_export_interval(subscribers: DataFrame) -> DataFrame:
                          F.col("subscription_interval").alias("ss_subscription_interval"))
 
 
-def recognised_charges(charges: DataFrame, invoices: DataFrame, current: DataFrame) -> DataFrame:
-    """Invoice-linked charges of subscriptions with their fiscal month, one row per charge."""
+def recognised_charges(charges: DataFrame, invoices: DataFrame, subscriptions: DataFrame) -> DataFrame:
+    """Invoice-linked charges of subscriptions with their fiscal month, one row per charge, and the columns of ``subscriptions``."""
     ch = charges.where(F.col("invoice_id").isNotNull()).select(
         "charge_id", "invoice_id", "charged_at", "charge_currency", "exchange_rate",
         "settled_amount_usd", "net_amount_usd", "net_amount_cents")
     inv = invoices.where(F.col("subscription_id").isNotNull()).select(
         F.col("invoice_id").alias("inv_invoice_id"), "subscription_id")
-    subs = current.select("subscription_id", "customer_id", "billing_interval")
     base = (ch.join(inv, ch.invoice_id == inv.inv_invoice_id, "inner")
-              .join(subs, "subscription_id", "inner"))
+              .join(_linked_to(subscriptions), "subscription_id", "inner"))
     return base.withColumn("finance_month_date", fiscal.fiscal_month("charged_at"))
 
 
+def _linked_to(subscriptions: DataFrame) -> DataFrame:
+    return subscriptions.select("subscription_id", "customer_id", "billing_interval",
+                                *[c for c in ("email", "ss_subscription_interval") if c in subscriptions.columns])
+
+
+def revenue_streams(charges: DataFrame, invoices: DataFrame, subscriptions: DataFrame) -> DataFrame:
+    """Both streams in one pass over the charges, a row per charge and stream: ``subscriber`` where an invoice links the charge to
+    a subscription, ``app_store`` where it is a bulk payout (whose subscription columns are NULL)."""
+    payout = F.coalesce(F.col("description").startswith(PAYOUT_PREFIX), F.lit(False))
+    ch = charges.where(F.col("invoice_id").isNotNull() | payout).select(
+        "charge_id", "invoice_id", "charged_at", "charge_currency", "exchange_rate", "settled_amount_usd", "net_amount_usd",
+        "net_amount_cents", payout.alias("is_payout"))
+    inv = invoices.where(F.col("subscription_id").isNotNull()).select(
+        F.col("invoice_id").alias("inv_invoice_id"), F.col("subscription_id").alias("inv_subscription_id"))
+    subs = _linked_to(subscriptions)
+    linked = left_join_on(ch, inv, F.col("invoice_id"), F.col("inv_invoice_id"), ["charge_id"])
+    linked = left_join_on(linked, subs, F.col("inv_subscription_id"), F.col("subscription_id"), ["charge_id"])
+    rows = linked.withColumn("revenue_type", F.explode(F.array_compact(F.array(
+        F.when(F.col("subscription_id").isNotNull(), F.lit(SUBSCRIBER)), F.when(F.col("is_payout"), F.lit(APP_STORE))))))
+    subscriber = F.col("revenue_type") == SUBSCRIBER
+    return rows.withColumns({c: F.when(subscriber, F.col(c)) for c in [*subs.columns, "exchange_rate"]}).withColumn(
+        "finance_month_date", fiscal.fiscal_month("charged_at"))
+
+
 def recognition_months(base: DataFrame) -> DataFrame:
     """One row per charge and recognition month: what the projections read of the accrual."""
     spread = spread_revenue(base, "billing_interval", "net_amount_cents")
@@ -191,11 +215,18 @@ def recognition_months(base: DataFrame) -> DataFrame:
         "month_offset": F.col("month_offset").cast("bigint")})
 
 
-def int_charges(base: DataFrame, customers: DataFrame, subscribers: DataFrame) -> DataFrame:
-    """``recognised_charges`` with e-mail and the export's interval, one row per recognition month."""
+def subscription_contacts(current: DataFrame, customers: DataFrame, subscribers: DataFrame) -> DataFrame:
+    """Subscriptions with their customer's e-mail and the export's interval: attached here, once per subscription, so that charges
+    are joined to subscriptions only."""
     cust = customers.select(F.col("customer_id").alias("c_customer_id"), "email")
-    base = left_join_on(base, cust, F.col("customer_id"), F.col("c_customer_id"), ["charge_id"])
-    base = left_join_on(base, latest_export_interval(subscribers), F.col("email"), F.col("ss_email"), ["charge_id"])
+    subs = current.select("subscription_id", "customer_id", "billing_interval")
+    subs = left_join_on(subs, cust, F.col("customer_id"), F.col("c_customer_id"), ["subscription_id"])
+    subs = left_join_on(subs, latest_export_interval(subscribers), F.col("email"), F.col("ss_email"), ["subscription_id"])
+    return subs.select("subscription_id", "customer_id", "billing_interval", "email", "ss_subscription_interval")
+
+
+def int_charges(base: DataFrame) -> DataFrame:
+    """``recognised_charges`` of ``subscription_contacts``, one row per recognition month."""
     return recognition_months(base).select(
         "charge_id", "subscription_id", "customer_id", "email", "billing_interval",
         "ss_subscription_interval", "charged_at", "charge_currency", "exchange_rate",
@@ -233,28 +264,13 @@ def subscriber_accrual(base: DataFrame) -> DataFrame:
         F.lit(SUBSCRIBER).alias("revenue_type"), "recognized_revenue_cents", "reporting_month_date"))
 
 
-def charge_accrual(recognised: DataFrame, payouts: DataFrame) -> DataFrame:
-    """Both revenue streams at charge x month grain, with payer channel and period."""
-    subscriber = recognised.select(
+def charge_accrual(streams: DataFrame) -> DataFrame:
+    """Both revenue streams at charge x month grain, with payer channel and period (``streams`` of ``subscription_contacts``)."""
+    return _accrual_columns(recognition_months(streams).select(
         "charge_id", "subscription_id", "customer_id", "email", "billing_interval",
         "ss_subscription_interval", "charged_at", "charge_currency", "exchange_rate",
         "settled_amount_usd", "net_amount_usd", "reporting_month", "recognized_revenue_usd",
-        "month_offset", F.lit(SUBSCRIBER).alias("revenue_type"),
-        "net_amount_cents", "recognized_revenue_cents", "reporting_month_date")
-    types = dict(recognised.dtypes)
-
-    def pad(name):
-        return F.lit(None).cast(types[name]).alias(name)
-
-    app = payouts.select(
-        "charge_id", pad("subscription_id"), pad("customer_id"), pad("email"),
-        pad("billing_interval"), pad("ss_subscription_interval"), "charged_at",
-        "charge_currency", pad("exchange_rate"), "settled_amount_usd", "net_amount_usd",
-        "reporting_month", F.col("net_amount_usd").alias("recognized_revenue_usd"),
-        F.lit(0).cast("bigint").alias("month_offset"), F.lit(APP_STORE).alias("revenue_type"),
-        "net_amount_cents", F.col("net_amount_cents").alias("recognized_revenue_cents"),
-        "reporting_month_date")
-    return _accrual_columns(subscriber.unionByName(app))
+        "month_offset", "revenue_type", "net_amount_cents", "recognized_revenue_cents", "reporting_month_date"))
 
 
 def _accrual_columns(both: DataFrame) -> DataFrame:
@@ -267,38 +283,52 @@ def _accrual_columns(both: DataFrame) -> DataFrame:
     })
 
 
-def month_accrual(base: DataFrame, payouts: DataFrame | None) -> DataFrame:
-    """One row per fiscal month x revenue stream x billing interval, from ``recognised_charges``.
+def customer_months(streams: DataFrame) -> DataFrame:
+    """The customers charged in each fiscal month, stream and interval as bitmaps, with the month's cents and charges.
 
-    Charges are summed per customer and fiscal month before the spread; the slice is rounded per charge first,
-    so the sums are those of the spread charges.  A charge has one fiscal month, so the charge counts of the
-    months that reach into a reporting month add up.  ``payouts=None`` gives the subscriber stream only.
+    The slice of a charge is rounded before the sum, so sums of slices are those of the spread charges.  Customers get dense numbers
+    once each has one row (at most one entry per month, stream and interval); the bitmaps of any months can then be merged.
     """
-    annual = F.col("billing_interval") == ANNUAL
-    slice_cents = F.when(annual, round_div(F.col("net_amount_cents"), F.lit(SPREAD_MONTHS))) \
+    slice_cents = F.when(F.col("billing_interval") == ANNUAL, round_div(F.col("net_amount_cents"), F.lit(SPREAD_MONTHS))) \
         .otherwise(F.col("net_amount_cents"))
-    per_customer = base.groupBy("finance_month_date", "billing_interval", "customer_id").agg(
+    per_customer = streams.groupBy("finance_month_date", "revenue_type", "billing_interval", "customer_id").agg(
         F.sum(slice_cents).alias("cents"), F.count_distinct("charge_id").alias("charges"))
-    spread = per_customer.withColumn("month_offset", F.explode(
-        F.sequence(F.lit(0), F.when(annual, SPREAD_MONTHS - 1).otherwise(0))))
-    subscriber = spread.groupBy(
-        F.add_months("finance_month_date", F.col("month_offset")).alias("reporting_month_date"),
-        "billing_interval").agg(
-        F.sum("cents").alias("recognized_revenue_cents"),
-        F.count_distinct("customer_id").alias("subscriber_count"),
-        F.sum("charges").alias("charge_count"),
-    ).withColumns({"revenue_type": F.lit(SUBSCRIBER),
-                   "reporting_month": fiscal.month_label("reporting_month_date")})
-    if payouts is None:
-        return _month_accrual_columns(subscriber)
-    app = payouts.groupBy("reporting_month", "reporting_month_date").agg(
-        F.sum("net_amount_cents").alias("recognized_revenue_cents"),
-        F.count_distinct("charge_id").alias("charge_count"),
-    ).select("reporting_month", "reporting_month_date",
-             F.lit(None).cast("string").alias("billing_interval"), "recognized_revenue_cents",
-             F.lit(None).cast("bigint").alias("subscriber_count"), "charge_count",
-             F.lit(APP_STORE).alias("revenue_type"))
-    return _month_accrual_columns(subscriber.unionByName(app))
+    customers = with_dense_number(per_customer.groupBy("customer_id").agg(F.collect_list(
+        F.struct("finance_month_date", "revenue_type", "billing_interval", "cents", "charges")).alias("months")), "customer_id")
+    return bitmaps(customers.select("number", F.inline("months")), ["finance_month_date", "revenue_type", "billing_interval"],
+                   "number", F.sum("cents").alias("cents"), F.sum("charges").alias("charges"))
+
+
+def trailing_customers(months: DataFrame, span: int) -> DataFrame:
+    """Distinct customers charged in each fiscal month and the ``span - 1`` before it, of all intervals of the subscriber stream."""
+    reach = months.where(F.col("revenue_type") == SUBSCRIBER).withColumn(
+        "back", F.explode(F.sequence(F.lit(0), F.lit(span - 1)))).withColumn(
+        "month_date", F.add_months("finance_month_date", F.col("back")))
+    total = counted(merged(reach, ["month_date"], F.sum("charges").alias("charges"),
+                           F.sum(F.when(F.col("back") == 0, F.col("charges"))).alias("own")), ["month_date"], "customer_count",
+                    F.sum("charges").alias("charge_count"), F.sum("own").alias("own"))
+    return total.where("own IS NOT NULL").select(
+        fiscal.month_label("month_date").alias("reporting_month"), fiscal.period_start(F.add_months("month_date", 1 - span)).alias("from_day"),
+        fiscal.period_end("month_date").alias("to_day"), "customer_count", "charge_count")
+
+
+def month_accrual(streams: DataFrame) -> DataFrame:
+    """One row per fiscal month x revenue stream x billing interval, from ``revenue_streams``.
+
+    Only the bitmaps of ``customer_months`` are spread over the twelve months and or-ed there, so customers are shuffled
+    once per month they paid in, not once per month recognised.  A charge has one fiscal month, so the charge counts of the
+    months that reach into a reporting month add up.
+    """
+    annual = F.col("billing_interval") == ANNUAL
+    spread = customer_months(streams).withColumn("month_offset", F.explode(
+        F.sequence(F.lit(0), F.when(annual, SPREAD_MONTHS - 1).otherwise(0)))).withColumn(
+        "reporting_month_date", F.add_months("finance_month_date", F.col("month_offset")))
+    by = ["reporting_month_date", "revenue_type", "billing_interval"]
+    months = counted(merged(spread, by, F.sum("cents").alias("cents"), F.sum("charges").alias("charges")), by, "customers",
+                     F.sum("cents").alias("recognized_revenue_cents"), F.sum("charges").alias("charge_count"))
+    return _month_accrual_columns(months.withColumns({
+        "subscriber_count": F.when(F.col("revenue_type") == SUBSCRIBER, F.col("customers")),
+        "reporting_month": fiscal.month_label("reporting_month_date")}))
 
 
 def _month_accrual_columns(both: DataFrame) -> DataFrame:
