@@ -40,7 +40,7 @@ LEAF_CHARS = 1 << 14
 LEAF_BYTES = 16
 LEAF_IDS = 1 << 12
 SHORT = 64
-CACHE_ENTRIES = 1 << 18
+UNIT_ENTRIES, PART_ENTRIES = 1 << 18, 1 << 16
 
 #: Unicode White_Space, as the splitting pattern reads it.
 _WS = r"\t-\r \x85\xa0  -     　"
@@ -71,25 +71,33 @@ class TreeCodec:
         self.ranks, self.bytes_of = ranks, {i: token for token, i in ranks.items()}
         self.pattern = regex.compile(pattern)
         self.leaf_chars, self.leaf_bytes, self.leaf_ids = leaf_chars, leaf_bytes, leaf_ids
-        self.fits = BoundedCache(self._fits, CACHE_ENTRIES)
-        self.units = BoundedCache(self._unit, CACHE_ENTRIES)
+        self.none = max(ranks.values(), default=0) + 1
+        self.packed = {i: i.to_bytes(4, "little") for i in ranks.values()}
+        self.around = BoundedCache(self._around, PART_ENTRIES)
+        self.leaves = BoundedCache(self.merge, PART_ENTRIES)
+        self.units = BoundedCache(self._unit, UNIT_ENTRIES)
 
     # -- tokens of a piece -------------------------------------------------------------------------------------
 
     def merge(self, data: bytes) -> list[int]:
         """Merges of the lowest rank, leftmost first, until none is left."""
-        ranks = self.ranks
         if len(data) > SHORT:
             return self._merge_long(data)
+        get, none = self.ranks.get, self.none
         parts = [data[i:i + 1] for i in range(len(data))]
-        while len(parts) > 1:
-            found = [ranks.get(a + b) for a, b in zip(parts, parts[1:])]
-            best = min((r for r in found if r is not None), default=None)
-            if best is None:
+        pairs = [get(data[i:i + 2], none) for i in range(len(data) - 1)]
+        while pairs:
+            best = min(pairs)
+            if best == none:
                 break
-            i = found.index(best)
-            parts[i:i + 2] = [parts[i] + parts[i + 1]]
-        return [ranks[p] for p in parts]
+            i = pairs.index(best)
+            parts[i] += parts.pop(i + 1)
+            del pairs[i]
+            if i:
+                pairs[i - 1] = get(parts[i - 1] + parts[i], none)
+            if i < len(pairs):
+                pairs[i] = get(parts[i] + parts[i + 1], none)
+        return [get(p) for p in parts]
 
     def _merge_long(self, data: bytes) -> list[int]:
         """The same with a heap of (rank, place) over linked parts."""
@@ -112,27 +120,33 @@ class TreeCodec:
                 heapq.heappush(heap, (r, p, stop))
         return [ranks[data[i:end[i]]] for i in range(n) if live[i]]
 
-    def _fits(self, pair: tuple[int, int]) -> bool:
-        """Do two neighbours encode to themselves?"""
-        return self.merge(self.bytes_of[pair[0]] + self.bytes_of[pair[1]]) == list(pair)
+    def _around(self, pair: tuple[int, int]) -> list[int]:
+        """The encoding of two neighbours' bytes; themselves if no merge crosses their boundary."""
+        return self.merge(self.bytes_of[pair[0]] + self.bytes_of[pair[1]])
+
+    def fits(self, a: int, b: int) -> bool:
+        return self.around[a, b] == [a, b]
 
     def join_tokens(self, left: list[int], right: list[int]) -> list[int]:
-        i, j = min(1, len(left)), min(1, len(right))
+        if not left or not right:
+            return left + right
+        i = j = 1
+        window = self.around[left[-1], right[0]]
         while True:
-            window = self.merge(b"".join(map(self.bytes_of.__getitem__, left[len(left) - i:] + right[:j])))
-            left_done = i == len(left) or self.fits[left[-i - 1], window[0]]
-            right_done = j == len(right) or self.fits[window[-1], right[j]]
+            left_done = i == len(left) or self.fits(left[-i - 1], window[0])
+            right_done = j == len(right) or self.fits(window[-1], right[j])
             if left_done and right_done:
                 return left[:len(left) - i] + window + right[j:]
             if not left_done:
                 i = min(len(left), 2 * i)
             if not right_done:
                 j = min(len(right), 2 * j)
+            window = self.merge(b"".join(map(self.bytes_of.__getitem__, left[len(left) - i:] + right[:j])))
 
     def merged(self, data: bytes) -> list[int]:
         """The encoding by merges alone, from the encodings of the halves."""
         if len(data) <= self.leaf_bytes:
-            return self.merge(data)
+            return self.leaves[data]
         mid = _half(len(data))
         return self.join_tokens(self.merged(data[:mid]), self.merged(data[mid:]))
 
@@ -143,7 +157,10 @@ class TreeCodec:
 
     def _unit(self, text: str) -> bytes:
         """The ids of a coarse piece as little-endian unsigned 32-bit integers."""
-        return np.array([i for p in self.pattern.findall(text) for i in self.piece(p)], "<u4").tobytes()
+        word = text[1:] if text[0] == " " else text
+        # plain Latin letters are one match of the pattern, with the blank before them
+        parts = [text] if word.isalpha() and max(word) < "\u0250" else self.pattern.findall(text)
+        return b"".join([self.packed[i] for p in parts for i in self.piece(p)])
 
     # -- pieces of a text --------------------------------------------------------------------------------------
 
@@ -201,36 +218,42 @@ def codec(path: str) -> TreeCodec:
     return _CODECS[path]
 
 
-def encode_documents(spark: SparkSession, docs: DataFrame, path: str | None = None, id_col: str = "doc_id",
-                     text_col: str = "text") -> DataFrame:
-    """``doc_id, ids binary``: the ids of every text, unsigned, little-endian, 32 bits each."""
-    path = path or ranks_path()
-
+def encoder(path: str):
     def run(batches):
         encode = codec(path).encode
         for batch in batches:
             ids = [encode(t.decode("utf-8", "replace")) for t in texts_of(batch)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids, pa.binary())], ["doc_id", "ids"])
+    return run
 
-    return id_and_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, ids binary")
-
-
-def decode_documents(encoded: DataFrame, path: str | None = None) -> DataFrame:
-    """``doc_id, ids, decoded binary`` of rows with ``doc_id, ids``."""
-    path = path or ranks_path()
 
+def decoder(path: str):
     def run(batches):
         decode = codec(path).decode
         for batch in batches:
             raw = [decode(np.frombuffer(ids or b"", "<u4")) for ids in batch.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("ids"), pa.array(raw, pa.binary())],
                                              ["doc_id", "ids", "decoded"])
+    return run
+
+
+DECODED = "doc_id long, ids binary, decoded binary"
 
-    return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids binary, decoded binary")
+
+def encode_documents(spark: SparkSession, docs: DataFrame, path: str | None = None, id_col: str = "doc_id",
+                     text_col: str = "text") -> DataFrame:
+    """``doc_id, ids binary``: the ids of every text, unsigned, little-endian, 32 bits each."""
+    return id_and_text(docs, id_col, text_col).mapInArrow(encoder(path or ranks_path()), "doc_id long, ids binary")
+
+
+def decode_documents(encoded: DataFrame, path: str | None = None) -> DataFrame:
+    """``doc_id, ids, decoded binary`` of rows with ``doc_id, ids``."""
+    return encoded.select("doc_id", "ids").mapInArrow(decoder(path or ranks_path()), DECODED)
 
 
 def token_digest(spark: SparkSession, docs: DataFrame, path: str | None = None) -> DataFrame:
-    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of every text: encoded, then decoded from its ids."""
-    rows = decode_documents(encode_documents(spark, docs, path), path)
+    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of every text: encoded, then decoded from its ids, in one Python stage."""
+    encode, decode = encoder(path or ranks_path()), decoder(path or ranks_path())
+    rows = id_and_text(docs).mapInArrow(lambda batches: decode(encode(batches)), DECODED)
     return rows.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
                        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
