@@ -18,18 +18,19 @@ import argparse
 import datetime as dt
 import json
 import sys
+import uuid
 
 
 def main(argv=None) -> int:
     p = argparse.ArgumentParser(prog="subledger")
     p.add_argument("command", choices=["run", "test", "freshness"])
     p.add_argument("--source", required=True)
-    p.add_argument("--out", help="output folder for `run`")
+    p.add_argument("--out", help="output folder for `run` (and, if given, for the tables that `test` writes)")
     p.add_argument("--as-of", type=dt.date.fromisoformat, default=dt.date.today())
     p.add_argument("--driver-tables", action="store_true")
     a = p.parse_args(argv)
 
-    from subledger.plans.catalog import Models, Sources
+    from subledger.plans.catalog import Sources
     from subledger.session import get_session
     spark = get_session()
     src = (Sources.from_driver_tables(spark, a.source) if a.driver_tables
@@ -42,13 +43,16 @@ def main(argv=None) -> int:
         print(json.dumps(build_all(spark, src, a.out, a.as_of), indent=1))
         return 0
 
-    from subledger.operators.quality import check_freshness, report
-    from subledger.plans.checks import FRESHNESS_WARN_DAYS, LANDING_TABLES, data_checks
     if a.command == "test":
-        rep = data_checks(Models(src, materialize=True), a.as_of)
+        from subledger.plans.build import data_checks
+        from subledger.session import scratch_path
+        rep = data_checks(spark, src, a.out or scratch_path(spark, f"checks-{uuid.uuid4().hex}"), a.as_of)
     else:
-        rep = report([check_freshness(getattr(src, t), t, "snapshot_date", a.as_of, FRESHNESS_WARN_DAYS)
-                      for t in LANDING_TABLES])
+        from subledger.operators.quality import ModelChecks, report
+        from subledger.plans.checks import LANDING_CHECKS
+        from subledger.sources.statistics import newest_day
+        rep = report(spark, [row for t, c in LANDING_CHECKS.items() for row in
+                             ModelChecks(t, freshness=c.freshness).rows({"newest": newest_day(getattr(src, t), c.freshness[0])}, a.as_of)])
     rows = rep.collect()          # one row per declared check
     for r in rows:
         print(f"{r.status:5} {r.check:16} {r.model}.{r.column}: {r.failures}")

@@ -1,103 +1,81 @@
-"""Declarative data checks, each evaluated as a distributed aggregation.
-
-Every check returns a one-row-per-check DataFrame with the columns of
-``REPORT_SCHEMA``: ``check``, ``model``, ``column``, ``failures``, ``status``.
-``check_model`` takes all checks of one model in a single pass; ``unique`` is a
-``groupBy(col).count() > 1`` (partial aggregation before the shuffle, so a hot
-value costs one row per map task).  Nothing is collected to the driver; a report
-is the union of the per-check rows.
+"""Declarative data checks, counted while a model is written.
+
+A ``ModelChecks`` names what a model must hold.  ``observed`` puts its counts on the model as observed metrics, so that the job
+that writes the model counts them on the way: a declared check costs no pass.  Uniqueness needs values to meet; it is read
+from the key column of the written table alone, with partial counts per task before the shuffle, so a repeated value that a third of
+all rows hold costs one row per task.
+
+Metrics of a stage that is run again after a lost executor may count a row twice; a check that passes stays at 0, and none is missed.
+Reports have the columns ``check``, ``model``, ``column``, ``failures``, ``status``, a row per declared check.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
-from functools import reduce
+from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+REPORT_SCHEMA = "check string, model string, `column` string, failures long, status string"
 REPORT_COLUMNS = ["check", "model", "column", "failures", "status"]
 
 
-def _row(check: str, model: str, column: str, failures: Column, status: Column | None = None):
-    status = status if status is not None else F.when(failures == 0, "pass").otherwise("fail")
-    return [F.lit(check).alias("check"), F.lit(model).alias("model"), F.lit(column).alias("column"),
-            failures.cast("bigint").alias("failures"), status.alias("status")]
-
-
-def check_not_null(df: DataFrame, model: str, cols: Sequence[str]) -> DataFrame:
-    """Rows with a NULL in each of ``cols`` — one pass for all columns."""
-    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
-    rows = [counts.select(*_row("not_null", model, c, F.col(c))) for c in cols]
-    return reduce(DataFrame.unionByName, rows)
-
-
-def check_unique(df: DataFrame, model: str, col: str) -> DataFrame:
-    """Number of non-NULL values of ``col`` that occur more than once."""
-    dups = (df.where(F.col(col).isNotNull()).groupBy(col).count().where(F.col("count") > 1)
-              .agg(F.count("*").alias("n")))
-    return dups.select(*_row("unique", model, col, F.col("n")))
-
-
-def check_accepted_values(df: DataFrame, model: str, col: str, values: Sequence) -> DataFrame:
-    """Rows whose non-NULL ``col`` is outside ``values``."""
-    bad = df.agg(F.count_if(~F.col(col).isin(*values)).alias("n"))
-    return bad.select(*_row("accepted_values", model, col, F.col("n")))
-
-
-def check_equal(df: DataFrame, model: str, a: str, b: str, severity: str = "fail") -> DataFrame:
-    """Rows where ``a`` and ``b`` differ (NULL-aware); ``severity`` is the status on failure."""
-    bad = df.agg(F.count_if(~F.col(a).eqNullSafe(F.col(b))).alias("n"))
-    status = F.when(F.col("n") == 0, "pass").otherwise(severity)
-    return bad.select(*_row("equal", model, f"{a}={b}", F.col("n"), status))
-
-
-def check_freshness(df: DataFrame, model: str, col: str, as_of: dt.date,
-                    warn_after_days: int = 10) -> DataFrame:
-    """Age in days of the newest ``col``; ``warn`` past ``warn_after_days``."""
-    age = df.agg(F.datediff(F.lit(as_of), F.to_date(F.max(col))).alias("age"))
-    status = F.when(F.col("age").isNull() | (F.col("age") > warn_after_days), "warn").otherwise("pass")
-    return age.select(*_row("freshness", model, col, F.col("age"), status))
-
-
-def check_model(df: DataFrame, model: str, not_null: Sequence[str] = (), unique: str | None = None,
-                accepted: dict[str, Sequence] | None = None, equal: Sequence[tuple[str, str]] = (),
-                freshness: tuple[str, dt.date, int] | None = None) -> DataFrame:
-    """All checks of one model in one pass, a row per check.
-
-    The counts are summed per value of ``unique`` first (partially on the map side), so that the same pass also
-    finds repeated values.  ``equal`` is a warning; ``freshness`` is ``(column, as_of, warn_after_days)``.
-    An empty model has no failures, and no age.
-    """
-    bad = {("not_null", c): F.col(c).isNull() for c in not_null}
-    bad |= {("accepted_values", c): ~F.col(c).isin(*values) for c, values in (accepted or {}).items()}
-    bad |= {("equal", f"{a}={b}"): ~F.col(a).eqNullSafe(F.col(b)) for a, b in equal}
-    first = [F.count_if(cond).alias(f"m{i}") for i, cond in enumerate(bad.values())]
-    if freshness:
-        first.append(F.max(freshness[0]).alias("newest"))
-    if unique:
-        df = df.groupBy(F.col(unique).alias("__key")).agg(F.count("*").alias("__n"), *first)
-        last = [F.coalesce(F.sum(f"m{i}"), F.lit(0)).alias(f"m{i}") for i in range(len(bad))]
-        last.append(F.count_if(F.col("__key").isNotNull() & (F.col("__n") > 1)).alias("repeated"))
-        if freshness:
-            last.append(F.max("newest").alias("newest"))
-        df = df.agg(*last)
-    else:
-        df = df.agg(*first)
-    rows = []
-    for i, (check, column) in enumerate(bad):
-        failed = F.lit("warn" if check == "equal" else "fail")
-        rows.append(_row(check, model, column, F.col(f"m{i}"), F.when(F.col(f"m{i}") == 0, "pass").otherwise(failed)))
-    if unique:
-        rows.append(_row("unique", model, unique, F.col("repeated")))
-    if freshness:
-        column, as_of, days = freshness
-        age = F.datediff(F.lit(as_of), F.to_date("newest"))
-        rows.append(_row("freshness", model, column, age,
-                         F.when(age.isNull() | (age > days), "warn").otherwise("pass")))
-    return df.select(F.inline(F.array(*(F.struct(*r) for r in rows)))).select(*REPORT_COLUMNS)
-
-
-def report(checks: Sequence[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, checks)
+@dataclass(frozen=True)
+class ModelChecks:
+    """Declared checks of one model.  ``equal`` is a warning; ``freshness`` is ``(column, warn_after_days)``."""
+
+    model: str
+    not_null: tuple[str, ...] = ()
+    unique: str | None = None
+    accepted: dict[str, tuple] = field(default_factory=dict)
+    equal: tuple[tuple[str, str], ...] = ()
+    freshness: tuple[str, int] | None = None
+
+    def conditions(self) -> dict[tuple[str, str], Column]:
+        """(check, column) -> what a failing row looks like."""
+        bad = {("not_null", c): F.col(c).isNull() for c in self.not_null}
+        bad |= {("accepted_values", c): ~F.col(c).isin(*values) for c, values in self.accepted.items()}
+        return bad | {("equal", f"{a}={b}"): ~F.col(a).eqNullSafe(F.col(b)) for a, b in self.equal}
+
+    def observed(self, df: DataFrame) -> tuple[DataFrame, Observation]:
+        """``df`` with the counts as metrics of whichever job runs it next."""
+        counts = [F.count_if(c).alias(f"m{i}") for i, c in enumerate(self.conditions().values())]
+        if self.freshness:
+            counts.append(F.to_date(F.max(self.freshness[0])).alias("newest"))
+        seen = Observation()
+        return df.observe(seen, F.count(F.lit(1)).alias("rows"), *counts), seen
+
+    def rows(self, metrics: dict, as_of: dt.date, repeated: int | None = None) -> list[tuple]:
+        """Report rows from the metrics of a finished job."""
+        out = []
+        for i, (check, column) in enumerate(self.conditions()):
+            n = metrics.get(f"m{i}") or 0
+            out.append((check, self.model, column, n, "pass" if n == 0 else "warn" if check == "equal" else "fail"))
+        if self.unique:
+            out.append(("unique", self.model, self.unique, repeated, "pass" if repeated == 0 else "fail"))
+        if self.freshness:
+            column, days = self.freshness
+            newest = metrics.get("newest")
+            age = None if newest is None else (as_of - newest).days
+            out.append(("freshness", self.model, column, age, "warn" if age is None or age > days else "pass"))
+        return out
+
+
+def repeated_values(df: DataFrame, column: str) -> int:
+    """Number of non-NULL values of ``column`` that occur more than once."""
+    counts = df.where(F.col(column).isNotNull()).groupBy(column).count()
+    return counts.where(F.col("count") > 1).count()
+
+
+def report(spark: SparkSession, rows: list[tuple]) -> DataFrame:
+    """One row per declared check."""
+    return spark.createDataFrame(rows, REPORT_SCHEMA)
+
+
+def check_model(df: DataFrame, checks: ModelChecks, as_of: dt.date) -> DataFrame:
+    """The checks of a relation that nobody writes: one pass that counts, one over the key where it must be unique."""
+    seen, metrics = checks.observed(df)
+    seen.write.format("noop").mode("overwrite").save()
+    repeated = repeated_values(df, checks.unique) if checks.unique else None
+    return report(df.sparkSession, checks.rows(metrics.get, as_of, repeated))

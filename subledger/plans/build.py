@@ -1,12 +1,10 @@
 """Build every model as a table: the staging -> intermediate -> mart run.
 
-``build_all`` writes each model under ``out_root/<layer>/<model>`` as Parquet
-(full rebuild), refreshes the day-partitioned subscriber fact incrementally,
-publishes the legacy view and appends to the SCD2 subscriber history.  Models
-are written in dependency order and downstream models read the written tables,
-so every model is computed once and lineage is cut at each layer, as in the
-original warehouse run.  Writes go through Spark's commit protocol; a failed
-run leaves the previous tables in place.
+Each model is written once under ``out_root/<layer>/<model>`` and read back by later ones, in dependency order; the declared
+checks are counted by the jobs that write (``operators.quality``), those of a landing table by the job of the staging model that reads
+it.  Full rebuilds are version folders; the daily subscriber models are partitioned by day and refreshed; the legacy view
+is a stored definition; the subscriber history rewrites only the key buckets that changed.  A failed run leaves the previous
+tables in place.
 """
 
 from __future__ import annotations
@@ -16,78 +14,113 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
+from subledger.operators import quality
 from subledger.plans import projections, subscribers
 from subledger.plans.catalog import Models, Sources
-from subledger.sinks.history import (complete_versions, current_version, initial_history, read_current, scd2_check,
-                                     write_versioned)
-from subledger.sinks.tables import publish_view, refresh_partitions, table_exists, write_full
+from subledger.plans.checks import LANDING_CHECKS, LANDING_READ_BY, MODEL_CHECKS
+from subledger.sinks.history import BucketedHistory
+from subledger.sinks.tables import publish_view, read_days, read_table, refresh_partitions, write_full
 
 LAYERS = {
     "staging": ["stg_refunds", "stg_charges", "stg_invoices", "stg_plans", "stg_subscriptions",
                 "stg_subscription_items", "stg_customers", "stg_subscribers", "stg_post_overview",
                 "stg_post_traffic", "stg_post_growth", "stg_post_comments"],
-    "intermediate": ["current_subscriptions", "subscription_contacts", "recognised_charges", "int_subscriptions", "int_charges", "int_payouts", "int_subscriber_daily",
-                     "int_subscribers", "int_post_overview", "int_post_traffic", "int_post_growth",
+    "intermediate": ["current_subscriptions", "subscription_contacts", "recognised_charges", "int_subscriptions", "int_charges",
+                     "int_payouts", "int_subscribers", "int_post_overview", "int_post_traffic", "int_post_growth",
                      "int_post_comments"],
+    "mart": ["charge_accrual", "month_accrual"],
 }
+#: Marts that publish an intermediate model as it is.
+PUBLISHED_POSTS = {f"post_{kind}": f"int_post_{kind}" for kind in ("overview", "traffic", "growth", "comments")}
+HISTORY_KEY, HISTORY_WATCHED, HISTORY_STAMP = "subscription_id", ["cancel_date"], "snapshot_date"
 
 
-class _TableModels(Models):
-    """Models whose attributes resolve to tables already written by this run."""
+class _Run(Models):
+    """Models whose attributes resolve to tables already written by this run, and what their writes have counted."""
 
-    def __init__(self, sources: Sources, spark: SparkSession, out_root: str):
+    def __init__(self, spark: SparkSession, sources: Sources, out_root: str, as_of: dt.date):
         super().__init__(sources)
-        self._spark, self._root = spark, out_root
+        self.spark, self.root, self.as_of = spark, out_root, as_of
+        self.places: dict[str, str] = {}
+        self.report_rows: list[tuple] = []
+        self._landing = {model: table for table, model in LANDING_READ_BY.items()}
+
+    def _watch_landing(self, name: str):
+        """Let the write of a staging model count the checks of the landing table that it reads."""
+        table = self._landing.get(name)
+        if table is None:
+            return None
+        df, metrics = LANDING_CHECKS[table].observed(getattr(self.src, table))
+        self.src = self.src.replaced(table, df)
+        return LANDING_CHECKS[table], metrics
+
+    def _counted(self, name: str, write) -> None:
+        """Run ``write`` with a function that puts the model's checks on what it writes, and report what they counted."""
+        checks, seen = MODEL_CHECKS.get(name), []
+
+        def observed(df: DataFrame) -> DataFrame:
+            if checks is None:
+                return df
+            df, metrics = checks.observed(df)
+            seen.append(metrics)
+            return df
+
+        write(observed)
+        if checks:
+            repeated = quality.repeated_values(self.table(name), checks.unique) if checks.unique else None
+            self.report_rows += checks.rows(seen[-1].get, self.as_of, repeated)
+
+    def table(self, name: str) -> DataFrame:
+        return read_table(self.spark, self.places[name])
+
+    def write(self, layer: str, name: str, df: DataFrame | None = None) -> None:
+        original, watched = self.src, self._watch_landing(name)
+        self.places[name] = os.path.join(self.root, layer, name)
+        model = getattr(self, name) if df is None else df
+        self._counted(name, lambda observed: write_full(observed(model), self.places[name]))
+        self.src = original
+        if watched:
+            self.report_rows += watched[0].rows(watched[1].get, self.as_of)
+        self.__dict__[name] = self.table(name)      # later models read the table, not the plan
+
+    def refresh(self, layer: str, name: str, upstream: DataFrame, build=None) -> None:
+        """A model partitioned by day: the look-back days are replaced, and checked."""
+        self.places[name] = path = os.path.join(self.root, layer, name)
+        self._counted(name, lambda observed: refresh_partitions(
+            upstream, path, self.as_of, build=lambda days: observed(build(days) if build else days)))
+        self.__dict__[name] = read_days(self.spark, path)
+
+
+def build_run(spark: SparkSession, sources: Sources, out_root: str, as_of: dt.date, revenue_as_of: dt.date | None = None) -> _Run:
+    """Run every model.  ``revenue_as_of``: the run date of the projections, if it is another."""
+    m = _Run(spark, sources, out_root, as_of)
+    for layer, names in LAYERS.items():
+        for name in names:
+            m.write(layer, name)
+    for name, source in PUBLISHED_POSTS.items():
+        m.write("mart", name, getattr(m, source))
+    m.write("mart", "revenue_projections", projections.revenue_projections(
+        m.month_accrual, m.charge_accrual, m.current_subscriptions, revenue_as_of or as_of))
 
-    def written(self, layer: str, name: str, df: DataFrame) -> DataFrame:
-        path = os.path.join(self._root, layer, name)
-        write_full(df, path)
-        table = self._spark.read.parquet(path)
-        self.__dict__[name] = table      # later models read the table, not the plan
-        return table
+    m.refresh("intermediate", "int_subscriber_daily", m.int_subscriber_daily)
+    m.refresh("mart", "subscriber_daily", m.int_subscriber_daily, subscribers.fct_subscriber_daily)
+    m.places["subscriber_compat"] = publish_view(spark, out_root, "subscriber_compat", subscribers.COMPAT_SQL,
+                                                 {"daily": "mart/subscriber_daily"})
+
+    # snapshot history: apply today's latest subscriber list to the stored history
+    m.places["subscriber_history"] = place = os.path.join(out_root, "snapshots", "subscriber_history")
+    BucketedHistory(spark, place, HISTORY_KEY, HISTORY_WATCHED, HISTORY_STAMP).merge(m.int_subscribers)
+    return m
 
 
 def build_all(spark: SparkSession, sources: Sources, out_root: str, as_of: dt.date) -> dict[str, str]:
-    """Run every model; returns ``{model: location}``."""
-    m = _TableModels(sources, spark, out_root)
-    out: dict[str, str] = {}
-    for layer, names in LAYERS.items():
-        for name in names:
-            m.written(layer, name, getattr(m, name))
-            out[name] = os.path.join(out_root, layer, name)
-
-    marts = {
-        "charge_accrual": m.charge_accrual,
-        "month_accrual": m.month_accrual,
-        "post_overview": m.int_post_overview,
-        "post_traffic": m.int_post_traffic,
-        "post_growth": m.int_post_growth,
-        "post_comments": m.int_post_comments,
-    }
-    for name, df in marts.items():
-        m.written("mart", name, df)
-        out[name] = os.path.join(out_root, "mart", name)
-    proj = projections.revenue_projections(m.month_accrual, m.charge_accrual, m.int_subscriptions, as_of)
-    m.written("mart", "revenue_projections", proj)
-    out["revenue_projections"] = os.path.join(out_root, "mart", "revenue_projections")
-
-    # incremental, day-partitioned fact (first run: everything) and its legacy view
-    daily_path = os.path.join(out_root, "mart", "subscriber_daily")
-    refresh_partitions(m.int_subscriber_daily, daily_path, as_of,
-                       build=lambda d: subscribers.fct_subscriber_daily(d))
-    out["subscriber_daily"] = daily_path
-    publish_view(subscribers.subscriber_compat(spark.read.parquet(daily_path)), "subscriber_compat")
-    out["subscriber_compat"] = "view subscriber_compat"
+    """Run every model; returns ``{model: location}``, the report of the declared checks included."""
+    m = build_run(spark, sources, out_root, as_of)
+    m.places["data_checks"] = os.path.join(out_root, "checks")
+    write_full(quality.report(spark, m.report_rows).coalesce(1), m.places["data_checks"])
+    return m.places
 
-    # snapshot history: apply today's latest subscriber list to the stored history
-    hist_root = os.path.join(out_root, "snapshots", "subscriber_history")
-    incoming = m.int_subscribers
-    if complete_versions(spark, hist_root):
-        version = current_version(spark, hist_root) + 1
-        history = scd2_check(read_current(spark, hist_root), incoming, "subscription_id",
-                             ["cancel_date"], "snapshot_date")
-    else:
-        version, history = 1, initial_history(incoming, "snapshot_date")
-    out["subscriber_history"] = write_versioned(history, hist_root, version)
-    return out
 
+def data_checks(spark: SparkSession, sources: Sources, out_root: str, as_of: dt.date, revenue_as_of: dt.date | None = None) -> DataFrame:
+    """The report of the declared checks of one run under ``out_root``."""
+    return quality.report(spark, build_run(spark, sources, out_root, as_of, revenue_as_of).report_rows)

@@ -44,6 +44,12 @@ class Sources:
             self._cache[name] = self._loaders[name]()
         return self._cache[name]
 
+    def replaced(self, name: str, df: DataFrame) -> "Sources":
+        """The same sources with one relation put in the place of ``name``."""
+        other = Sources(self._loaders)
+        other._cache = {**self._cache, name: df}
+        return other
+
     @classmethod
     def from_driver_tables(cls, spark: SparkSession, root: str) -> "Sources":
         """Bindings over the driver test tables under ``root`` (one scan per table)."""
@@ -201,9 +207,7 @@ class Models:
     def stg_post_comments(self): return self._contract("stg_post_comments", posts.stg_post_comments(self.src.post_comments))
     @cached_property
     def int_post_overview(self):
-        # the latest payloads are picked first: only those are parsed in full
-        latest = posts.stg_post_overview(posts.latest_snapshot(self.src.post_overview, "post_id"))
-        return self._contract("int_post_overview", posts.int_post_overview(self.stg_post_overview, latest))
+        return self._contract("int_post_overview", posts.int_post_overview(posts.post_state(self.src.post_overview)))
     @cached_property
     def int_post_traffic(self): return posts.latest_snapshot(self.stg_post_traffic, "post_id")
     @cached_property

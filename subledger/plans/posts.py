@@ -12,8 +12,8 @@
   instead of three aggregations and two joins.
 * Growth: lenient text reads (numbers as text accepted) via string leaves and
   ``try_cast``.
-* Latest per post with last-known metrics is a single ``max_by`` aggregation
-  (see ``operators.dedup``), safe for posts with very many snapshots.
+* Latest per post with last-known metrics is a mergeable state per post, one aggregation over the snapshots, safe for posts
+  with very many of them.
 """
 
 from __future__ import annotations
@@ -74,10 +74,10 @@ _LEAF = {"bigint": T.LongType(), "double": T.DoubleType(), "boolean": T.BooleanT
          "str": T.VariantType(), "ts": T.VariantType()}
 
 
-def _overview_schema() -> T.StructType:
-    """Nested struct covering every path of ``OVERVIEW_FIELDS`` (built once)."""
+def _overview_schema(fields=tuple(OVERVIEW_FIELDS)) -> T.StructType:
+    """Nested struct covering the paths of ``fields``."""
     tree: dict = {}
-    for _, path, kind in OVERVIEW_FIELDS:
+    for _, path, kind in fields:
         node = tree
         parts = path.split(".")
         for p in parts[:-1]:
@@ -85,15 +85,15 @@ def _overview_schema() -> T.StructType:
         node[parts[-1]] = _LEAF[kind]
 
     def build(node: dict) -> T.StructType:
-        fields = []
+        out = []
         for name, sub in node.items():
             if name.endswith("[0]"):
-                fields.append(T.StructField(name[:-3], T.ArrayType(build(sub))))
+                out.append(T.StructField(name[:-3], T.ArrayType(build(sub))))
             elif isinstance(sub, dict):
-                fields.append(T.StructField(name, build(sub)))
+                out.append(T.StructField(name, build(sub)))
             else:
-                fields.append(T.StructField(name, sub))
-        return T.StructType(fields)
+                out.append(T.StructField(name, sub))
+        return T.StructType(out)
 
     return T.StructType([T.StructField("posts", T.ArrayType(build(tree)))])
 
@@ -112,35 +112,60 @@ def _path(root: Column, path: str) -> Column:
     return c
 
 
-def stg_post_overview(landing: DataFrame) -> DataFrame:
-    """Flatten the overview payload: 80 strictly typed fields plus the keys."""
+def overview_columns(data: str = "data", fields=tuple(OVERVIEW_FIELDS)) -> list[Column]:
+    """The payload's ``fields`` as strictly typed columns."""
     # Fields are read straight off the from_json expression: a parsed struct column
     # with more than spark.sql.codegen.maxFields nested fields would switch off
     # whole-stage codegen; common-subexpression elimination parses once per row.
-    post = F.get(F.from_json("data", _overview_schema()).getField("posts"), 0)
+    post = F.get(F.from_json(data, _overview_schema(fields)).getField("posts"), 0)
     cols = []
-    for name, path, kind in OVERVIEW_FIELDS:
+    for name, path, kind in fields:
         c = _path(post, path)
         if kind == "str":
             c = _strict_text(c)
         elif kind == "ts":
             c = _strict_text(c).cast("timestamp").cast("timestamp_ntz")   # an offset names an instant; the session is UTC
         cols.append(c.alias(name))
-    return landing.select(*KEYS, *cols)
+    return cols
+
+
+def stg_post_overview(landing: DataFrame) -> DataFrame:
+    """Flatten the overview payload: 80 strictly typed fields plus the keys."""
+    return landing.select(*KEYS, *overview_columns())
 
 
-def int_post_overview(overview: DataFrame, latest: DataFrame | None = None) -> DataFrame:
-    """Latest snapshot per post; volatile metrics carry their last non-NULL value.
+#: What a known value is ordered by.
+_AT = ["snapshot_date", "publication"]
 
-    ``overview`` holds all staged rows, ``latest`` those of the latest snapshots (None: picked from ``overview``).  Only the volatile metrics are aggregated, so a reader of other columns prunes them from both sides.
+
+def post_state(landing: DataFrame) -> DataFrame:
+    """What is known of each post, in one aggregation over its snapshots: the latest payload as it came, and the last
+    non-NULL value of each volatile metric with its snapshot.
+
+    Only the volatile metrics are parsed for every snapshot; the rest is parsed for the latest payload alone.  States merge
+    (``merge_post_states``), so a new day is added without reading the days before.
     """
-    latest = latest_snapshot(overview, "post_id") if latest is None else latest
-    order = F.struct("snapshot_date", "publication")
-    known = overview.groupBy(F.col("post_id").alias("__post")).agg(
-        *[F.max_by(c, F.when(F.col(c).isNotNull(), order)).alias(c) for c in LAST_KNOWN])
-    joined = latest.drop(*LAST_KNOWN).join(known, F.col("post_id").eqNullSafe(F.col("__post")), "left")
+    volatile = tuple(f for f in OVERVIEW_FIELDS if f[0] in LAST_KNOWN)
+    rows = landing.select(*KEYS, "data", *overview_columns(fields=volatile))
+    known = [F.max(F.when(F.col(c).isNotNull(), F.struct(*_AT, F.col(c).alias("value")))).alias(c) for c in LAST_KNOWN]
+    return rows.groupBy("post_id").agg(F.max_by(F.struct(*_AT, "data"), F.struct(*_AT)).alias("latest"), *known)
+
+
+def merge_post_states(state: DataFrame, newer: DataFrame) -> DataFrame:
+    """The state of both, one row per post."""
+    return state.unionByName(newer).groupBy("post_id").agg(
+        F.max_by("latest", F.struct(*[F.col(f"latest.{c}") for c in _AT])).alias("latest"),
+        *[F.max(c).alias(c) for c in LAST_KNOWN])
+
+
+def int_post_overview(state: DataFrame) -> DataFrame:
+    """Latest snapshot per post; volatile metrics carry their last non-NULL value."""
+    fixed = tuple(f for f in OVERVIEW_FIELDS if f[0] not in LAST_KNOWN)
+    parsed = state.select("post_id", F.col("latest.snapshot_date").alias("snapshot_date"),
+                          F.col("latest.publication").alias("publication"), *overview_columns("latest.data", fixed),
+                          *[F.col(f"{c}.value").alias(c) for c in LAST_KNOWN])
     stamp = F.timestamp_millis("stats_updated_at").cast("timestamp_ntz").alias("stats_updated_at")
-    return joined.select("post_id", "snapshot_date", "publication",
+    return parsed.select("post_id", "snapshot_date", "publication",
                          *[stamp if n == "stats_updated_at" else n for n, _, _ in OVERVIEW_FIELDS])
 
 

@@ -26,6 +26,7 @@ from subledger.operators.dedup import latest_per_key
 from subledger.operators.distinct import bitmaps, counted, merged, with_dense_number
 from subledger.operators.joins import left_join_agg, left_join_on
 from subledger.operators.spread import SPREAD_MONTHS, spread_revenue
+from subledger.sinks.colocated import Part, colocated_join
 
 SUCCEEDED = "succeeded"
 SUBSCRIBER, APP_STORE = "subscriber", "app_store"
@@ -205,6 +206,25 @@ def revenue_streams(charges: DataFrame, invoices: DataFrame, subscriptions: Data
         "finance_month_date", fiscal.fiscal_month("charged_at"))
 
 
+def charge_chain_parts(charges: DataFrame, invoices: DataFrame, subscriptions: DataFrame) -> dict[str, Part]:
+    """Charges, invoices and subscriptions for ``write_colocated``: each row carries its subscription, which charges get from their
+    invoice here, once, when they are stored."""
+    inv = invoices.where(F.col("subscription_id").isNotNull())
+    of = inv.select(F.col("invoice_id").alias("of_invoice"), "subscription_id")
+    ch = charges.where(F.col("invoice_id").isNotNull()).select("charge_id", "invoice_id", "charged_at", "net_amount_usd")
+    ch = ch.join(of, F.col("invoice_id") == F.col("of_invoice"), "inner").drop("of_invoice")
+    return {"charges": Part(ch, "invoice_id"),
+            "invoices": Part(inv.select("subscription_id", "invoice_id", "period_start"), "invoice_id"),
+            "subscriptions": Part(subscriptions.select("subscription_id", "customer_id", "billing_interval"))}
+
+
+def charge_chain(tables: dict[str, DataFrame]) -> DataFrame:
+    """Charge -> invoice -> subscription over the stored tables, without an exchange."""
+    linked = colocated_join(tables["charges"], tables["invoices"], "subscription_id", "invoice_id")
+    return colocated_join(linked, tables["subscriptions"], "subscription_id").select(
+        "charge_id", "invoice_id", "subscription_id", "customer_id", "billing_interval", "period_start", "charged_at", "net_amount_usd")
+
+
 def recognition_months(base: DataFrame) -> DataFrame:
     """One row per charge and recognition month: what the projections read of the accrual."""
     spread = spread_revenue(base, "billing_interval", "net_amount_cents")

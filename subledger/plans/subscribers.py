@@ -12,8 +12,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from subledger.functions.classify import (ACTIVE_BUCKETS, legacy_type, payer_type,
-                                          resolve_interval, status_bucket, title_or_free)
+from subledger.functions.classify import ACTIVE_BUCKETS, payer_type, resolve_interval, status_bucket, title_or_free
 from subledger.functions.money import to_major
 from subledger.functions.text import imputed_price, normalise_email, source_uri
 from subledger.operators.dedup import latest_per_key
@@ -102,13 +101,22 @@ def fct_subscriber_daily(daily: DataFrame, as_of: dt.date | None = None) -> Data
                 .withColumn("is_active_paid", F.col("status_bucket").isin(*ACTIVE_BUCKETS)))
 
 
+#: Legacy export shape (built with the upstream column names), as the stored view defines it.
+COMPAT_SQL = """
+SELECT snapshot_date, email, CAST(NULL AS STRING) AS name,
+       CASE WHEN is_gift AND billing_interval = 'monthly' THEN 'monthly gift'
+            WHEN is_gift AND billing_interval = 'annual' THEN 'yearly gift'
+            WHEN subscription_interval = 'lifetime' THEN 'royalist'
+            WHEN is_comp THEN 'comp'
+            WHEN billing_interval = 'annual' THEN 'yearly'
+            WHEN billing_interval = 'monthly' THEN 'monthly'
+            ELSE 'subscriber' END AS type,
+       start_date, first_paid_date, cancel_date, expiration_date, imputed_price_usd AS revenue
+FROM {daily}"""
+
+
 def subscriber_compat(daily_fact: DataFrame) -> DataFrame:
-    """Legacy export shape (built with the upstream column names)."""
-    return daily_fact.select(
-        "snapshot_date", "email", F.lit(None).cast("string").alias("name"),
-        legacy_type("is_gift", "billing_interval", "subscription_interval", "is_comp").alias("type"),
-        "start_date", "first_paid_date", "cancel_date", "expiration_date",
-        F.col("imputed_price_usd").alias("revenue"))
+    return daily_fact.sparkSession.sql(COMPAT_SQL, daily=daily_fact)
 
 
 def subscribers_mapped(subscribers: DataFrame) -> DataFrame:

@@ -1,85 +1,103 @@
-"""Materialisation of models: full rebuilds, views, day-partition refreshes.
-
-``refresh_partitions`` is the incremental strategy of the daily subscriber fact:
-on the first run (no target yet) everything is written; later runs recompute
-only the last ``lookback_days`` days and replace exactly the day partitions
-present in the result (dynamic partition overwrite), leaving all others.
-Writes go through Spark's commit protocol, so a task lost mid-write is retried
-without leaving partial files behind.
+"""Materialisation of models: full rebuilds, stored views, day-partition refreshes.
+
+* A full rebuild is a new version folder (``sinks.versions``); readers go on with the old one until the new one is committed.
+* A view is a stored definition, SQL over tables beside it, resolved on read; any later session can read it.
+* A day-partitioned table is refreshed by replacing exactly the day partitions in the result (dynamic partition overwrite): the days
+  of a look-back window, or the days that new rows touched.  Its upstream is partitioned by day as well, so a refresh reads those
+  folders only: by a literal bound, or by dynamic partition pruning from the touched days.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import json
 import os
-import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from subledger.operators.joins import bounded_broadcast
+from subledger.sinks.versions import (complete_versions, expire_versions, next_version, path_exists, read_current,
+                                      write_versioned)
 
-def write_full(df: DataFrame, path: str, partition_by: str | None = None) -> str:
-    """Full rebuild of a table stored as Parquet at ``path``.
+DAY_BOUND = "one row per calendar day"
 
-    The new rows are written beside the table first and take its place only when complete, so a failed run leaves the old
-    table as it was, and a rebuild keeps no partition of the old one.
-    """
+
+def write_full(df: DataFrame, path: str, partition_by: str | None = None) -> str:
+    """Full rebuild of the table at ``path``: a new version, after whose commit older ones are expired."""
     spark = df.sparkSession
-    fresh, previous = (f"{path.rstrip('/')}__{kind}_{uuid.uuid4().hex}" for kind in ("new", "old"))
-    writer = df.write.mode("errorifexists")
-    if partition_by:
-        writer = writer.partitionBy(partition_by)
-    writer.parquet(fresh)
-    path_of = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    fs = path_of(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    replaced = fs.exists(path_of(path)) and fs.rename(path_of(path), path_of(previous))
-    if not fs.rename(path_of(fresh), path_of(path)):
-        if replaced:
-            fs.rename(path_of(previous), path_of(path))
-        raise OSError(f"cannot put {fresh} in the place of {path}")
-    if replaced:
-        fs.delete(path_of(previous), True)
+    write_versioned(df, path, next_version(spark, path), partition_by)
+    expire_versions(spark, path)
     return path
 
 
-def save_table(df: DataFrame, name: str) -> str:
-    """Full rebuild of a catalog table."""
-    df.write.mode("overwrite").saveAsTable(name)
-    return name
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """The newest committed version of a rebuilt table; a folder without versions is read as it is."""
+    return read_current(spark, path) if complete_versions(spark, path) else spark.read.parquet(path)
+
+
+def publish_view(spark: SparkSession, root: str, name: str, sql: str, inputs: dict[str, str]) -> str:
+    """Store the view ``name`` beside the tables under ``root``: ``sql`` names each input as ``{input}``, ``inputs`` gives their
+    places relative to ``root``.  Nothing of the rows is stored."""
+    place = os.path.join(root, "views", name)
+    definition = spark.createDataFrame([(sql, json.dumps(inputs))], "sql string, inputs string").coalesce(1)
+    write_full(definition, place)
+    return place
+
 
+def read_view(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """A stored view over the tables as they are now."""
+    view = read_table(spark, os.path.join(root, "views", name)).first()
+    frames = {k: read_table(spark, os.path.join(root, v)) for k, v in json.loads(view.inputs).items()}
+    return spark.sql(view.sql, **frames)
 
-def publish_view(df: DataFrame, name: str) -> str:
-    """Expose a model as a (session) view: no storage, evaluated on read."""
-    df.createOrReplaceTempView(name)
-    return name
 
+def write_days(df: DataFrame, path: str, day_col: str = "snapshot_date") -> None:
+    """Replace exactly the day partitions present in ``df``; one day's rows meet in as many tasks as their size asks for."""
+    (df.hint("rebalance", F.col(day_col)).write.mode("overwrite")
+       .option("partitionOverwriteMode", "dynamic").partitionBy(day_col).parquet(path))
 
-def table_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(hadoop_path)
+
+def read_days(spark: SparkSession, path: str, like: DataFrame | None = None) -> DataFrame:
+    """A day-partitioned table; ``like`` declares the schema, so that no footer is read for it."""
+    return (spark.read.schema(like.schema) if like is not None else spark.read).parquet(path)
 
 
 def refresh_partitions(daily: DataFrame, path: str, as_of: dt.date,
                        part_col: str = "snapshot_date", lookback_days: int = 3,
-                       build=None) -> DataFrame:
-    """Incremental refresh of a day-partitioned table at ``path``.
+                       build: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """Incremental refresh of a day-partitioned table at ``path``: everything on the first run, later the last ``lookback_days``.
 
     ``daily`` is the upstream relation; ``build(upstream) -> DataFrame`` turns the
     (possibly filtered) upstream into target rows (identity by default).  Returns
     the rows that were written.
     """
-    spark = daily.sparkSession
-    first_run = not table_exists(spark, path)
+    first_run = not path_exists(daily.sparkSession, path)
     src = daily if first_run else daily.where(
         F.col(part_col) >= F.lit(as_of - dt.timedelta(days=lookback_days)))
     out = build(src) if build else src
-    # one day's rows meet in as many tasks as their size asks for, instead of a file per task and day
-    (out.hint("rebalance", F.col(part_col)).write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(part_col)
-        .parquet(path))
+    write_days(out, path, part_col)
+    return out
+
+
+def touched_rows(upstream: DataFrame, changes: DataFrame, day_col: str = "snapshot_date", earliest: dt.date = dt.date.min,
+                 changed_day: str | None = None) -> DataFrame:
+    """Rows of ``upstream`` on the days that ``changes`` touched, from ``earliest`` on.
+
+    The days are a broadcast of one row per calendar day, so over an upstream partitioned by day the scan is
+    pruned to their folders at run time.
+    """
+    day = F.to_date(changed_day or day_col)
+    days = changes.select(day.alias(day_col)).where(F.col(day_col) >= F.lit(earliest)).distinct()
+    return upstream.join(bounded_broadcast(days, DAY_BOUND), day_col, "left_semi")
+
+
+def refresh_touched(upstream: DataFrame, changes: DataFrame, path: str, build: Callable[[DataFrame], DataFrame],
+                    day_col: str = "snapshot_date", earliest: dt.date = dt.date.min) -> DataFrame:
+    """Recompute the touched days of the table at ``path`` from ``upstream``; all other days stay as they are."""
+    out = build(touched_rows(upstream, changes, day_col, earliest))
+    write_days(out, path, day_col)
     return out
 
 

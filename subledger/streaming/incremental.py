@@ -22,16 +22,15 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from subledger.session import checkpoint_dir
+from subledger.sinks.tables import touched_rows, write_days
 
 
 def refresh_touched_days(batch: DataFrame, landing: DataFrame, build: Callable[[DataFrame], DataFrame],
                          target: str, day_col: str = "snapshot_date") -> None:
     """Recompute the days present in ``batch`` from ``landing`` and replace their partitions."""
-    days = batch.select(F.to_date(day_col).alias("__day")).distinct()
-    affected = landing.join(days, F.to_date(landing[day_col]) == days["__day"], "left_semi")
-    out = build(affected)
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy(day_col).parquet(target))
+    by_day = landing.withColumn("__day", F.to_date(day_col))
+    affected = touched_rows(by_day, batch, "__day", changed_day=day_col).drop("__day")
+    write_days(build(affected), target, day_col)
 
 
 def start_refresh_stream(spark: SparkSession, landing_dir: str, schema: StructType, target: str,
