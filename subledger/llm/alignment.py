@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +32,7 @@ from pyspark.sql import functions as F
 
 from subledger.llm.common import BoundedCache, byte_letters, id_and_text, release, stored, texts_of
 from subledger.llm.exchange import expand, squeeze
-from subledger.llm.tokencount import PRE_TOKEN, vocabulary_path
+from subledger.llm.tokencount import vocabulary_path
 
 SHARD_KEYS = 1 << 18
 SLICE_KEYS = 1 << 22
@@ -42,6 +43,12 @@ FAN = 16
 LEVELS = 64
 LOAD = 2.0
 SPACE_MARK = "▁"
+#: Characters below this one are normalised one by one.
+PLAIN_BELOW = "\u0250"
+_WS = r"\t-\r \x85\xa0"
+#: A run of white space and the visible run after it: both vocabularies cut before each.
+UNIT = re.compile(f"[{_WS}]*[^{_WS}]+|[{_WS}]+")
+CROSSING = re.compile(f"[^{_WS}{SPACE_MARK}][{_WS}{SPACE_MARK}]")
 
 
 class Pair:
@@ -63,6 +70,13 @@ class Pair:
         self.len_a, self.len_b = (np.array([len(x) for x in t], np.int64) for t in (self.bytes_a, self.bytes_b))
         self.type_a, self.type_b = ("<u2" if n <= 1 << 16 else "<u4" for n in (self.n_a, self.n_b))
         self.finer, self.units = regex.compile(public_tokenizers.PATTERN), BoundedCache(self._unit, CACHE_ENTRIES)
+        # B can be encoded unit by unit where no piece goes on from a visible character to white space, nor from a line's end
+        pieces = [self.b.id_to_piece(i) for i in range(self.n_b)]
+        crossing = {m[0][1] for p in pieces for m in CROSSING.finditer(p)}
+        self.by_unit = SPACE_MARK not in crossing and not any("\n" in p[:-1] for p in pieces)
+        self.odd = re.compile("[" + re.escape("".join(sorted(crossing))) + PLAIN_BELOW + "-\U0010ffff]")
+        self.stop = self.b.encode("\n")       # B's blank and the line's end, which stands alone
+        self.fresh: dict[str, list[int]] = {}
         #: Decimal ids with what follows them: "," inside, "|" after a group's A ids, ";" after its B ids.
         name_a, name_b = ([b"%d" % i for i in range(n)] for n in (self.n_a, self.n_b))
         self.parts = ([x + b"," for x in name_a] + [x + b"|" for x in name_a]
@@ -76,28 +90,43 @@ class Pair:
         piece = self.b.id_to_piece(i)
         return bytes([int(piece[3:-1], 16)]) if self.b.is_byte(i) else piece.replace(SPACE_MARK, " ").encode()
 
-    def _unit(self, text: str) -> bytes:
-        if max(text) >= "ɐ":
-            ids = self.a.encode(text, add_special_tokens=False).ids
-        else:
-            tokenize = self.a.model.tokenize
-            ids = [t.id for part in self.finer.findall(text)
-                   for t in tokenize(part.encode().decode("latin-1").translate(self.letters))]
-        return np.array(ids, self.type_a).tobytes()
+    def _unit(self, text: str) -> tuple[bytes, bytes] | None:
+        """Both ids of a unit, which neither vocabulary joins to another; None if B does not give it back."""
+        tokenize, word = self.a.model.tokenize, text[1:] if text[0] == " " else text
+        # plain Latin letters are one match of the pattern, with the blank before them
+        parts = [text] if word.isalpha() else self.finer.findall(text)
+        a = [t.id for part in parts for t in tokenize(part.encode().decode("latin-1").translate(self.letters))]
+        b = self.fresh[text] if text in self.fresh else self.b.encode("\n" + text)
+        raw, b = text.encode(), b[len(self.stop):]
+        if b"".join([self.bytes_b[i] for i in b]) != raw or b"".join([self.bytes_a[i] for i in a]) != raw:
+            return None
+        return np.array(a, self.type_a).tobytes(), np.array(b, self.type_b).tobytes()
+
+    def _whole(self, text: str) -> tuple[bytes, bytes]:
+        """Both ids of a text by the libraries, or nothing where either does not give the text back."""
+        a, b = self.a.encode(" " + text, add_special_tokens=False).ids, self.b.encode(text)
+        wanted = (" " + text).encode("utf-8", "replace")
+        if b"".join([self.bytes_b[i] for i in b]) != wanted or b"".join([self.bytes_a[i] for i in a]) != wanted:
+            return b"", b""
+        return np.array(a, self.type_a).tobytes(), np.array(b, self.type_b).tobytes()
 
     def encode(self, texts: list[bytes]) -> list[tuple[bytes, bytes]]:
-        """Ids by A and by B of each text, or nothing where either does not give the text back."""
+        """Ids by A and by B of each text, or nothing where either does not give the text back.
+
+        Latin texts are encoded by units between blanks and line ends, those new to this worker in one call of B; others whole.
+        """
         plain = [t.decode("utf-8", "replace") for t in texts]
+        units = [UNIT.findall(" " + t) if self.by_unit and t and not self.odd.search(t) else [] for t in plain]
+        new = [u for u in set().union(*units) if u not in self.units and u not in self.units.old]
+        self.fresh = dict(zip(new, self.b.encode(["\n" + u for u in new], num_threads=1))) if new else {}
         result = []
-        for raw, text, b in zip(texts, plain, self.b.encode(plain, num_threads=1)):
-            if not raw:
-                result.append((b"", b""))
-                continue
-            a = b"".join(map(self.units.__getitem__, PRE_TOKEN.findall(" " + text)))
-            wanted = b" " + raw
-            whole = (b"".join(map(self.bytes_b.__getitem__, b)) == wanted
-                     and b"".join(map(self.bytes_a.__getitem__, np.frombuffer(a, self.type_a).tolist())) == wanted)
-            result.append((a, np.array(b, self.type_b).tobytes()) if whole else (b"", b""))
+        for text, parts in zip(plain, units):
+            found = list(map(self.units.__getitem__, parts))
+            if parts and None not in found:
+                a, b = zip(*found)
+                result.append((b"".join(a), b"".join(b)))
+            else:
+                result.append(self._whole(text) if text else (b"", b""))
         return result
 
 
