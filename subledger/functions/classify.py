@@ -59,18 +59,6 @@ def status_bucket(is_gift, first_paid, is_comp, cancel_date, expiration, snapsho
             .otherwise("Expired"))
 
 
-def legacy_type(is_gift, billing_interval, subscription_interval, is_comp) -> Column:
-    """Subscriber type in the legacy export vocabulary."""
-    bi = _col(billing_interval)
-    return (F.when(_col(is_gift) & (bi == MONTHLY), "monthly gift")
-            .when(_col(is_gift) & (bi == ANNUAL), "yearly gift")
-            .when(_col(subscription_interval) == "lifetime", "royalist")
-            .when(_col(is_comp), "comp")
-            .when(bi == ANNUAL, "yearly")
-            .when(bi == MONTHLY, "monthly")
-            .otherwise("subscriber"))
-
-
 def interval_by_amount(amount, threshold: float = 10.0) -> Column:
     """Prototype rule: converted amount below the threshold -> monthly, else annual."""
     return F.when(_col(amount) < threshold, MONTHLY).otherwise(ANNUAL)

@@ -49,14 +49,3 @@ def period_end(month, cut_day: int = CUT_DAY) -> Column:
 def month_from_label(label) -> Column:
     """Parse ``"Month YYYY"`` back to its first-of-month date (NULL when unparsable)."""
     return F.trunc(F.try_to_date(_col(label), LABEL_FORMAT), "MM")
-
-
-def with_fiscal_columns(df, ts_col: str, prefix: str = "reporting_month",
-                        cut_day: int = CUT_DAY):
-    """Add ``<prefix>`` label, ``<prefix>_start`` and ``<prefix>_end`` for ``ts_col``."""
-    m = fiscal_month(ts_col, cut_day)
-    return df.withColumns({
-        prefix: month_label(m),
-        f"{prefix}_start": period_start(m, cut_day),
-        f"{prefix}_end": period_end(m, cut_day),
-    })

@@ -1,15 +1,9 @@
-"""Latest row per key and last-known values.
+"""Latest row per key.
 
 ``latest_per_key`` is ``row_number() = 1`` over a window partitioned by the key.
 Spark rewrites that filter into a two-phase ``WindowGroupLimit``: each map task
 keeps only its own top row per key before the shuffle, so a key holding a third
 of all rows ships one row per map task, not a third of the table.
-
-``latest_with_last_known`` answers "latest row per key, with selected columns
-replaced by their last non-NULL value" as ONE aggregation: ``max_by`` with an
-ordering that is NULL where the value is NULL.  Aggregates combine partially on
-the map side, so no key's rows are ever gathered in one task, and one shuffle
-replaces the window sort + dedup of the straightforward formulation.
 """
 
 from __future__ import annotations
@@ -32,29 +26,3 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence, tiebreak
     """
     w = Window.partitionBy(*keys).orderBy(*[_desc(c) for c in list(order) + list(tiebreak)])
     return df.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") == 1).drop("__rn")
-
-
-def last_known(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: Sequence[str],
-               suffix: str = "") -> DataFrame:
-    """Every row, with ``cols`` replaced by the last non-NULL value up to that row.
-
-    Frame: RANGE UNBOUNDED PRECEDING .. CURRENT ROW (the SQL default), i.e. rows
-    tied on ``order`` see each other.
-    """
-    w = Window.partitionBy(*keys).orderBy(*order).rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    return df.withColumns({f"{c}{suffix}": F.last(c, ignorenulls=True).over(w) for c in cols})
-
-
-def latest_with_last_known(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-                           last_known_cols: Sequence[str], tiebreak: Sequence[str] = ()) -> DataFrame:
-    """Latest row per key with ``last_known_cols`` filled from earlier rows.
-
-    Equivalent to ``last_known`` followed by ``latest_per_key`` when
-    ``order + tiebreak`` is unique per key.
-    """
-    ordering = F.struct(*[F.col(c) for c in list(order) + list(tiebreak)])
-    rest = [c for c in df.columns if c not in keys and c not in last_known_cols]
-    aggs = [F.max_by(F.struct(*rest), ordering).alias("__latest")]
-    aggs += [F.max_by(F.col(c), F.when(F.col(c).isNotNull(), ordering)).alias(c) for c in last_known_cols]
-    out = df.groupBy(*keys).agg(*aggs)
-    return out.select(*keys, *[F.col(f"__latest.{c}").alias(c) for c in rest], *last_known_cols)

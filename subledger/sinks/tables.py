@@ -89,7 +89,7 @@ def touched_rows(upstream: DataFrame, changes: DataFrame, day_col: str = "snapsh
     pruned to their folders at run time.
     """
     day = F.to_date(changed_day or day_col)
-    days = changes.select(day.alias(day_col)).where(F.col(day_col) >= F.lit(earliest)).distinct()
+    days = changes.select(day.alias(day_col)).where(F.col(day_col) >= F.lit(earliest.isoformat()).cast("date")).distinct()
     return upstream.join(bounded_broadcast(days, DAY_BOUND), day_col, "left_semi")
 
 

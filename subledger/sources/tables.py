@@ -49,8 +49,3 @@ def load(spark: SparkSession, root: str, name: str, schema: StructType | str | N
     if schema is not None:
         reader = reader.schema(schema)
     return reader.parquet(table_path(root, name))
-
-
-def load_catalog(spark: SparkSession, name: str) -> DataFrame:
-    """Scan a table registered in the session catalog (metastore or temp view)."""
-    return spark.table(name)

@@ -7,7 +7,8 @@ import random
 from pyspark.sql import functions as F
 
 from subledger.functions import fiscal
-from subledger.functions.classify import legacy_type, payer_type, resolve_interval, status_bucket
+from subledger.plans.subscribers import subscriber_compat
+from subledger.functions.classify import payer_type, resolve_interval, status_bucket
 from subledger.functions.money import round_div
 from subledger.functions.projection import ewma_cents, projected_cents
 from subledger.functions.text import imputed_price, normalise_email, payout_label
@@ -129,8 +130,10 @@ def test_payer_and_interval_classifiers(spark):
     rows = [(True, "monthly", None, None, "monthly gift"), (True, "annual", None, None, "yearly gift"),
             (False, "annual", "lifetime", None, "royalist"), (None, "monthly", None, True, "comp"),
             (None, None, None, None, "subscriber")]
-    df = spark.createDataFrame(rows, "g boolean, bi string, si string, c boolean, want string")
-    assert all(r.t == r.want for r in df.select(legacy_type("g", "bi", "si", "c").alias("t"), "want").collect())
+    df = spark.createDataFrame(rows, "is_gift boolean, billing_interval string, subscription_interval string, is_comp boolean, want string")
+    rest = "snapshot_date email start_date first_paid_date cancel_date expiration_date imputed_price_usd".split()
+    daily = df.withColumns({c: F.lit(None) for c in rest}).withColumn("email", F.col("want"))
+    assert all(r.type == r.email for r in subscriber_compat(daily).collect())
 
 
 def test_floats_are_not_used_for_money_sums(spark):

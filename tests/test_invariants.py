@@ -5,9 +5,9 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from subledger.operators.quality import check_model
+from subledger.operators.quality import ModelChecks, check_model
 from subledger.plans.catalog import Models, Sources
-from subledger.plans.checks import data_checks
+from subledger.plans.build import data_checks
 
 ROOT = "/root/testdata/sf0.001"
 
@@ -59,9 +59,9 @@ def test_month_accrual_matches_charge_accrual(models):
     assert j.where(~F.col("a").eqNullSafe(F.col("b"))).count() == 0
 
 
-def test_declared_checks(models):
+def test_declared_checks(spark, models, scratch):
     """62 checks; the bindings plant payloads without a post, which only the payload's own columns may report."""
-    rows = data_checks(models, dt.date(2024, 1, 31), dt.date(2001, 6, 10)).collect()
+    rows = data_checks(spark, Sources.from_driver_tables(spark, ROOT), scratch, dt.date(2024, 1, 31), dt.date(2001, 6, 10)).collect()
     kinds = {k: sum(r.check == k for r in rows) for k in ("not_null", "unique", "accepted_values", "equal", "freshness")}
     assert kinds == {"not_null": 47, "unique": 6, "accepted_values": 3, "equal": 1, "freshness": 5}
     empty = models.src.post_overview.where(F.expr("get_json_object(data, '$.posts[0]') IS NULL")).count()
@@ -72,11 +72,11 @@ def test_declared_checks(models):
 
 def test_check_model_counts(spark):
     df = spark.createDataFrame([(1, "a", None), (1, "b", 5), (None, "c", 7), (None, None, 7)], "k int, v string, w int")
-    got = {(r.check, r.column): r.failures
-           for r in check_model(df, "t", ["k", "v", "w"], "k", {"v": ["a", "b"]}, [("k", "w")]).collect()}
+    checks, day = ModelChecks("t", ("k", "v", "w"), "k", {"v": ("a", "b")}, (("k", "w"),)), dt.date(2024, 1, 1)
+    got = {(r.check, r.column): r.failures for r in check_model(df, checks, day).collect()}
     assert got == {("not_null", "k"): 2, ("not_null", "v"): 1, ("not_null", "w"): 1, ("unique", "k"): 1,
                    ("accepted_values", "v"): 1, ("equal", "k=w"): 4}
-    none = check_model(df.where("false"), "t", ["k"], "k", freshness=("v", dt.date(2024, 1, 1), 10)).collect()
+    none = check_model(df.where("false"), ModelChecks("t", ("k",), "k", freshness=("v", 10)), day).collect()
     assert [(r.check, r.failures, r.status) for r in none] == [
         ("not_null", 0, "pass"), ("unique", 0, "pass"), ("freshness", None, "warn")]
 

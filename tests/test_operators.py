@@ -1,18 +1,16 @@
 """DataFrame operators on hand-made rows."""
 
 import datetime as dt
-import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from subledger.operators.contract import ContractError, enforce_contract
-from subledger.operators.dedup import last_known, latest_per_key, latest_with_last_known
+from subledger.operators.dedup import latest_per_key
 from subledger.operators.joins import left_join_agg, left_join_on
 from subledger.operators.pivot import pivot_measures, pivot_sum
 from subledger.operators import quality as q
 from subledger.operators.spread import spread_revenue
-from subledger.operators.windows import lags
 
 
 def test_latest_per_key_with_tiebreak(spark):
@@ -28,21 +26,6 @@ def test_latest_per_key_plans_group_limit_before_shuffle(spark):
     assert "WindowGroupLimit" in plan
 
 
-def test_latest_with_last_known_equals_window_formulation(spark):
-    rng = random.Random(3)
-    rows = []
-    for post in range(30):
-        for day in range(rng.randint(1, 8)):
-            rows.append((post, day, rng.choice([None, rng.randint(0, 9)]), rng.choice([None, rng.randint(0, 9)]),
-                         f"t{post}-{day}"))
-    df = spark.createDataFrame(rows, "post int, snap int, a int, b int, title string")
-    fast = latest_with_last_known(df, ["post"], ["snap"], ["a", "b"])
-    slow = latest_per_key(last_known(df, ["post"], ["snap"], ["a", "b"]), ["post"], ["snap"])
-    key = lambda r: r.post
-    assert sorted(map(tuple, fast.select("post", "snap", "a", "b", "title").collect()), key=str) == \
-        sorted(map(tuple, slow.select("post", "snap", "a", "b", "title").collect()), key=str)
-
-
 def test_left_join_agg_keeps_grain(spark):
     charges = spark.createDataFrame([(1,), (2,), (3,)], "charge_id int")
     refunds = spark.createDataFrame([(1, 5), (1, 7), (2, None)], "charge_id int, amt int")
@@ -84,19 +67,11 @@ def test_spread_revenue(spark):
     assert abs(sum(v for _, v in by[2]) - 5999) <= 6
 
 
-def test_lags(spark):
-    df = spark.createDataFrame([("m", i, i * 10) for i in range(1, 6)], "g string, rn int, rev int")
-    out = lags(df, "rev", 2, ["g"], ["rn"], prefix="l").orderBy("rn").collect()
-    assert [(r.l1, r.l2) for r in out] == [(None, None), (10, None), (20, 10), (30, 20), (40, 30)]
-
-
 def test_quality_checks(spark):
     df = spark.createDataFrame([(1, "a", dt.date(2024, 1, 1)), (1, None, dt.date(2024, 1, 5)),
                                 (None, "b", None), (2, "z", dt.date(2024, 1, 3))], "id int, v string, d date")
-    rep = q.report([q.check_not_null(df, "t", ["id", "v"]), q.check_unique(df, "t", "id"),
-                    q.check_accepted_values(df, "t", "v", ["a", "b"]), q.check_equal(df, "t", "id", "id"),
-                    q.check_freshness(df, "t", "d", dt.date(2024, 1, 20), 10)])
-    got = {(r.check, r.column): (r.failures, r.status) for r in rep.collect()}
+    checks = q.ModelChecks("t", ("id", "v"), "id", {"v": ("a", "b")}, (("id", "id"),), ("d", 10))
+    got = {(r.check, r.column): (r.failures, r.status) for r in q.check_model(df, checks, dt.date(2024, 1, 20)).collect()}
     assert got[("not_null", "id")] == (1, "fail") and got[("not_null", "v")] == (1, "fail")
     assert got[("unique", "id")] == (1, "fail")
     assert got[("accepted_values", "v")] == (1, "fail")

@@ -9,9 +9,9 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from subledger.sinks.history import (VALID_FROM, VALID_TO, history_from_snapshots, initial_history,
-                                     read_current, scd2_check, write_versioned)
-from subledger.sinks.tables import partition_dirs, refresh_partitions
+from subledger.sinks.history import VALID_FROM, VALID_TO, BucketedHistory, history_from_snapshots, initial_history, scd2_check
+from subledger.sinks.tables import partition_dirs, read_table, refresh_partitions
+from subledger.sinks.versions import read_current, write_versioned
 from subledger.streaming.incremental import start_refresh_stream
 
 
@@ -94,21 +94,27 @@ def test_streaming_refresh_replaces_touched_days(spark, scratch):
 
 def test_build_all_twice(spark, scratch):
     """A full run writes every model; a second run is idempotent for the history."""
-    from subledger.plans.build import build_all
+    from subledger.plans.build import HISTORY_KEY, HISTORY_STAMP, HISTORY_WATCHED, build_all
     from subledger.plans.catalog import Models, Sources
-    from subledger.sinks.history import current_version, read_current
+    from subledger.sinks.tables import read_view
     root = "/root/testdata/sf0.001"
     as_of = dt.date(2024, 1, 31)
     out = build_all(spark, Sources.from_driver_tables(spark, root), scratch, as_of)
     lazy = Models(Sources.from_driver_tables(spark, root))
     for name in ("stg_charges", "int_charges", "int_post_overview"):
-        assert spark.read.parquet(out[name]).count() == getattr(lazy, name).count()
+        assert read_table(spark, out[name]).count() == getattr(lazy, name).count()
+    assert read_table(spark, out["data_checks"]).count() == 62
     assert spark.read.parquet(out["subscriber_daily"]).count() == lazy.int_subscriber_daily.count()
-    assert spark.table("subscriber_compat").count() == lazy.int_subscriber_daily.count()
-    h1 = read_current(spark, os.path.join(scratch, "snapshots", "subscriber_history")).count()
+    assert read_view(spark.newSession(), scratch, "subscriber_compat").count() == lazy.int_subscriber_daily.count()
+
+    def history():
+        return BucketedHistory(spark, out["subscriber_history"], HISTORY_KEY, HISTORY_WATCHED, HISTORY_STAMP)
+    before = history().read(lazy.int_subscribers).count()
+    days = partition_dirs(out["subscriber_daily"])
     build_all(spark, Sources.from_driver_tables(spark, root), scratch, as_of)
-    base = os.path.join(scratch, "snapshots", "subscriber_history")
-    assert current_version(spark, base) == 2 and read_current(spark, base).count() == h1
+    assert history().run == 1 and history().read(lazy.int_subscribers).count() == before
+    assert partition_dirs(out["subscriber_daily"]) == days
+    assert spark.read.parquet(out["subscriber_daily"]).count() == lazy.int_subscriber_daily.count()
 
 
 def test_failed_rebuild_keeps_the_old_table(spark, scratch):
@@ -120,9 +126,9 @@ def test_failed_rebuild_keeps_the_old_table(spark, scratch):
     write_full(days, path, "day")
     with pytest.raises(Exception):
         write_full(days.withColumn("id", F.raise_error(F.lit("broken")).cast("long")), path, "day")
-    assert spark.read.parquet(path).count() == 2
+    assert read_table(spark, path).count() == 2
     write_full(days.where("id = 2"), path, "day")      # a rebuild keeps no old day
-    assert [r.id for r in spark.read.parquet(path).collect()] == [2]
+    assert [r.id for r in read_table(spark, path).collect()] == [2]
 
 
 def test_merge_keeps_versions_with_a_null_key(spark):
@@ -135,7 +141,7 @@ def test_merge_keeps_versions_with_a_null_key(spark):
 
 
 def test_unfinished_version_is_not_read(spark, scratch):
-    from subledger.sinks.history import complete_versions, read_current, write_versioned
+    from subledger.sinks.versions import complete_versions
     rows = spark.createDataFrame([(1,)], "id long")
     assert complete_versions(spark, scratch) == []
     write_versioned(rows, scratch, 1)
