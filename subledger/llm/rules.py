@@ -1,8 +1,8 @@
 """Quality rules as a bitmask ledger [native: DataFrame functions only].
 
-``rule_ledger`` evaluates every rule exactly once per document and stores the measurements and one bit
-per failed rule.  A *policy* is a named, versioned set of rules: ``apply_policy`` needs only the stored
-bits, so a changed policy or an ablation never reads the texts again.
+``rule_ledger`` evaluates every rule exactly once per document, later ones included, and gives the measurements and one bit
+per failed rule; ``stored_ledger`` keeps them as a table.  A *policy* is a named, versioned set of rules: ``apply_policy`` and
+``ablations`` need only the stored bits, so a changed policy never reads the texts again.
 
 Defined results: a null or empty text has no words, measures 0 everywhere and fails ``short_text``; a null
 doc_id stays a row of its own; repeated rows are judged one by one; an empty table gives an empty ledger.
@@ -16,7 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from subledger.llm.common import SPACE_CLASS, id_and_text
+from subledger.llm.common import SPACE_CLASS, id_and_text, stored
 
 WINDOW_WORDS = 8
 RUN_WORDS = 1000
@@ -36,31 +36,29 @@ RULES: dict[str, tuple[str, str]] = {
                  "n_latin >= 50 AND 100 * n_capitals > 60 * n_latin"),
     "stutter": ("over 30 % of the words equal the word before", "100 * n_stutter > 30 * n_words"),
 }
-BIT = {name: 1 << i for i, name in enumerate(RULES)}
-#: Rules that came after the contract of ``quality_digest``, whose bits stay as they are.  The share of distinct words falls with
+#: Rules that came later; bits of earlier ones stay as they are.  The share of distinct words falls with
 #: the length of any prose, so that it is taken per run of ``RUN_WORDS`` words, over all runs of the text.
 LATER_RULES: dict[str, tuple[str, str]] = {
     "run_on_stretches": ("under 20 % of the words are distinct in their run of 1000 words, in a text of 50 words or more",
                          "n_words >= 50 AND 100 * n_run_distinct_words < 20 * n_words"),
 }
 EVERY_RULE = {**RULES, **LATER_RULES}
-EVERY_BIT = {name: 1 << i for i, name in enumerate(EVERY_RULE)}
+BIT = {name: 1 << i for i, name in enumerate(EVERY_RULE)}
 BASE = ("short_text", "repeated_words")
 
-#: Policies by version.  ``base`` is fixed by contract, ``production/1`` is what ``quality_digest`` reports, and ``production/2``
-#: what the pipeline applies.
+#: Policies by version.  ``base`` is fixed by contract; ``production/2`` is what ``quality_digest`` reports and the pipeline applies;
+#: ``production/1`` rejects long texts by length alone (``run_on_words``) and is kept for comparison.
 POLICIES: dict[str, tuple[str, ...]] = {
     "base/1": BASE,
     "production/1": tuple(RULES),
     "production/2": tuple("run_on_stretches" if r == "run_on_words" else r for r in RULES),
     "lenient/1": BASE + ("symbols", "duplicate_lines"),
 }
-PRODUCTION = "production/1"
-PIPELINE = "production/2"
+PRODUCTION = "production/2"
 
 
 def policy_mask(policy: str) -> int:
-    return reduce(lambda m, r: m | EVERY_BIT[r], POLICIES[policy], 0)
+    return reduce(lambda m, r: m | BIT[r], POLICIES[policy], 0)
 
 
 def _words(text: Column) -> Column:
@@ -84,8 +82,8 @@ def _run_distinct() -> Column:
         F.aggregate(each, F.lit(0).cast("long"), lambda a, x: a + x))
 
 
-def _measure(base: DataFrame, carried: tuple[str, ...], later: bool = False) -> DataFrame:
-    """The ``carried`` columns and the measurements of ``text``, with those of the later rules if asked for.
+def _measure(base: DataFrame, carried: tuple[str, ...]) -> DataFrame:
+    """The ``carried`` columns and the measurements of ``text``.
 
     The repeated-window measure works on arrays inside the row: no shuffle, whatever the size of the corpus.
     """
@@ -129,27 +127,32 @@ def _measure(base: DataFrame, carried: tuple[str, ...], later: bool = False) ->
             "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines",
             F.coalesce(covered, F.lit(0)).cast("long").alias("n_repeat_words"),
             "n_distinct_words", "n_capitals", "n_latin", "n_stutter",
-            *([_run_distinct().alias("n_run_distinct_words")] if later else [])).alias("m"))
+            _run_distinct().alias("n_run_distinct_words")).alias("m"))
     # a generator of one row: a later filter on a measure stays above it, instead of being pushed down with the whole
     # expression copied into every place that uses it
     return measures.select(*carried, F.inline(F.array("m")))
 
 
-def _with_bits(measured: DataFrame, rules: dict[str, tuple[str, str]] = RULES) -> DataFrame:
+def _with_bits(measured: DataFrame) -> DataFrame:
     bits = reduce(lambda a, b: a.bitwiseOR(b), (
-        F.when(F.expr(sql), F.lit(EVERY_BIT[name])).otherwise(F.lit(0)).cast("long") for name, (_, sql) in rules.items()))
+        F.when(F.expr(sql), F.lit(BIT[name])).otherwise(F.lit(0)).cast("long") for name, (_, sql) in EVERY_RULE.items()))
     return measured.withColumn("failed_bits", bits)
 
 
 def rule_ledger(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Measurements plus ``failed_bits``: bit i is set when rule i of :data:`RULES` fails."""
+    """Measurements plus ``failed_bits``: bit i is set when rule i of :data:`EVERY_RULE` fails."""
     return _with_bits(measure(docs, id_col, text_col))
 
 
-def filter_documents(docs: DataFrame, policy: str = PIPELINE, text_col: str = "text") -> DataFrame:
+def stored_ledger(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The ledger as a table of the shared folder: texts are read once, policies and ablations read the bits."""
+    return stored(docs.sparkSession, rule_ledger(docs, id_col, text_col), "rule-ledger")
+
+
+def filter_documents(docs: DataFrame, policy: str = PRODUCTION, text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns, that pass a policy; the row travels beside its measurements, so nothing is joined."""
     base = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), F.coalesce(docs[text_col], F.lit("")).alias("text"))
-    judged = apply_policy(_with_bits(_measure(base, ("row",), later=True), EVERY_RULE), policy)
+    judged = apply_policy(_with_bits(_measure(base, ("row",))), policy)
     return judged.where("kept").select("row.*")
 
 
@@ -178,8 +181,8 @@ def ablations(ledger: DataFrame, policy: str = PRODUCTION) -> DataFrame:
         .withColumn("policy", F.lit(policy)))
 
 
-def quality_digest(docs: DataFrame) -> DataFrame:
-    """The contract columns of the query."""
-    return apply_policy(rule_ledger(docs)).select(
+def quality_digest(docs: DataFrame, policy: str = PRODUCTION) -> DataFrame:
+    """The contract columns of the query, from the stored ledger."""
+    return apply_policy(stored_ledger(docs), policy).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", "kept", "failed_bits", "policy")

@@ -1,13 +1,13 @@
 """DuckDB SQL for the queries that SQL can express."""
 
-from subledger.llm.rules import BASE, BIT, POLICIES, PRODUCTION, RULES
+from subledger.llm.rules import BASE, BIT, EVERY_RULE, POLICIES, PRODUCTION, RUN_WORDS
 
 _FAILED = " + ".join(f"(CASE WHEN {condition} THEN {BIT[name]} ELSE 0 END)"
-                     for name, (_, condition) in RULES.items())
+                     for name, (_, condition) in EVERY_RULE.items())
 
 
 def _any(rules) -> str:
-    return " OR ".join(f"({RULES[r][1]})" for r in rules)
+    return " OR ".join(f"({EVERY_RULE[r][1]})" for r in rules)
 
 
 _RULES = rf"""
@@ -32,7 +32,9 @@ measured AS (
          CAST(coalesce(covered.n, 0) AS BIGINT) AS n_repeat_words, len(list_distinct(w)) AS n_distinct_words,
          length(regexp_replace(t, '[^A-Z]', '', 'g')) AS n_capitals,
          length(regexp_replace(t, '[^A-Za-z]', '', 'g')) AS n_latin,
-         len(list_filter(range(2, len(w) + 1), lambda j: w[j] = w[j - 1])) AS n_stutter
+         len(list_filter(range(2, len(w) + 1), lambda j: w[j] = w[j - 1])) AS n_stutter,
+         coalesce(list_sum(list_transform(range(0, len(w), {RUN_WORDS}),
+                                          lambda k: len(list_distinct(w[k + 1:k + {RUN_WORDS}])))), 0) AS n_run_distinct_words
   FROM texts LEFT JOIN covered USING (row_no))
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        ({_any(BASE)}) AS base_failed, NOT ({_any(dict.fromkeys(BASE + POLICIES[PRODUCTION]))}) AS kept,

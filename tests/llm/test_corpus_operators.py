@@ -162,16 +162,25 @@ def test_quality_rules(spark, docs, rows, none):
         sorted((i, *plain_measures(t)) for i, t in rows)
     for r in got:
         assert r.base_failed == (r.n_words < 20 or 100 * r.n_repeat_words > 30 * r.n_words)
-        assert r.kept == (r.failed_bits == 0) and not (r.kept and r.base_failed)
+        assert r.kept == (r.failed_bits & (rules.policy_mask(rules.PRODUCTION)) == 0) and not (r.kept and r.base_failed)
     kept = rules.filter_documents(docs)
     assert kept.columns == docs.columns and kept.count() == sum(r.kept for r in got)
-    ledger = spark.createDataFrame([(r.doc_id, r.failed_bits) for r in got], "doc_id long, failed_bits long").cache()
-    table_ = {r.rule: r for r in rules.ablations(ledger).collect()}
-    for name, bit in rules.BIT.items():
-        assert table_[name].n_failed == sum(bool(r.failed_bits & bit) for r in got)
-        assert table_[name].n_failed_alone == sum(r.failed_bits == bit for r in got)
+    ledger = rules.stored_ledger(docs)
+    for policy in rules.POLICIES:      # policies and ablations over one stored ledger, later rules included
+        mask = rules.policy_mask(policy) | rules.policy_mask("base/1")
+        verdicts = rules.apply_policy(ledger, policy).collect()
+        assert all(r.kept == (not r.failed_bits & mask) and r.policy == policy for r in verdicts)
+        assert sorted(map(str, rules.filter_documents(docs, policy).select("doc_id").collect())) == \
+            sorted(str(r) for r in rules.apply_policy(ledger, policy).where("kept").select("doc_id").collect())
+        table_ = {r.rule: r for r in rules.ablations(ledger, policy).collect()}
+        own = rules.policy_mask(policy)
+        for name in rules.POLICIES[policy]:
+            bit = rules.BIT[name]
+            assert table_[name].n_failed == sum(bool(r.failed_bits & bit) for r in verdicts)
+            assert table_[name].n_failed_alone == sum(r.failed_bits & own == bit for r in verdicts)
+            assert table_[name].n_kept == sum(not r.failed_bits & own for r in verdicts)
     assert rules.quality_digest(none).count() == 0
-    plan = rules.quality_digest(docs)._jdf.queryExecution().executedPlan().toString()
+    plan = rules.rule_ledger(docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Exchange" not in plan.replace("Exchange RoundRobin", "")
 
 
@@ -183,7 +192,10 @@ def test_long_clean_texts_are_kept(spark):
     short = " ".join(f"word{rng.randrange(100)}" for _ in range(900))
     made = spark.createDataFrame([(1, clean), (2, junk), (3, short)], "doc_id long, text string")
     assert [r.doc_id for r in rules.filter_documents(made).select("doc_id").collect()] == [1]
-    assert {r.doc_id: r.failed_bits for r in rules.quality_digest(made).collect()} == dict.fromkeys((1, 2, 3), rules.BIT["run_on_words"])
+    got = {r.doc_id: r for r in rules.quality_digest(made).collect()}
+    assert {i for i, r in got.items() if r.kept} == {1}
+    assert {i for i, r in got.items() if r.failed_bits & rules.BIT["run_on_stretches"]} == {2, 3}
+    assert all(r.failed_bits & rules.BIT["run_on_words"] for r in got.values())
 
 
 def test_quality_classifier(spark):
@@ -281,12 +293,21 @@ def test_katz(spark, rows, none, monkeypatch):
 
 
 def plain_leaks(rows, items):
+    """Every part in some window of at most ``REACH`` times its words."""
+    def holds(words, part):
+        wanted, n = decontam.shingles(part), min(decontam.SHINGLE, len(part))
+        seen = list(zip(*(words[k:] for k in range(n))))
+        if len(wanted & set(seen)) < decontam.SIMILARITY * len(wanted) - 1e-9:
+            return False
+        width = max(len(part), math.ceil(decontam.REACH * len(part))) - n + 1
+        return any(len(wanted & set(seen[i:i + width])) >= decontam.SIMILARITY * len(wanted) - 1e-9 for i in range(max(1, len(seen))))
+
     out = set()
     for i, t in rows:
-        held = decontam.shingles_within(decontam.words_of(t or ""))
+        words = decontam.words_of(t or "")
         for item, text in items:
-            q, a = (decontam.shingles(p) for p in decontam.split_item(text or ""))
-            if q | a and all(decontam.overlap(p, held) >= decontam.SIMILARITY for p in (q, a) if p):
+            parts = [p for p in decontam.split_item(text or "") if p]
+            if parts and all(holds(words, p) for p in parts):
                 out.add((i, item))
     return out
 
@@ -296,11 +317,22 @@ def test_decontamination(spark, docs, rows, none):
     items += [(900, None), (901, ""), (902, "Question: which stone turns wine into sweet vinegar overnight? Answer: the blue one"), (903, "don't 12345")]
     extra = [(10**7 + 80, "so which stone turns wine into sweet vinegar overnight? it is the blue one of course"),
              (10**7 + 81, "so which stone turns wine into sweet vinegar overnight? nobody knows"), (10**7 + 82, ("pad " * 400) + items[0][1])]
+    # few distinct words; question and answer far apart; an answer alone; shingles spread beyond the reach
+    bits = " ".join(random.Random(2).choices("01", k=40))
+    items += [(904, bits), (905, "Question: how many moons has the ninth blue planet of that sun Answer: it has seventeen small moons"),
+              (906, "Question: Answer: no question stands before this lone answer"), (907, "0 0 0 0 0 0 0 0 0 0 0 0 0 0 0 0")]
+    far = "how many moons has the ninth blue planet of that sun " + "filler words here " * 90 + "it has seventeen small moons"
+    question = "how many moons has the ninth blue planet of that sun".split()
+    spread = " ".join(" ".join(question[i:i + 5]) + " gap" * 40 for i in range(7)) + " it has seventeen small moons"
+    extra += [(10**7 + 83, "so " + bits + " end"), (10**7 + 84, far), (10**7 + 85, "it has seventeen small moons"), (10**7 + 86, spread),
+              (10**7 + 87, "no question stands before this lone answer"), (10**7 + 88, "x 0 0 0 0 0 0 y"), (10**7 + 89, bits[:30])]
     frame = spark.createDataFrame([(i, t, "x", "y", 1) for i, t in rows + extra], SCHEMA).repartition(3)
     tests = spark.createDataFrame(items, "item_id long, text string")
     want = plain_leaks(rows + extra, items)
     got = decontam.leaks(spark, frame, tests).collect()
     assert {(r.doc_id, r.item_id) for r in got} == want and (10**7 + 80, 902) in want and (10**7 + 81, 902) not in want
+    assert {(10**7 + 83, 904), (10**7 + 84, 905), (10**7 + 87, 906), (10**7 + 88, 907)} <= want
+    assert not {(10**7 + 85, 905), (10**7 + 86, 905), (10**7 + 89, 904)} & want
     clean = decontam.decontaminate(spark, frame, tests)
     assert clean.columns == frame.columns
     assert sorted(r.doc_id for r in clean.collect()) == sorted(i for i, _ in rows + extra if i not in {d for d, _ in want})
@@ -310,7 +342,9 @@ def test_decontamination(spark, docs, rows, none):
 def test_shards_find_the_same(spark, docs):
     items = table(spark, SF, "benchmark")
     whole = {(r.doc_id, r.item_id) for r in decontam.leaks(spark, docs, items).collect()}
-    shards = decontam.build_shards(spark, items, shard_words=200)
-    texts = {r.doc_id: r.text or "" for r in docs.collect()}
-    got = {(d, s.value.ids[i]) for s in shards for d, t in texts.items() for i in s.value.search([t])[0]}
-    assert len(shards) > 1 and got == whole
+    shards = [index.value for index, _ in decontam.each_shard(spark, items, shard_words=200)]
+    assert len(shards) > 1
+    got = {(r.doc_id, r.item_id) for r in decontam.leaks(spark, docs, items, shard_words=200).collect()}
+    assert got == whole
+    left = {r.doc_id for r in decontam.decontaminate(spark, docs, items, shard_words=200).collect()}
+    assert left == {r.doc_id for r in docs.collect()} - {d for d, _ in whole}
