@@ -291,13 +291,15 @@ def stored_shards(spark: SparkSession, items: DataFrame, item_id: str = "item_id
 
 
 def each_shard(spark: SparkSession, items: DataFrame, shard_words: int = SHARD_WORDS):
-    """The broadcast index of one shard after the other; the one before is dropped when the next is asked for."""
+    """(broadcast index, whether it is the last) of one shard after the other; the one before is dropped when the next is asked for.
+    What reads an index must be stored by then, but for the last one's."""
     indexes, shards = stored_shards(spark, items, shard_words=shard_words)
-    for shard in range(shards):
+    held = sorted(r["shard"] for r in indexes.select("shard").collect()) if shards else []
+    for shard in held:
         row = indexes.where(F.col("shard") == shard).select("index").first()
-        if row is not None:
-            index = spark.sparkContext.broadcast(pickle.loads(row["index"]))
-            yield index
+        index, last = spark.sparkContext.broadcast(pickle.loads(row["index"])), shard == held[-1]
+        yield index, last
+        if not last:
             index.destroy()
 
 
@@ -306,10 +308,10 @@ LEAK = ("doc_id long, item_id long, score double, question_overlap double, answe
 
 def leaks(spark: SparkSession, docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           shard_words: int = SHARD_WORDS) -> DataFrame:
-    """One row per document and test item that it leaks, with the question's best window; stored."""
+    """One row per document and test item that it leaks, with the question's best window."""
     texts = id_and_text(docs, id_col, text_col)
     found = None
-    for index in each_shard(spark, items, shard_words):
+    for index, last in each_shard(spark, items, shard_words):
         def run(batches, index=index):
             for batch in batches:
                 rows = []
@@ -322,7 +324,8 @@ def leaks(spark: SparkSession, docs: DataFrame, items: DataFrame, id_col: str =
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.int64()))],
                         ["doc_id", "item_id", "score", "question_overlap", "answer_overlap", "passage_start"])
-        part = stored(spark, texts.mapInArrow(run, LEAK), "leaks")
+        part = texts.mapInArrow(run, LEAK)
+        part = part if last else stored(spark, part, "leaks")
         found = part if found is None else found.unionByName(part)
     return found if found is not None else spark.createDataFrame([], LEAK)
 
@@ -344,11 +347,12 @@ def decontaminate(spark: SparkSession, docs: DataFrame, items: DataFrame, text_c
     """``docs`` without the rows that leak a test item; all columns kept, no shuffle.  What a shard leaves is stored for the next."""
     place = [c.lower() for c in docs.columns].index(text_col.lower())
     out, schema = docs, docs.schema
-    for index in each_shard(spark, items, shard_words):
+    for index, last in each_shard(spark, items, shard_words):
         def run(batches, index=index):
             for batch in batches:
                 texts = [(t or b"").decode("utf-8", "replace") for t in batch.column(place).cast(pa.binary()).to_pylist()]
                 clean = [not hits for a, b in pieces(texts) for hits in index.value.search(texts[a:b])]
                 yield batch.filter(pa.array(clean, pa.bool_()))
-        out = stored(spark, out.mapInArrow(run, schema), "decontaminated")
+        out = out.mapInArrow(run, schema)
+        out = out if last else stored(spark, out, "decontaminated")
     return out
