@@ -34,6 +34,7 @@ RADIUS = 3
 SEED = 42
 CHUNK = 2048       # nodes of one key compared in one unit of work, at most twice so many
 PLANE_BLOCK = 2048  # nodes in one bit-sliced block
+MAX_ROUNDS = 64    # rounds grow with the logarithm of the longest path of links
 _U64 = (1 << 64) - 1
 
 
@@ -232,7 +233,7 @@ def components(spark: SparkSession, links: DataFrame, name: str = "star") -> Dat
     edges = stored(spark, links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
                    .where("u > v").distinct(), f"{name}0")
     state = None
-    for i in range(1, 64):
+    for i in range(1, MAX_ROUNDS + 1):
         both = edges.union(edges.select("v", "u"))
         # stored, so that the join below has exchanges of its own, which a hub's rows can be split in
         low = stored(spark, both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")),
@@ -248,36 +249,52 @@ def components(spark: SparkSession, links: DataFrame, name: str = "star") -> Dat
         if now == state:
             break
         state = now
+    else:
+        raise RuntimeError(f"the components have not settled within {MAX_ROUNDS} rounds")
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
 
 
+def grouped(spark: SparkSession, prints: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """``fp, component, component_id`` of every fingerprint of rows with an id: the smallest fingerprint and the smallest doc_id
+    reachable.  Nodes are fingerprints, so rows that repeat an id with unlike texts join nothing."""
+    nodes = stored(spark, prints.where("doc_id IS NOT NULL").groupBy("fp").agg(F.min("doc_id").alias("first"))
+                   .withColumn("node", F.col("fp")), "nodes")
+    parts = components(spark, linked(candidate_units(nodes, radius), radius))
+    named = nodes.join(parts, "node", "left")
+    smallest = named.where("component IS NOT NULL").groupBy("component").agg(F.min("first").alias("smallest"))
+    release(spark)
+    return named.join(smallest, "component", "left").select(
+        "fp", F.coalesce("component", "node").alias("component"), F.coalesce("smallest", "first").alias("component_id"))
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, fingerprint, component_id`` per row of ``docs``."""
     prints = stored(spark, fingerprints(id_and_text(docs, id_col, text_col), shingle), "fingerprints")
-    nodes = stored(spark, prints.where("doc_id IS NOT NULL").groupBy("fp").agg(F.min("doc_id").alias("node")), "nodes")
-    parts = components(spark, linked(candidate_units(nodes, radius), radius))
-    named = nodes.join(parts, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
-    release(spark)
-    return prints.join(named, "fp", "left").select(
+    return prints.join(grouped(spark, prints, radius), "fp", "left").select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
         F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
 
 
 def keep_one(spark: SparkSession, docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE, id_col: str = "doc_id",
              text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, all columns, that stand for their component: those with its smallest id.  Rows that repeat such an id
-    are decided by least fingerprint, then one of equal rows; rows with a null id are kept."""
-    found = near_duplicates(spark, docs, radius, shingle, id_col, text_col)
-    kept = stored(spark, found.where("doc_id = component_id").select(F.col("doc_id").alias("__kept")).distinct(), "kept")
+    """The rows of ``docs``, all columns, that stand for their component: the one with its smallest id.  Of rows that repeat that id in
+    one component one is kept; rows of one id in several components stand for each; rows with a null id are kept."""
+    prints = stored(spark, fingerprints(id_and_text(docs, id_col, text_col), shingle), "fingerprints")
+    found = prints.where("doc_id IS NOT NULL").join(grouped(spark, prints, radius), "fp")
+    first = stored(spark, found.where("doc_id = component_id").select(F.col("doc_id").alias("__kept"), "fp", "component").distinct(), "kept")
     names = docs.columns
     key = docs[id_col].cast("long")
-    rows = docs.select(F.struct(*(docs[c] for c in names)).alias("row"), key.alias("__key"))
+    rows = docs.select(F.struct(*(docs[c] for c in names)).alias("row"), F.coalesce(docs[text_col], F.lit("")).alias("text"),
+                       key.alias("__key"))
     # the kept ids grow with the input: one plan at every size, never a broadcast
-    mine = rows.join(kept.hint("merge"), F.col("__key") == F.col("__kept"), "left_semi")
-    repeated = rows.groupBy("__key").agg(F.count("*").alias("__n")).where("__n > 1 AND __key IS NOT NULL")
-    if repeated.take(1):   # one row of each repeated id
-        several = mine.join(repeated.select("__key"), "__key", "left_semi").groupBy("__key").agg(
-            F.min_by("row", F.xxhash64(F.to_json("row"))).alias("row")).select("row")
-        mine = mine.join(repeated.select("__key"), "__key", "left_anti").select("row").unionByName(several)
+    mine = rows.join(first.select("__kept").distinct().hint("merge"), F.col("__key") == F.col("__kept"), "left_semi")
+    repeated = rows.groupBy("__key").agg(F.count("*").alias("__n")).where("__n > 1 AND __key IS NOT NULL").select("__key")
+    if repeated.take(1):   # rows of one id: those of each component are told apart by their fingerprints
+        several = mine.join(repeated, "__key", "left_semi").withColumn("doc_id", F.xxhash64("__key", "text"))
+        again = fingerprints(several.select("doc_id", "text"), shingle).distinct().withColumnRenamed("fp", "__fp")
+        several = several.join(again, "doc_id").join(
+            first, (F.col("__key") == F.col("__kept")) & (F.col("__fp") == F.col("fp"))).groupBy("component").agg(
+            F.min_by("row", F.struct("__fp", F.xxhash64(F.to_json("row")))).alias("row")).select("row")
+        mine = mine.join(repeated, "__key", "left_anti").select("row").unionByName(several)
     return mine.select("row").unionByName(rows.where("__key IS NULL").select("row")).select("row.*")

@@ -124,6 +124,25 @@ def test_simhash(spark, docs, rows, none):
     assert simhash.near_duplicates(spark, none).count() == 0
 
 
+def test_simhash_repeated_ids(spark):
+    """Unlike texts that repeat an id are documents of their own; each component keeps one row."""
+    a, b, c = (" ".join(f"{w}{i}" for i in range(60)) for w in "abc")
+    made = [(1, a, 0), (1, b, 0), (2, b, 0), (3, a, 0), (4, c, 0), (4, c, 0), (4, c, 1), (None, a, 0), (5, b, 0)]
+    frame = spark.createDataFrame(made, "doc_id long, text string, extra int")
+    got = sorted((r.doc_id or 0, r.fingerprint, r.component_id) for r in simhash.near_duplicates(spark, frame).collect())
+    prints = {t: f"{plain_fingerprint(t):016x}" for t in (a, b, c)}
+    assert got == sorted((i or 0, prints[t], None if i is None else 4 if t == c else 1) for i, t, _ in made)
+    kept = sorted((r.doc_id or 0, r.text) for r in simhash.keep_one(spark, frame).collect())
+    assert kept == sorted([(1, a), (1, b), (4, c), (0, a)])
+
+
+def test_components_that_do_not_settle_are_an_error(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "MAX_ROUNDS", 1)
+    path = spark.createDataFrame([(i, i + 1) for i in range(20)], "u long, v long")
+    with pytest.raises(RuntimeError):
+        simhash.components(spark, path)
+
+
 @pytest.mark.parametrize("chunk", [40, 2048])
 def test_simhash_dense_cluster(spark, chunk):
     rng = random.Random(3)
