@@ -44,8 +44,8 @@ K1, B = 1.2, 0.75
 SHINGLE = 5
 SIMILARITY = 0.8
 REACH = 2.5
-BLOCK_ITEMS = 8
-SHARD_WORDS = 200_000
+BLOCK_ITEMS = 2      # small blocks have tight maxima; the matrix of maxima (terms x blocks) is what bounds a shard
+SHARD_WORDS = 40_000
 _WORD = re.compile(r"\w+")
 _PARTS = re.compile(r"(?is)^\s*(?:question|q)\s*:\s*(.*?)\s*\b(?:answer|a)\s*:\s*(.*)$")
 
