@@ -7,8 +7,10 @@
    is the share of a value's information that a term reveals: 1 if the term implies the value.  n(t) counts the documents with
    the term, n(e) those with the value, n(t, e) those with both.  ``PRIOR`` documents in which the term says nothing of the
    value are added, so that values and terms of a single text are measured too, and by how little is known of them.
-3. A term above ``DISCLOSURE`` for any value is masked wherever it stands, in every document: "removed" replaces it,
-   "generalised" keeps its first letter.
+   A rare term beside a value in one text proves nothing, however rare: the two must meet in two different texts at least, or
+   the term must be a part of the value itself (a name in an address).
+3. A term above ``DISCLOSURE`` for any value is masked wherever it stands, in every document: from ``REMOVAL`` on it is removed
+   ("term"), below it is generalised to its first letter ("general").
 
 A term is a run of letters and digits of any length; in scripts written without spaces, each two neighbouring characters.
 
@@ -38,8 +40,9 @@ from subledger.llm.common import BoundedCache, id_and_text, release, stored, tex
 KINDS = ("email", "ip", "card", "phone")
 PRIOR = 0.5            # documents of no evidence added to those with a term
 DISCLOSURE = 0.9
+REMOVAL = 0.95         # a term of this disclosure is removed; below it, its first letter stays
 COUNTER_ENTRIES = 200_000
-FILTER_BITS = 26       # the filter of revealing terms has 2^26 bits, however many they are
+FILTER_BITS = (20, 30)  # the filter of revealing terms has 16 bits a term, 2^20 at least and 2^30 (128 MB) at most
 CACHE_ENTRIES = 200_000
 MARKS = 50_000         # rows of a batch of marks
 
@@ -153,10 +156,10 @@ def places(text: str, terms, spans) -> list[tuple[str, int, int]]:
 
 
 FOUND = ("row long, doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, base string, "
-         "text_hash long, terms array<long>, protected array<long>")
+         "text_hash long, terms array<long>, protected array<long>, own array<long>")
 _FOUND = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), *((f"n_{k}", pa.int64()) for k in KINDS), ("base_sha256", pa.string()),
                     ("base", pa.string()), ("text_hash", pa.int64()),
-                    ("terms", pa.list_(pa.int64())), ("protected", pa.list_(pa.int64()))])
+                    ("terms", pa.list_(pa.int64())), ("protected", pa.list_(pa.int64())), ("own", pa.list_(pa.int64()))])
 
 
 def find(batches):
@@ -172,7 +175,8 @@ def find(batches):
                          "base_sha256": hashlib.sha256(base.encode()).hexdigest(), "base": base,
                          "text_hash": xxhash.xxh64_intdigest(raw) - (1 << 63),
                          "terms": sorted({_hash(t.lower()) for t in runs_of(text)}) if spans else [],
-                         "protected": sorted({_value(k, text[a:b]) for k, a, b in spans})})
+                         "protected": sorted({_value(k, text[a:b]) for k, a, b in spans}),
+                         "own": sorted({_hash(t.lower()) for _, a, b in spans for t in runs_of(text[a:b])})})
             n += 1
         yield pa.RecordBatch.from_pylist(rows, schema=_FOUND)
 
@@ -209,33 +213,41 @@ def disclosing_terms(found: DataFrame, texts: DataFrame, disclosure: float = DIS
     most = values.agg(F.max("most")).first()[0] or 0.0
     groups = held.join(values, "value").select("row", F.xxhash64("rows", "n_value").alias("group"), "n_value", "most").distinct()
     terms = texts.select("text").mapInArrow(term_documents, "term long, n long").groupBy("term").agg(F.sum("n").alias("n_term"))
-    rare = found.where(F.size("protected") > 0).select("row", F.explode("terms").alias("term")) \
+    rare = found.where(F.size("protected") > 0).select("row", "text_hash", "own", F.explode("terms").alias("term")) \
+        .withColumn("own", F.array_contains("own", F.col("term"))) \
         .join(terms.where(F.col("n_term") <= most), "term")
     pairs = rare.join(groups, "row").where(F.col("n_term") <= F.col("most")).groupBy("group", "term").agg(
-        F.count("*").alias("n_both"), F.first("n_term").alias("n_term"), F.first("n_value").alias("n_value"))
+        F.count("*").alias("n_both"), F.first("n_term").alias("n_term"), F.first("n_value").alias("n_value"),
+        F.max("own").alias("own"), F.min("text_hash").alias("least"), F.max("text_hash").alias("greatest")) \
+        .where(F.col("own") | (F.col("least") < F.col("greatest")))
     known = (F.col("n_both") + PRIOR * share) / (F.col("n_term") + PRIOR)
     measured = pairs.withColumn("disclosure", (F.log2(known) - F.log2(share)) / -F.log2(share))
     return measured.where(F.col("disclosure") >= disclosure).groupBy("term").agg(F.max("disclosure").alias("disclosure"))
 
 
-def term_filter(revealing: DataFrame) -> bytes:
-    """One bit per hash prefix of the terms: of a fixed size, and of no effect on the result, as the marks are joined to the terms."""
-    bit = F.shiftrightunsigned("term", 64 - FILTER_BITS)
+def filter_bits(terms: int) -> int:
+    """The filter has two to this power bits."""
+    return min(max(FILTER_BITS[0], (16 * terms).bit_length()), FILTER_BITS[1])
+
+
+def term_filter(revealing: DataFrame, bits: int) -> bytes:
+    """One bit per hash prefix of the terms: of a bounded size, and of no effect on the result, as the marks are joined to the terms."""
+    bit = F.shiftrightunsigned("term", 64 - bits)
     slots = revealing.select(F.shiftrightunsigned(bit, 6).alias("slot"), F.expr(
-        f"shiftleft(1L, cast(shiftrightunsigned(term, {64 - FILTER_BITS}) & 63 as int))").alias("bits")) \
+        f"shiftleft(1L, cast(shiftrightunsigned(term, {64 - bits}) & 63 as int))").alias("bits")) \
         .groupBy("slot").agg(F.bit_or("bits").alias("bits")).toArrow()
-    words = np.zeros(1 << (FILTER_BITS - 6), "<i8")
+    words = np.zeros(1 << (bits - 6), "<i8")
     words[slots.column("slot").to_numpy()] = slots.column("bits").to_numpy()
     return words.tobytes()
 
 
-def _marks(filter_):
+def _marks(filter_, n_bits: int):
     """The places of the terms that pass the filter, of every text."""
     def run(batches):
         bits = filter_.value
 
         def passes(run_: str) -> bool:
-            bit = (_hash(run_.lower()) & ((1 << 64) - 1)) >> (64 - FILTER_BITS)
+            bit = (_hash(run_.lower()) & ((1 << 64) - 1)) >> (64 - n_bits)
             return bool(bits[bit >> 3] >> (bit & 7) & 1)
         maybe, rows = BoundedCache(passes, CACHE_ENTRIES), []
         for batch in batches:
@@ -260,19 +272,24 @@ def _mark_batch(rows) -> pa.RecordBatch:
                                       ["text_hash", "term", "a", "b"])
 
 
+SPANS = "array<struct<a:int,b:int,kind:string>>"
+
+
 def all_spans(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """The stored findings of every row; and by ``text_hash`` the sorted (start, end) ``terms`` of the disclosing terms of every
+    """The stored findings of every row; and by ``text_hash`` the sorted (start, end, kind) ``terms`` of the disclosing terms of every
     text that holds one, beside a value or not."""
     texts = id_and_text(docs, id_col, text_col)
     found = stored(spark, texts.mapInArrow(find, FOUND), "personal-data")
     revealing = stored(spark, disclosing_terms(found, texts), "disclosing-terms")
     release(spark)
+    bits = filter_bits(revealing.count())
     if not revealing.take(1):
-        return found, spark.createDataFrame([], "text_hash long, terms array<struct<a:int,b:int>>")
-    filter_ = spark.sparkContext.broadcast(term_filter(revealing))
-    marks = texts.select("text").mapInArrow(_marks(filter_), "text_hash long, term long, a int, b int")
-    marked = stored(spark, marks.join(revealing.select("term"), "term", "left_semi").groupBy("text_hash").agg(
-        F.sort_array(F.collect_set(F.struct("a", "b"))).alias("terms")), "term-spans")
+        return found, spark.createDataFrame([], f"text_hash long, terms {SPANS}")
+    filter_ = spark.sparkContext.broadcast(term_filter(revealing, bits))
+    marks = texts.select("text").mapInArrow(_marks(filter_, bits), "text_hash long, term long, a int, b int")
+    kind = F.when(F.col("disclosure") >= REMOVAL, "term").otherwise("general").alias("kind")
+    marked = stored(spark, marks.join(revealing.select("term", kind), "term").groupBy("text_hash").agg(
+        F.sort_array(F.collect_set(F.struct("a", "b", "kind"))).alias("terms")), "term-spans")
     filter_.unpersist()
     return found, marked
 
@@ -280,20 +297,19 @@ def all_spans(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text
 def personal_data(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """The contract columns of the query."""
     found, marked = all_spans(spark, docs)
-    terms = F.transform(F.coalesce(marked["terms"], F.array().cast("array<struct<a:int,b:int>>")),
-                        lambda s: F.concat_ws(":", F.lit("term"), s["a"], s["b"]))
+    terms = F.transform(F.coalesce(marked["terms"], F.array().cast(SPANS)), lambda s: F.concat_ws(":", s["kind"], s["a"], s["b"]))
     return found.join(marked, "text_hash", "left").select(
         "doc_id", *(f"n_{k}" for k in KINDS), "base_sha256",
         F.array_join(F.concat(F.when(F.col("base") == "", F.array().cast("array<string>")).otherwise(F.array("base")), terms), ",")
         .alias("spans"))
 
 
-def mask(text: str, spans, generalise: bool = False) -> str:
+def mask(text: str, spans) -> str:
     """The text with every span replaced; overlapping spans are replaced as one, by the first one's kind."""
     out, at = [], 0
     for kind, a, b in sorted(spans, key=lambda s: (s[1], -s[2])):
         if a >= at:
-            out += [text[at:a], text[a] + "." if generalise and kind == "term" else MASKS[kind]]
+            out += [text[at:a], text[a] + "." if kind == "general" else MASKS[kind]]
         at = max(at, b)
     return "".join(out) + text[at:]
 
@@ -317,7 +333,7 @@ def sanitise(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_
     def both(batches):
         for batch in batches:
             yield _masked(batch, names, place, sizes,
-                          lambda text, terms: base_spans(text) + [("term", t["a"], t["b"]) for t in terms or ()])
+                          lambda text, terms: base_spans(text) + [(t["kind"], t["a"], t["b"]) for t in terms or ()])
 
     if not spans.take(1):
         return docs.mapInArrow(patterns, schema)

@@ -1,5 +1,6 @@
 """Quotation linking and personal data on hand-made rows."""
 
+import collections
 import math
 import random
 import re
@@ -57,36 +58,79 @@ def test_terms_are_masked_in_every_document(spark):
     rows += [(20 + i, f"and we met today {far}, write to") for i in range(200)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r.doc_id: r.spans.split(",") for r in pii.personal_data(spark, docs).collect()}
-    assert got[0][1:] == ["term:0:3", "term:4:6"] and got[9] == ["term:7:10", "term:18:20"] and got[10] == ["term:0:3"]
+    assert got[0][1:] == ["general:0:3", "term:4:6"] and got[9] == ["general:7:10", "term:18:20"] and got[10] == ["general:0:3"]
     assert got[20] == [""]
     clean = {r.doc_id: r.text for r in pii.sanitise(spark, docs).collect()}
-    assert clean[9] == "we met [TERM] today, [TERM]" and clean[20] == rows[-200][1]
+    assert clean[9] == "we met K. today, [TERM]" and clean[20] == rows[-200][1]
     assert "Kim" not in clean[0] and "write to [EMAIL]" in clean[0]
 
 
-def test_values_of_one_text_are_measured(spark):
-    """Against the formula, for values that stand in one text and in two."""
+def test_disclosure_against_the_formula(spark):
+    """Values in one text and in several; a term must meet its value in two texts or be a part of it."""
     rng = random.Random(5)
-    words = [f"w{i}" for i in range(40)] + [f"rare{i}" for i in range(120)]
-    rows = [(i, " ".join(rng.choices(words, [50] * 40 + [1] * 120, k=25))
-             + (f" a{i // 2 if i < 10 else i}@example.org +49 30 {1000000 + i}" if i < 30 else "")) for i in range(300)]
-    values = {i: {_v for k, a, b in pii.base_spans(t) for _v in [pii._value(k, t[a:b])]} for i, t in rows}
+    words = [f"w{i}" for i in range(40)] + [f"rare{i}" for i in range(120)] + [f"kin{i}" for i in range(8)]
+    rows = []
+    for i in range(300):
+        text = " ".join(rng.choices(words, [50] * 40 + [0.02] * 128, k=25))
+        if i < 30:
+            text += f" rare{i // 3} kin{i // 6} a{i // 3}.name{i}@example.org +49 30 {1000000 + i // 2}"
+        elif i < 34:
+            text += f" kin{i % 8} name{i - 28}"
+        rows.append((i, text))
+    rows += [(1000 + i, rows[i][1]) for i in (3, 7)]       # copies are no second witness
+    values = {i: {pii._value(k, t[a:b]) for k, a, b in pii.base_spans(t)} for i, t in rows}
+    own = {i: {x for _, a, b in pii.base_spans(t) for x in re.findall(r"[a-z0-9]+", t[a:b])} for i, t in rows}
     terms = {i: set(re.findall(r"[a-z0-9]+", t)) for i, t in rows}
-    want = set()
+    text_of, want = dict(rows), {}
     for e in set().union(*values.values()):
         with_e = {i for i, v in values.items() if e in v}
         p = len(with_e) / len(rows)
         for t in set().union(*(terms[i] for i in with_e)):
-            n = [i for i in terms if t in terms[i]]
-            known = (len(with_e & set(n)) + pii.PRIOR * p) / (len(n) + pii.PRIOR)
-            if (math.log2(known) - math.log2(p)) / -math.log2(p) >= pii.DISCLOSURE:
-                want.add(t)
+            n = {i for i in terms if t in terms[i]}
+            if len({text_of[i] for i in with_e & n}) < 2 and not any(t in own[i] for i in with_e & n):
+                continue
+            known = (len(with_e & n) + pii.PRIOR * p) / (len(n) + pii.PRIOR)
+            disclosure = (math.log2(known) - math.log2(p)) / -math.log2(p)
+            if disclosure >= pii.DISCLOSURE:
+                want[t] = max(want.get(t, 0), disclosure)
     docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kinds = set()
+    for r in pii.personal_data(spark, docs).collect():
+        base, t = pii.base_spans(text_of[r.doc_id]), text_of[r.doc_id]
+        plain = [("general" if want[m.group()] < pii.REMOVAL else "term", *m.span()) for m in re.finditer(r"[a-z0-9]+", t)
+                 if m.group() in want and not any(a < m.end() and m.start() < b for _, a, b in base)]
+        assert r.spans == pii.joined(base + plain)
+        kinds |= {k for k, *_ in plain}
+    assert kinds == {"term", "general"} and not any(t.startswith("w") for t in want)
     clean = {r.doc_id: r.text for r in pii.sanitise(spark, docs).collect()}
-    for i, t in rows:
-        shown = [x for x in t.split() if x.startswith(("w", "rare"))]
-        assert [x for x in clean[i].split() if x.startswith(("w", "rare"))] == [x for x in shown if x not in want], i
-    assert any(t.startswith("rare") for t in want) and not any(t.startswith("w") for t in want)
+    general = next(t for t, d in want.items() if d < pii.REMOVAL)
+    holder = next(i for i, t in rows if general in terms[i] and i >= 34)
+    assert general[0] + "." in clean[holder].split() and general not in clean[holder].split()
+
+
+def test_planted_names_and_rare_words(spark):
+    """Names planted beside and away from their addresses are found; words of one text are left alone."""
+    rng = random.Random(8)
+    names = [f"zor{chr(97 + i)}lin" for i in range(20)]
+    rows = [(i, " ".join(rng.choices([f"w{j}" for j in range(60)], k=20)) + f" only{i}") for i in range(2000)]
+    for i, name in enumerate(names):
+        for k in range(2):
+            d = 40 * i + k
+            rows[d] = (d, f"{rows[d][1]} {name} writes from {name}@mail.example and more{d}")
+        rows[1000 + i] = (1000 + i, f"{rows[1000 + i][1]} and {name} was there")
+    text_of = dict(rows)
+    found = collections.Counter()
+    for r in pii.personal_data(spark, spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        for span in filter(None, r.spans.split(",")):
+            kind, a, b = span.split(":")
+            if kind in ("term", "general"):
+                found[text_of[r.doc_id][int(a):int(b)]] += 1
+    assert all(found[n] == 3 for n in names)                       # recall 1
+    assert set(found) <= set(names)                                # precision 1
+
+
+def test_filter_size_follows_the_terms():
+    assert [pii.filter_bits(n) for n in (0, 10, 10**6, 10**9)] == [20, 20, 24, 30]
 
 
 def test_quotations(spark, monkeypatch):
