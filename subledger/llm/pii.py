@@ -42,7 +42,7 @@ PRIOR = 0.5            # documents of no evidence added to those with a term
 DISCLOSURE = 0.9
 REMOVAL = 0.95         # a term of this disclosure is removed; below it, its first letter stays
 COUNTER_ENTRIES = 200_000
-FILTER_BITS = (20, 30)  # the filter of revealing terms has 16 bits a term, 2^20 at least and 2^30 (128 MB) at most
+FILTER_BITS = (26, 30)  # the filter of revealing terms has 1024 bits a term, 2^26 (8 MB) at least and 2^30 (128 MB) at most
 CACHE_ENTRIES = 200_000
 MARKS = 50_000         # rows of a batch of marks
 
@@ -227,7 +227,7 @@ def disclosing_terms(found: DataFrame, texts: DataFrame, disclosure: float = DIS
 
 def filter_bits(terms: int) -> int:
     """The filter has two to this power bits."""
-    return min(max(FILTER_BITS[0], (16 * terms).bit_length()), FILTER_BITS[1])
+    return min(max(FILTER_BITS[0], (1024 * terms).bit_length()), FILTER_BITS[1])
 
 
 def term_filter(revealing: DataFrame, bits: int) -> bytes:
