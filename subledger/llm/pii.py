@@ -42,7 +42,7 @@ PRIOR = 0.5            # documents of no evidence added to those with a term
 DISCLOSURE = 0.9
 REMOVAL = 0.95         # a term of this disclosure is removed; below it, its first letter stays
 COUNTER_ENTRIES = 200_000
-FILTER_BITS = (26, 30)  # the filter of revealing terms has 1024 bits a term, 2^26 (8 MB) at least and 2^30 (128 MB) at most
+FILTER_BITS = (28, 30)  # the filter of revealing terms has 1024 bits a term, 2^28 (32 MB) at least and 2^30 (128 MB) at most
 CACHE_ENTRIES = 200_000
 MARKS = 50_000         # rows of a batch of marks
 

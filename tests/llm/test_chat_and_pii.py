@@ -129,7 +129,7 @@ def test_planted_names_and_rare_words(spark):
 
 
 def test_filter_size_follows_the_terms():
-    assert [pii.filter_bits(n) for n in (0, 10, 10**5, 10**9)] == [26, 26, 27, 30]
+    assert [pii.filter_bits(n) for n in (0, 10, 10**6, 10**9)] == [28, 28, 30, 30]
 
 
 def test_quotations(spark, monkeypatch):
