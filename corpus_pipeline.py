@@ -2,6 +2,11 @@
 
 Each stage takes what its predecessor kept.  ``run`` writes every stage's rows as Parquet under the shared checkpoint folder and reads them
 back for the next one, so that a lost executor or a failed stage costs that stage only.
+
+Defined results, for every stage: null and empty texts are texts without words (the first stage rejects them; later stages, given
+some, keep them); very long texts are taken whole; rows with a null id are documents of their own; repeated rows and ids are
+judged row by row, but of equal or near-equal texts one row stays after the second stage; extra columns pass through all stages but the
+last, whatever their names; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -15,7 +20,7 @@ from subledger.llm.queries import ship
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the pipeline's policy (``rules.PIPELINE``).  The ledger's bits are computed beside each row, without a join."""
+    """Documents that pass the pipeline's policy (``rules.PRODUCTION``).  The ledger's bits are computed beside each row, without a join."""
     ship(spark)
     return rules.filter_documents(docs)
 

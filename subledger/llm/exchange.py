@@ -84,7 +84,3 @@ def blocks(batches, size: int = BLOCK_BYTES):
                 ids, texts, held = [], [], 0
     if ids:
         yield ids, texts
-
-
-def rank_in(sorted_keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    return np.searchsorted(sorted_keys, wanted)
