@@ -107,7 +107,7 @@ def test_last_known_metrics(spark):
             for d, s in [(1, {"likes": 5, "engaged": 1, "data_updated_at": 1704067200000}),
                          (2, {"likes": None, "engaged": 2}), (3, {"views": 9})]]
     df = spark.createDataFrame(rows, f"post_id long, publication string, snapshot_date {TS}, data string")
-    r = posts.int_post_overview(posts.stg_post_overview(df)).first()
+    r = posts.int_post_overview(posts.post_state(df)).first()
     assert r.snapshot_date == dt.datetime(2024, 1, 3) and r.views == 9
     assert r.likes == 5 and r.engaged == 2
     assert r.stats_updated_at == dt.datetime(2024, 1, 1)
