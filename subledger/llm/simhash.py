@@ -251,7 +251,9 @@ def components(spark: SparkSession, links: DataFrame, name: str = "star") -> Dat
         state = now
     else:
         raise RuntimeError(f"the components have not settled within {MAX_ROUNDS} rounds")
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
+    # the smallest node of a component is on the right of its links only
+    tops = edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
+    return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(tops)
 
 
 def grouped(spark: SparkSession, prints: DataFrame, radius: int = RADIUS) -> DataFrame:

@@ -136,6 +136,25 @@ def test_simhash_repeated_ids(spark):
     assert kept == sorted([(1, a), (1, b), (4, c), (0, a)])
 
 
+def test_simhash_smallest_id_may_lie_anywhere(spark):
+    """The component's smallest id counts, whether the smallest fingerprint holds it or another one."""
+    rng = random.Random(8)
+    base = [f"w{rng.randrange(500)}" for _ in range(400)]
+    made = []
+    for i in range(120):
+        words = list(base)
+        for _ in range(rng.choice([0, 1, 1, 2, 4])):
+            words[rng.randrange(400)] = f"w{rng.randrange(500)}"
+        made.append((1000 - i, " ".join(words)))
+    prints = {i: plain_fingerprint(t) for i, t in made}
+    want = plain_components(prints)
+    linked = {c for i, c in want.items() if i != c and prints[i] != prints[c]}
+    assert linked
+    docs = spark.createDataFrame(made, "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in simhash.near_duplicates(spark, docs).collect()} == want
+    assert sorted(r.doc_id for r in simhash.keep_one(spark, docs).collect()) == sorted(set(want.values()))
+
+
 def test_components_that_do_not_settle_are_an_error(spark, monkeypatch):
     monkeypatch.setattr(simhash, "MAX_ROUNDS", 1)
     path = spark.createDataFrame([(i, i + 1) for i in range(20)], "u long, v long")
