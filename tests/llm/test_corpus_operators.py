@@ -249,6 +249,27 @@ def test_quality_classifier(spark):
     assert ranking.quality_scores(spark, odd.limit(0), labels).count() == 0
 
 
+def test_every_label_is_learned_from(spark, monkeypatch):
+    """All training rows meet in pairs, the fit is where the gradient over all pairs is 0, and the cut is the exact quantile."""
+    rng = np.random.default_rng(4)
+    made = [(i, rng.normal(0.5 * y, 1, 20).tolist(), y) for i, y in enumerate([1] * 70 + [0] * 500)]
+    train = spark.createDataFrame(made, "doc_id long, x array<double>, y int").repartition(5)
+    pairs = ranking.labelled_pairs(spark, train, 70, 500).cache()
+    found = {tuple(np.round(r.d, 9)) for r in pairs.collect()}
+    good, bad = (np.array([x for _, x, y in made if y == k]) for k in (1, 0))
+    diffs = np.round(good[:, None, :] - bad[None, :, :], 9)
+    used = np.array([[tuple(d) in found for d in row] for row in diffs])
+    assert pairs.count() == len(found) == used.sum() == 500 * 8
+    assert (used.sum(axis=0) == 8).all() and used.sum(axis=1).min() >= 57 and used.sum(axis=1).max() <= 58
+    w = ranking.fit_pairs(pairs, 20)
+    d = np.array([r.d for r in pairs.collect()])
+    assert np.abs(d.T @ (1 / (1 + np.exp(d @ w))) / len(d) - ranking.RIDGE * w).max() < 1e-6
+    raws = rng.normal(0, 1, 3000).round(2).tolist() + [5.0] * 50 + [1e-300, 1e300]
+    monkeypatch.setattr(ranking, "RANGES", 7)
+    scores = spark.createDataFrame([(v,) for v in raws], "raw double").cache()
+    assert [ranking.value_at(scores, k) for k in (1, 777, 3040, 3052)] == [sorted(raws)[k - 1] for k in (1, 777, 3040, 3052)]
+
+
 def plain_dedup(rows, window=13):
     words = [(i, WORD.findall(t or "")) for i, t in rows]
     first = {}
