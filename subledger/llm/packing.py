@@ -12,10 +12,13 @@ an empty table gives no rows; extra columns are ignored.
 
 from __future__ import annotations
 
+import struct
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -28,6 +31,7 @@ END_ID = 1
 SLACK = 16            # a bin with at most so many tokens free is final
 GROUP_ITEMS = 200_000  # underfull bins packed together in one task
 CACHE_ENTRIES = 400_000  # words, and parts of words, that a worker remembers
+STRETCH_BYTES = 1 << 23  # text whose words are looked up once each
 
 PIECES = ("doc_id long, piece int, start long, length long, ids_crc32 long, bin long, bin_offset long, bin_fill long")
 
@@ -63,16 +67,36 @@ class WordIds:
     def _part(self, part: str) -> bytes:
         # one part is one unit of the merges: no need to run the splitting again
         letters = part.encode().decode("latin-1").translate(self.letters)
-        return np.array([t.id for t in self.tokenizer.model.tokenize(letters)], dtype="<u4").tobytes()
+        ids = [t.id for t in self.tokenizer.model.tokenize(letters)]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def _word(self, word: bytes) -> bytes:
         text = word.decode("utf-8", "replace")
-        if "<|" in text or max(text) >= "\u0250":
+        if "<|" in text or max(text, default="") >= "\u0250":
             return self._ids(text)
         return b"".join(map(self.parts.__getitem__, _PARTS.findall(text.lower())))
 
-    def encode(self, text: bytes) -> bytes:
-        return b"".join(map(self.words.__getitem__, text.split()))
+    def encode(self, texts: list[bytes]) -> Iterator[bytes]:
+        """The ids of each text: each distinct word of a stretch of texts is looked up once, and its ids are laid out by numbers."""
+        first = held = 0
+        for i, text in enumerate(texts):
+            held += len(text)
+            if held >= STRETCH_BYTES or i + 1 == len(texts):
+                yield from self._stretch(texts[first:i + 1])
+                first, held = i + 1, 0
+
+    def _stretch(self, texts: list[bytes]) -> Iterator[bytes]:
+        # cuts at the same characters as ``bytes.split``; white space at either end leaves an empty word, which has no ids
+        split = pc.ascii_split_whitespace(pa.array(texts, pa.large_binary()).view(pa.large_string()))
+        coded = split.values.view(pa.large_binary()).dictionary_encode()
+        ids = list(map(self.words.__getitem__, coded.dictionary.to_pylist()))
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        start, word = np.cumsum(size) - size, coded.indices.to_numpy()
+        n = size[word]
+        end = np.concatenate([[0], np.cumsum(n)])
+        laid = np.frombuffer(b"".join(ids), "<u4")[np.arange(end[-1]) + np.repeat(start[word] - end[:-1], n)]
+        at = end[split.offsets.to_numpy()].tolist()
+        return (laid[lo:hi].tobytes() for lo, hi in zip(at, at[1:]))
 
 
 _WORDS: dict[str, WordIds] = {}
@@ -116,8 +140,8 @@ def pack_partition(path: str, capacity: int):
         cols: dict[str, list] = {"doc_id": [], "piece": [], "start": [], "length": [], "crc": []}
         for batch in batches:
             ids = batch.column("doc_id").to_pylist()
-            for doc, text in zip(ids, texts_of(batch)):
-                raw = words.encode(text) + end
+            for doc, raw in zip(ids, words.encode(texts_of(batch))):
+                raw += end
                 for piece, start in enumerate(range(0, len(raw) // 4, capacity)):
                     chunk = raw[4 * start:4 * (start + capacity)]
                     cols["doc_id"].append(doc)

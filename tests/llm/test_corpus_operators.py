@@ -88,6 +88,22 @@ def test_packing(spark, docs, rows, none, group_items):
     assert packing.pack(spark, none).count() == 0
 
 
+def test_packing_looks_each_distinct_word_up_once():
+    """Words of a stretch of texts are looked up once each, and cut where ``bytes.split`` cuts them."""
+    words = packing.WordIds(packing.vocabulary_path())
+    seen, known = [], words.words.__class__.__getitem__
+
+    class Watched(words.words.__class__):
+        def __getitem__(self, key):
+            seen.append(key)
+            return known(self, key)
+    words.words = Watched(words._word, 100)
+    texts = [b"the cat the cat " * 50, b"", b"  the\x0bdog\x0c\r\n", b"\x1c\xc2\xa0 \xff\xfe the", b"caf\xc3\xa9 <|end|> \xe4\xb8\xad"] * 3
+    ids = list(words.encode(texts))
+    assert ids == [words._ids(" ".join(w.decode("utf-8", "replace") for w in t.split())) for t in texts]
+    assert len(seen) == len(set(seen)) and {b"the", b"cat", b"dog"} <= set(seen)
+
+
 def plain_fingerprint(text):
     w = WORD.findall(lower(text))
     if not w:
