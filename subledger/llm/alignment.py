@@ -22,6 +22,8 @@ from __future__ import annotations
 import hashlib
 import os
 import re
+import struct
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -30,15 +32,17 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from subledger.llm.common import BoundedCache, byte_letters, id_and_text, release, stored, texts_of
+from subledger.llm.common import BoundedCache, byte_letters, id_and_text, lay_out, release, stored, texts_of
 from subledger.llm.exchange import expand, squeeze
 from subledger.llm.tokencount import vocabulary_path
 
 SHARD_KEYS = 1 << 18
 SLICE_KEYS = 1 << 22
 BLOCK_BYTES = 1 << 20
+STRETCH_BYTES = 1 << 21   # text whose units are looked up once each
 TASK_KEYS = 1 << 21
 CACHE_ENTRIES = 1 << 18
+PART_ENTRIES = 1 << 16
 FAN = 16
 LEVELS = 64
 LOAD = 2.0
@@ -69,7 +73,9 @@ class Pair:
         self.bytes_b = [self._bytes_b(i) for i in range(self.n_b)]
         self.len_a, self.len_b = (np.array([len(x) for x in t], np.int64) for t in (self.bytes_a, self.bytes_b))
         self.type_a, self.type_b = ("<u2" if n <= 1 << 16 else "<u4" for n in (self.n_a, self.n_b))
+        self.code_a, self.code_b = ("H" if t == "<u2" else "I" for t in (self.type_a, self.type_b))
         self.finer, self.units = regex.compile(public_tokenizers.PATTERN), BoundedCache(self._unit, CACHE_ENTRIES)
+        self.a_parts = BoundedCache(self._part, PART_ENTRIES)
         # B can be encoded unit by unit where no piece goes on from a visible character to white space, nor from a line's end
         pieces = [self.b.id_to_piece(i) for i in range(self.n_b)]
         crossing = {m[0][1] for p in pieces for m in CROSSING.finditer(p)}
@@ -79,8 +85,10 @@ class Pair:
         self.fresh: dict[str, list[int]] = {}
         #: Decimal ids with what follows them: "," inside, "|" after a group's A ids, ";" after its B ids.
         name_a, name_b = ([b"%d" % i for i in range(n)] for n in (self.n_a, self.n_b))
-        self.parts = ([x + b"," for x in name_a] + [x + b"|" for x in name_a]
-                      + [x + b"," for x in name_b] + [x + b";" for x in name_b])
+        parts = ([x + b"," for x in name_a] + [x + b"|" for x in name_a]
+                 + [x + b"," for x in name_b] + [x + b";" for x in name_b])
+        self.part_size = np.array([len(x) for x in parts], np.int64)
+        self.part_bytes = np.array(parts, f"S{self.part_size.max()}").view(np.uint8).reshape(len(parts), -1)
 
     @staticmethod
     def _bytes_a(token: str, byte_of: dict) -> bytes:
@@ -90,17 +98,22 @@ class Pair:
         piece = self.b.id_to_piece(i)
         return bytes([int(piece[3:-1], 16)]) if self.b.is_byte(i) else piece.replace(SPACE_MARK, " ").encode()
 
+    def _part(self, part: str) -> bytes | None:
+        """A's ids of one match of the pattern; None if A does not give it back."""
+        raw = part.encode()
+        ids = [t.id for t in self.a.model.tokenize(raw.decode("latin-1").translate(self.letters))]
+        return struct.pack(f"<{len(ids)}{self.code_a}", *ids) if b"".join([self.bytes_a[i] for i in ids]) == raw else None
+
     def _unit(self, text: str) -> tuple[bytes, bytes] | None:
-        """Both ids of a unit, which neither vocabulary joins to another; None if B does not give it back."""
-        tokenize, word = self.a.model.tokenize, text[1:] if text[0] == " " else text
+        """Both ids of a unit, which neither vocabulary joins to another; None if either does not give it back."""
+        word = text[1:] if text[0] == " " else text
         # plain Latin letters are one match of the pattern, with the blank before them
         parts = [text] if word.isalpha() else self.finer.findall(text)
-        a = [t.id for part in parts for t in tokenize(part.encode().decode("latin-1").translate(self.letters))]
-        b = self.fresh[text] if text in self.fresh else self.b.encode("\n" + text)
-        raw, b = text.encode(), b[len(self.stop):]
-        if b"".join([self.bytes_b[i] for i in b]) != raw or b"".join([self.bytes_a[i] for i in a]) != raw:
+        a = list(map(self.a_parts.__getitem__, parts))
+        b = (self.fresh.get(text) or self.b.encode("\n" + text))[len(self.stop):]
+        if None in a or "".join(parts) != text or b"".join([self.bytes_b[i] for i in b]) != text.encode():
             return None
-        return np.array(a, self.type_a).tobytes(), np.array(b, self.type_b).tobytes()
+        return b"".join(a), struct.pack(f"<{len(b)}{self.code_b}", *b)
 
     def _whole(self, text: str) -> tuple[bytes, bytes]:
         """Both ids of a text by the libraries, or nothing where either does not give the text back."""
@@ -113,21 +126,24 @@ class Pair:
     def encode(self, texts: list[bytes]) -> list[tuple[bytes, bytes]]:
         """Ids by A and by B of each text, or nothing where either does not give the text back.
 
-        Latin texts are encoded by units between blanks and line ends, those new to this worker in one call of B; others whole.
+        Latin texts are encoded by units between blanks and line ends, each distinct one looked up once and those new to this worker
+        in one call of B; others whole.
         """
         plain = [t.decode("utf-8", "replace") for t in texts]
         units = [UNIT.findall(" " + t) if self.by_unit and t and not self.odd.search(t) else [] for t in plain]
-        new = [u for u in set().union(*units) if u not in self.units and u not in self.units.old]
+        distinct = list(set().union(*units))
+        new = [u for u in distinct if u not in self.units and u not in self.units.old]
         self.fresh = dict(zip(new, self.b.encode(["\n" + u for u in new], num_threads=1))) if new else {}
-        result = []
-        for text, parts in zip(plain, units):
-            found = list(map(self.units.__getitem__, parts))
-            if parts and None not in found:
-                a, b = zip(*found)
-                result.append((b"".join(a), b"".join(b)))
-            else:
-                result.append(self._whole(text) if text else (b"", b""))
-        return result
+        ids = list(map(self.units.__getitem__, distinct))
+        number = dict(zip(distinct, range(len(distinct))))
+        size = np.fromiter(map(len, units), np.int64, len(units))
+        unit = np.fromiter(map(number.__getitem__, chain.from_iterable(units)), np.int64, size.sum())
+        cuts = np.concatenate([[0], np.cumsum(size)])
+        # texts with a unit that B does not give back are encoded whole, like those that are not cut
+        lost = np.concatenate([[0], np.cumsum(np.array([i is None for i in ids], bool)[unit])])
+        by_unit = (size > 0) & (np.diff(lost[cuts]) == 0)
+        a, b = (lay_out([i[k] if i else b"" for i in ids], unit, cuts, t) for k, t in enumerate((self.type_a, self.type_b)))
+        return [(a[i], b[i]) if by_unit[i] else self._whole(t) if t else (b"", b"") for i, t in enumerate(plain)]
 
 
 _PAIRS: dict[tuple[str, str], Pair] = {}
@@ -151,7 +167,10 @@ class Aligned:
         self.a, self.b = np.concatenate(a).astype(np.int64), np.concatenate(b).astype(np.int64)
         len_a = pair.len_a[self.a]
         end_a, end_b = np.cumsum(len_a), np.cumsum(pair.len_b[self.b])
-        self.first, last = np.searchsorted(end_b, end_a - len_a, "right"), np.searchsorted(end_b, end_a, "left")
+        # how many B tokens end at each byte, and up to it: no search, as both cover the same bytes
+        at_byte = np.bincount(end_b, minlength=1)
+        up_to = np.cumsum(at_byte)
+        self.first, last = up_to[end_a - len_a], up_to[end_a] - at_byte[end_a]
         self.close_a = end_b[last] == end_a if len(end_a) else np.zeros(0, bool)
         self.close_b = np.zeros(len(self.b), bool)
         self.close_b[last[self.close_a]] = True
@@ -182,8 +201,10 @@ class Aligned:
         code = np.empty(len(self.a) + len(self.b), np.int64)
         code[np.arange(len(self.a)) + np.concatenate([[0], stop_b])[group_a]] = self.a + n_a * self.close_a
         code[np.arange(len(self.b)) + stop_a[group_b]] = 2 * n_a + self.b + n_b * self.close_b
-        at, part = self.from_a + self.from_b, self.pair.parts.__getitem__
-        return [b"".join(map(part, code[lo:hi].tolist()))[:-1] for lo, hi in zip(at[:-1], at[1:])]
+        size, rows = self.pair.part_size[code], self.pair.part_bytes[code]
+        data = rows[np.arange(rows.shape[1]) < size[:, None]].tobytes()
+        at = np.concatenate([[0], np.cumsum(size)])[self.from_a + self.from_b].tolist()
+        return [data[lo:max(lo, hi - 1)] for lo, hi in zip(at, at[1:])]
 
 
 def _stretches(batch: pa.RecordBatch):
@@ -204,7 +225,7 @@ def encode_both(paths):
             lo = held = 0
             for i, t in enumerate(texts):
                 held += len(t)
-                if held >= BLOCK_BYTES or i + 1 == len(texts):
+                if held >= STRETCH_BYTES or i + 1 == len(texts):
                     found += pair.encode(texts[lo:i + 1])
                     lo, held = i + 1, 0
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([f[0] for f in found], pa.binary()),

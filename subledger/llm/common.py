@@ -7,6 +7,7 @@ import time
 import uuid
 import zlib
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -64,6 +65,16 @@ def texts_of(batch: pa.RecordBatch, name: str = "text") -> list[bytes]:
     return [b or b"" for b in batch.column(name).cast(pa.binary()).to_pylist()]
 
 
+def lay_out(ids: list[bytes], unit: np.ndarray, cuts: np.ndarray, dtype: str) -> list[bytes]:
+    """The joined ids of each text: ``ids`` of the distinct units, the unit at each place, and the texts' first places and the end."""
+    size = np.fromiter(map(len, ids), np.int64, len(ids)) // np.dtype(dtype).itemsize
+    start, n = np.cumsum(size) - size, size[unit]
+    end = np.concatenate([[0], np.cumsum(n)])
+    laid = np.frombuffer(b"".join(ids), dtype)[np.arange(end[-1]) + np.repeat(start[unit] - end[:-1], n)]
+    at = end[cuts].tolist()
+    return [laid[lo:hi].tobytes() for lo, hi in zip(at, at[1:])]
+
+
 def byte_letters() -> dict[int, str]:
     """Byte -> the character that stands for it in byte-level vocabularies: printable Latin-1 characters stand for
     themselves, the others for the characters from 256 on."""

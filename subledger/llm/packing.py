@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from subledger.llm.common import BoundedCache, byte_letters, id_and_text, release, stored, texts_of
+from subledger.llm.common import BoundedCache, byte_letters, id_and_text, lay_out, release, stored, texts_of
 
 CAPACITY = 4096
 END_ID = 1
@@ -85,18 +85,12 @@ class WordIds:
                 yield from self._stretch(texts[first:i + 1])
                 first, held = i + 1, 0
 
-    def _stretch(self, texts: list[bytes]) -> Iterator[bytes]:
+    def _stretch(self, texts: list[bytes]) -> list[bytes]:
         # cuts at the same characters as ``bytes.split``; white space at either end leaves an empty word, which has no ids
         split = pc.ascii_split_whitespace(pa.array(texts, pa.large_binary()).view(pa.large_string()))
         coded = split.values.view(pa.large_binary()).dictionary_encode()
         ids = list(map(self.words.__getitem__, coded.dictionary.to_pylist()))
-        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-        start, word = np.cumsum(size) - size, coded.indices.to_numpy()
-        n = size[word]
-        end = np.concatenate([[0], np.cumsum(n)])
-        laid = np.frombuffer(b"".join(ids), "<u4")[np.arange(end[-1]) + np.repeat(start[word] - end[:-1], n)]
-        at = end[split.offsets.to_numpy()].tolist()
-        return (laid[lo:hi].tobytes() for lo, hi in zip(at, at[1:]))
+        return lay_out(ids, coded.indices.to_numpy(), split.offsets.to_numpy(), "<u4")
 
 
 _WORDS: dict[str, WordIds] = {}

@@ -214,6 +214,22 @@ def test_alignment(spark, rows, sizes):
     assert in_order(map(tuple, got.collect())) == in_order(plain_alignment(cut))
 
 
+def test_alignment_looks_each_distinct_unit_up_once():
+    """Units of a stretch of texts, and A's parts of them, are looked up once each; ids are those of the libraries."""
+    pair = alignment.Pair(*alignment.default_paths())
+    seen, cache = [], type(pair.units)
+
+    class Watched(cache):
+        def __getitem__(self, key):
+            seen.append(key)
+            return cache.__getitem__(self, key)
+    pair.units = Watched(pair._unit, 100)
+    texts = ["the cat, the cat. " * 30, "", "caf\u00e9\n\nthe  dog", "\u2581odd", "\u4e2d\u6587 the", "tab\tthe\x85end "] * 2
+    got = pair.encode([t.encode() for t in texts])
+    assert got == [pair._whole(t) if t else (b"", b"") for t in texts]
+    assert seen and len(seen) == len(set(seen))
+
+
 def test_alignment_of_nothing(spark):
     assert alignment.alignment_digest(spark, documents(spark, [])).count() == 0
     got = alignment.alignment_digest(spark, documents(spark, [(1, None), (2, ""), (3, "▁")])).collect()
